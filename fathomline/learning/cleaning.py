@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from fathomline.functions.encoding import bucket_two, encode_binary, encode_ordinal
 from fathomline.operators.counts import most_common
-from fathomline.operators.ordering import MAX_ROWS_PER_TASK, same_key
+from fathomline.operators.ordering import MAX_ROWS_PER_TASK, join_keys
 from fathomline.operators.quantiles import median_by, median_of
 
 # The passenger columns that are not used for learning, the label, and the
@@ -52,10 +52,8 @@ def impute_median(
         median = median_of(df, column, "m", max_rows_per_task).scalar()
         return df.withColumn(column, F.coalesce(F.col(column), median))
     medians = median_by(df, [by], column, "__m", max_rows_per_task)
-    joined = df.join(medians, same_key(df, medians, [by]), "left")
-    return joined.select(
-        *[F.coalesce(df[c], F.col("__m")).alias(c) if c == column else df[c] for c in df.columns]
-    )
+    joined = join_keys(df, medians, [by], "left")
+    return joined.withColumn(column, F.coalesce(F.col(column), F.col("__m"))).drop("__m")
 
 
 def impute_zero(df: DataFrame) -> DataFrame:

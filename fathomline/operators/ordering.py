@@ -70,9 +70,11 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_rows)
 
 
-def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality on every key."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys match each other; keys come from the left side."""
+    renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"__right_{k}" for k in keys])
 
 
 def with_neighbours(
@@ -109,10 +111,7 @@ def with_neighbours(
 
     flagged = heavy.select(*keys, F.lit(True).alias("__heavy"))
     axed = df.withColumn(_AXIS, axis_value(df, order[0]))
-    marked = (
-        axed.join(flagged, same_key(axed, flagged, keys), "left")
-        .select(axed["*"], F.coalesce("__heavy", F.lit(False)).alias("__heavy"))
-    )
+    marked = join_keys(axed, flagged, keys, "left").fillna({"__heavy": False})
     pieces = math.ceil(total / max_rows_per_task) + 1
     cuts = split_points(marked.filter("__heavy"), _AXIS, pieces)
     chunked = assign_chunk(marked, _AXIS, cuts, _CHUNK).withColumn(
@@ -144,7 +143,7 @@ def with_neighbours(
         "__next": F.lead(row).over(w),
         "__pos": F.row_number().over(w).cast("long") - 1,
     })
-    joined = local.join(borders, same_key(local, borders, keys) & (local[_CHUNK] == borders[_CHUNK]), "left")
+    joined = join_keys(local, borders, [*keys, _CHUNK], "left")
     added = []
     if previous:
         added.append(F.coalesce("__prev", "__before").alias(previous))
@@ -152,7 +151,7 @@ def with_neighbours(
         added.append(F.coalesce("__next", "__after").alias(following))
     if position:
         added.append((F.col("__pos") + F.coalesce("__offset", F.lit(0))).alias(position))
-    return joined.select(*[local[c] for c in df.columns], *added)
+    return joined.select(*df.columns, *added)
 
 
 def running_totals(

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.operators.ordering import MAX_ROWS_PER_TASK, same_key, with_neighbours
+from fathomline.operators.ordering import MAX_ROWS_PER_TASK, join_keys, with_neighbours
 
 # The period that ends at the middle of its history, the history it is read from,
 # and the trading days of a year.
@@ -36,8 +36,7 @@ def _positioned(quotes, keys, order, price, period, max_rows, previous=None):
         previous=previous, position="pos", max_rows_per_task=max_rows,
     )
     lengths = quotes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    joined = rows.join(lengths, same_key(rows, lengths, keys))
-    return joined.select(*[rows[c] for c in rows.columns], _endpoint(period).alias("endpoint"))
+    return join_keys(rows, lengths, keys).select(*rows.columns, _endpoint(period).alias("endpoint"))
 
 
 def period_stats(
@@ -97,8 +96,7 @@ def price_stats(quotes: DataFrame, keys: Sequence[str] = ("symbol",), price: str
     """
     keys = list(keys)
     averages = quotes.groupBy(*keys).agg(F.avg(price).alias("avg_price"))
-    rows = quotes.select(*keys, price)
-    joined = rows.join(averages, same_key(rows, averages, keys)).select(*[rows[c] for c in rows.columns], "avg_price")
+    joined = join_keys(quotes.select(*keys, price), averages, keys)
     below = F.col(price) < F.col("avg_price")
     return joined.groupBy(*keys).agg(
         F.max(price).alias("max_price"), F.min(price).alias("min_price"),

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fathomline.operators.ordering import MAX_ROWS_PER_TASK, heavy_keys, same_key
+from fathomline.operators.ordering import MAX_ROWS_PER_TASK, heavy_keys, join_keys
 from fathomline.session import shared_folder
 
 _GRID = 256
@@ -62,16 +62,14 @@ def _middle(df, by, column, out, upper, max_rows):
     if heavy.isEmpty():
         return rows.groupBy(*by).agg(builtin.alias(out))
 
-    light_rows = keyed.join(heavy, same_key(keyed, heavy, keys), "left_anti")
+    light_rows = join_keys(keyed, heavy, keys, "left_anti")
     light = light_rows.groupBy(*keys).agg(builtin.alias(out))
     large = _large_groups(keyed, keys, heavy, upper, max_rows).select(*keys, F.col("value").alias(out))
     return light.unionByName(large).select(*by, out)
 
 
 def _inside(keyed, keys, state):
-    return keyed.join(state, same_key(keyed, state, keys)).select(
-        keyed["__v"], *[state[c] for c in state.columns]
-    )
+    return join_keys(keyed.select(*keys, "__v"), state, keys)
 
 
 def _large_groups(keyed, keys, heavy, upper, max_rows):
@@ -98,8 +96,8 @@ def _large_groups(keyed, keys, heavy, upper, max_rows):
         cuts = bracket.groupBy(*keys).agg(F.percentile_approx("__v", grid, _ACCURACY).alias("cuts"))
         step = F.expr(f"int((r1 - below) * {_GRID} / m)")
         step2 = F.expr(f"int((r2 - below) * {_GRID} / m)")
-        tighter = state.join(cuts, same_key(state, cuts, keys)).select(
-            *[state[k] for k in keys], "n", "r1", "r2",
+        tighter = join_keys(state, cuts, keys).select(
+            *keys, "n", "r1", "r2",
             F.col("lo").alias("lo0"), F.col("hi").alias("hi0"), F.col("below").alias("below0"), F.col("m").alias("m0"),
             F.element_at("cuts", F.greatest(step - 1, F.lit(1))).alias("lo"),
             F.element_at("cuts", F.least(step2 + 4, F.lit(_GRID + 1))).alias("hi"),

@@ -8,11 +8,9 @@ from pyspark.sql import functions as F
 
 def parse_adjacency(lines: DataFrame, column: str = "value") -> DataFrame:
     """Edges ``(src, dst)`` of lines holding a node followed by its neighbours."""
-    tokens = F.filter(F.split(F.col(column), r"\s+"), lambda t: t != "")
-    return lines.select(tokens.alias("t")).select(
-        F.get("t", F.lit(0)).try_cast("long").alias("src"),
-        F.explode(F.slice("t", 2, F.greatest(F.size("t") - 1, F.lit(0)))).try_cast("long").alias("dst"),
-    )
+    words = F.filter(F.split(F.col(column), r"\s+"), lambda t: t != "")
+    nodes = lines.select(F.transform(words, lambda t: t.try_cast("long")).alias("t")).filter(F.size("t") > 1)
+    return nodes.select(F.get("t", F.lit(0)).alias("src"), F.explode(F.slice("t", F.lit(2), F.size("t") - 1)).alias("dst"))
 
 
 def read_adjacency(spark: SparkSession, path: str) -> DataFrame:
