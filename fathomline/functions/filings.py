@@ -63,9 +63,20 @@ def pad_security_id(column: Column, width: int = 8) -> Column:
 
 
 def _slice_from_last(column: Column, opening: str, closing: str) -> Column:
-    """Text from the last ``opening`` up to, not including, the last ``closing``; null if absent."""
-    found = F.regexp_extract(column, r"(?s)^.*(\Q" + opening + r"\E.*)\Q" + closing + r"\E", 1)
-    return F.when(found != "", found)
+    """Text from the last ``opening`` up to, not including, the last ``closing``; empty if absent."""
+    return F.regexp_extract(column, r"(?s)^.*(\Q" + opening + r"\E.*)\Q" + closing + r"\E", 1)
+
+
+def _parsed_once(xml: Column, schema: str, use) -> Column:
+    """``use(document)`` for XML that parses, else an empty array, as an array of at most one element.
+
+    The document is the element of an array that is then transformed, so it is parsed once however
+    often its fields are read.
+    """
+    options = {"ignoreNamespace": "true", "columnNameOfCorruptRecord": "_corrupt_record"}
+    parsed = F.array(F.from_xml(xml, schema + ", _corrupt_record string", options))
+    good = F.filter(parsed, lambda d: d.isNotNull() & d["_corrupt_record"].isNull())
+    return F.transform(good, use)
 
 
 def parse_holdings(content: Column) -> Column:
@@ -74,47 +85,49 @@ def parse_holdings(content: Column) -> Column:
     No XML gives an empty string; XML that cannot be parsed gives null.
     """
     xml = F.ltrim(F.regexp_replace(_slice_from_last(content, "<?xml", "</XML"), r"^<\?xml[^>]*\?>", ""))
-    table = F.from_xml(
-        xml,
-        "infoTable array<struct<cusip: string>>, _corrupt_record string",
-        {"ignoreNamespace": "true", "columnNameOfCorruptRecord": "_corrupt_record"},
-    )
-    ids = F.array_distinct(F.transform(F.filter(table["infoTable"]["cusip"], lambda v: v.isNotNull()), F.upper))
-    listed = F.when(table["_corrupt_record"].isNull(), F.array_join(F.coalesce(ids, F.array().cast("array<string>")), ","))
-    return F.when(F.instr(content, "<?xml") == 0, F.lit("")).otherwise(listed)
+
+    def listed(table: Column) -> Column:
+        ids = F.filter(table["infoTable"]["cusip"], lambda v: v.isNotNull())
+        return F.coalesce(F.array_join(F.array_distinct(F.transform(ids, F.upper)), ","), F.lit(""))
+
+    found = F.get(_parsed_once(xml, "infoTable array<struct<cusip: string>>", listed), F.lit(0))
+    return F.when(F.instr(content, "<?xml") == 0, F.lit("")).otherwise(found)
 
 
 _TRANSACTION = "array<struct<transactionCoding: struct<transactionCode: string>>>"
 _OWNERSHIP = (
     "issuer struct<issuerCik: string>, "
     f"nonDerivativeTable struct<nonDerivativeTransaction: {_TRANSACTION}>, "
-    f"derivativeTable struct<derivativeTransaction: {_TRANSACTION}>, "
-    "_corrupt_record string"
+    f"derivativeTable struct<derivativeTransaction: {_TRANSACTION}>"
 )
 
 
-def parse_ownership(content: Column) -> Column:
-    """Struct ``(issuer_cik, codes)`` of an ownership filing.
+def ownership_pairs(content: Column) -> Column:
+    """Array with the ``(issuer_cik, codes)`` struct of an ownership filing, for ``explode``.
 
     ``codes`` joins all transaction codes in document order. An empty filing gives the fixed
-    unknown pair; a filing without a parsable ownership document gives null.
+    unknown pair; a filing without a parsable ownership document gives an empty array.
     """
     xml = F.regexp_extract(content, r"(?s)(<ownershipDocument>.*?</ownershipDocument>)", 1)
-    doc = F.from_xml(
-        F.when(xml != "", xml), _OWNERSHIP,
-        {"ignoreNamespace": "true", "columnNameOfCorruptRecord": "_corrupt_record"},
-    )
 
     def codes(rows: Column) -> Column:
         texts = F.transform(rows, lambda t: t["transactionCoding"]["transactionCode"])
-        return F.array_join(F.coalesce(texts, F.array().cast("array<string>")), "")
-
-    parsed = F.struct(
-        F.coalesce(doc["issuer"]["issuerCik"], F.lit("")).alias("issuer_cik"),
-        F.concat(
-            codes(doc["nonDerivativeTable"]["nonDerivativeTransaction"]),
-            codes(doc["derivativeTable"]["derivativeTransaction"]),
-        ).alias("codes"),
-    )
+        return F.coalesce(F.array_join(texts, ""), F.lit(""))
+
+    def pair(doc: Column) -> Column:
+        return F.struct(
+            F.coalesce(doc["issuer"]["issuerCik"], F.lit("")).alias("issuer_cik"),
+            F.concat(
+                codes(doc["nonDerivativeTable"]["nonDerivativeTransaction"]),
+                codes(doc["derivativeTable"]["derivativeTransaction"]),
+            ).alias("codes"),
+        )
+
     unknown = F.struct(F.lit(UNKNOWN_ISSUER).alias("issuer_cik"), F.lit(UNKNOWN_CODES).alias("codes"))
-    return F.when(content == "", unknown).when(doc.isNotNull() & doc["_corrupt_record"].isNull(), parsed)
+    parsed = _parsed_once(xml, _OWNERSHIP, pair)
+    return F.when(content == "", F.array(unknown)).otherwise(parsed)
+
+
+def parse_ownership(content: Column) -> Column:
+    """The ``(issuer_cik, codes)`` struct of an ownership filing; null if it does not parse."""
+    return F.get(ownership_pairs(content), F.lit(0))

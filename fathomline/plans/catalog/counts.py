@@ -154,14 +154,17 @@ def predicate_filter(spark, folder):
 
 
 @query("""
-select o_orderkey as key, o_totalprice as price, cast(null as integer) as status_code from orders
+select o_orderkey as key, o_totalprice as price, case when o_orderstatus = 'F' then 1.0 end as flag from orders
 """)
 def reshaped_orders(spark, folder):
     """Positional rename, cast of dirty text, drop with an absent name."""
-    rows = table(spark, folder, "orders").select("o_orderkey", F.col("o_totalprice").cast("string"), "o_orderstatus", "o_custkey")
+    rows = table(spark, folder, "orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("string"),
+        F.when(F.col("o_orderstatus") == "F", "1").otherwise("?"), "o_custkey",
+    )
     step = compose(
-        lambda df: rename_all(df, ["key", "price", "status_code", "customer"]),
-        lambda df: cast_columns(df, {"price": "double", "status_code": "int"}),
+        lambda df: rename_all(df, ["key", "price", "flag", "customer"]),
+        lambda df: cast_columns(df, {"price": "double", "flag": "double"}),
         lambda df: drop_columns(df, ["customer", "not_there"]),
     )
     return step(rows)

@@ -85,13 +85,13 @@ def top_holdings_report(spark, folder):
 
 
 @query("""
-with s as (select o_custkey, round(avg(o_totalprice), 2) as beta from orders group by o_custkey)
+with s as (select o_custkey, round(avg(o_totalprice), 8) as beta from orders group by o_custkey)
 select c_custkey as symbol, c_name, beta from customer join s on o_custkey = c_custkey
 """)
 def enriched_companies(spark, folder):
     companies = table(spark, folder, "customer").select(F.col("c_custkey").alias("symbol"), "c_name")
     stats = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("symbol")).agg(
-        F.round(F.avg("o_totalprice"), 2).alias("beta")
+        F.round(F.avg("o_totalprice"), 8).alias("beta")
     )
     return enrich_company(companies, stats)
 

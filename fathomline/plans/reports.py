@@ -14,7 +14,7 @@ from fathomline.streaming.filings import ownership_rows
 def holdings_report(documents: DataFrame, content: str = "content") -> DataFrame:
     """``(token, n)``: how many filings hold each security."""
     parsed = documents.select(parse_holdings(F.col(content)).alias("ids"))
-    return count_tokens(parsed.filter(F.col("ids").isNotNull()), "ids")
+    return count_tokens(parsed, "ids")
 
 
 def ownership_report(documents: DataFrame, content: str = "content") -> DataFrame:
