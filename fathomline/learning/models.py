@@ -57,24 +57,35 @@ def learner(name: str, **params) -> Estimator:
         raise ValueError(f"unknown learner {name}; choose from {sorted(LEARNERS)}") from None
 
 
+def fit_held(estimator: Estimator, df: DataFrame) -> Model:
+    """Fit with the training rows kept on the executors, since every fit reads them many times."""
+    if df.storageLevel.useMemory or df.storageLevel.useDisk:
+        return estimator.fit(df)
+    held = df.persist()
+    try:
+        return estimator.fit(held)
+    finally:
+        held.unpersist()
+
+
 def train_tree(df: DataFrame, label: str = "label", **params) -> Model:
-    return tree(label, **params).fit(df)
+    return fit_held(tree(label, **params), df)
 
 
 def train_forest(df: DataFrame, label: str = "label", **params) -> Model:
-    return forest(label, **params).fit(df)
+    return fit_held(forest(label, **params), df)
 
 
 def train_tree_regressor(df: DataFrame, label: str = "label", **params) -> Model:
-    return tree_regressor(label, **params).fit(df)
+    return fit_held(tree_regressor(label, **params), df)
 
 
 def train_logistic(df: DataFrame, label: str = "label", **params) -> Model:
-    return logistic(label, **params).fit(df)
+    return fit_held(logistic(label, **params), df)
 
 
 def train_svm(df: DataFrame, label: str = "label", **params) -> Model:
-    return svm(label, **params).fit(df)
+    return fit_held(svm(label, **params), df)
 
 
 def score(model, df: DataFrame) -> DataFrame:

@@ -101,7 +101,7 @@ def tune_logistic_recall(
     An inverse strength ``C`` summed over rows equals ``1 / (C * rows)`` on Spark's mean loss.
     """
     rows = train.count()
-    estimator = logistic(label)
+    estimator = logistic(label, standardization=False)
     grid = grid_of(estimator, {
         "elasticNetParam": [1.0, 0.0], "regParam": [1.0 / (c * rows) for c in inverse_penalties],
     })
@@ -117,11 +117,16 @@ def sweep(
     evaluator = evaluator or accuracy_evaluator()
     larger = evaluator.isLargerBetter()
     ranked, best = [], None
-    for params in grid_of(estimator, values):
-        model = estimator.fit(train, params)
-        metric = float(evaluator.evaluate(model.transform(test)))
-        ranked.append((_named(params), metric))
-        if best is None or (metric > best[1] if larger else metric < best[1]):
-            best = (model, metric, _named(params))
+    train, test = train.persist(), test.persist()
+    try:
+        for params in grid_of(estimator, values):
+            model = estimator.fit(train, params)
+            metric = float(evaluator.evaluate(model.transform(test)))
+            ranked.append((_named(params), metric))
+            if best is None or (metric > best[1] if larger else metric < best[1]):
+                best = (model, metric, _named(params))
+    finally:
+        train.unpersist()
+        test.unpersist()
     ranked.sort(key=lambda entry: entry[1], reverse=larger)
     return Tuned(best[0], best[2], best[1], ranked)

@@ -44,8 +44,7 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 def explode_tokens(df: DataFrame, column: str, sep: str = ",", out: str = "token") -> DataFrame:
     """One row per non-empty token; null texts give none."""
-    pieces = F.split(F.col(column), r"\Q" + sep + r"\E")
-    return df.select(F.explode(F.filter(pieces, lambda t: t != "")).alias(out))
+    return df.select(F.explode(F.split(F.col(column), r"\Q" + sep + r"\E")).alias(out)).filter(F.col(out) != "")
 
 
 def count_tokens(df: DataFrame, column: str, sep: str = ",", out: str = "n") -> DataFrame:
@@ -55,7 +54,7 @@ def count_tokens(df: DataFrame, column: str, sep: str = ",", out: str = "n") ->
 
 def explode_chars(df: DataFrame, column: str, out: str = "code") -> DataFrame:
     """One row per character."""
-    return df.select(F.explode(characters(F.col(column))).alias(out))
+    return df.select(F.explode(characters(F.col(column))).alias(out)).filter(F.col(out) != "")
 
 
 def count_codes(df: DataFrame, column: str = "codes", issuer: str | None = "issuer_cik") -> DataFrame:

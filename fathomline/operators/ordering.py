@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathomline.session import shared_folder
+from fathomline.session import materialize
 
 MAX_ROWS_PER_TASK = 2_000_000
 MAX_CHUNKS = 10_000
@@ -184,16 +184,11 @@ def running_totals(
 def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index") -> DataFrame:
     """Zero-based index of each row in the global order of ``order``.
 
-    The range-partitioned sort is checkpointed once, so partition numbers cannot change between
+    The range-partitioned sort is written once, so partition numbers cannot change between
     counting the partitions and reading them. The offset table has one row per partition.
     """
-    shared_folder(df.sparkSession)
-    placed = (
-        df.orderBy(*order)
-        .withColumn("__id", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("__part", F.shiftright("__id", 33))
-    )
+    numbered = df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id())
+    placed = materialize(numbered, "row-index").withColumn("__part", F.shiftright("__id", 33))
     sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
     so_far = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)
     offsets = sizes.select("__part", (F.sum("__size").over(so_far) - F.col("__size")).alias("__offset"))

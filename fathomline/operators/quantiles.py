@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathomline.operators.ordering import MAX_ROWS_PER_TASK, heavy_keys, join_keys
-from fathomline.session import shared_folder
+from fathomline.session import materialize
 
 _GRID = 256
 _ACCURACY = 10_000
@@ -73,10 +73,9 @@ def _inside(keyed, keys, state):
 
 
 def _large_groups(keyed, keys, heavy, upper, max_rows):
-    shared_folder(keyed.sparkSession)
     last = F.expr("n div 2")
     first = last if upper else F.expr("(n - 1) div 2")
-    state = heavy.select(
+    state = materialize(heavy.select(
         *keys,
         "n",
         first.alias("r1"),
@@ -85,7 +84,7 @@ def _large_groups(keyed, keys, heavy, upper, max_rows):
         F.lit(float("nan")).alias("hi"),  # NaN sorts above every double
         F.lit(0).cast("long").alias("below"),
         F.col("n").alias("m"),
-    ).checkpoint()
+    ), "bracket")
 
     for _ in range(_MAX_ROUNDS):
         bracket = _inside(keyed, keys, state).filter("__v between lo and hi")
@@ -108,13 +107,13 @@ def _large_groups(keyed, keys, heavy, upper, max_rows):
         )
         # A bracket that missed its rank is given up for the previous one.
         good = F.expr("below <= r1 and r2 < below + m")
-        state = counted.select(
+        state = materialize(counted.select(
             *keys, "n", "r1", "r2",
             F.when(good, F.col("lo")).otherwise(F.col("lo0")).alias("lo"),
             F.when(good, F.col("hi")).otherwise(F.col("hi0")).alias("hi"),
             F.when(good, F.col("below")).otherwise(F.col("below0")).alias("below"),
             F.when(good, F.col("m")).otherwise(F.col("m0")).alias("m"),
-        ).checkpoint()
+        ), "bracket")
 
     counts = (
         _inside(keyed, keys, state)

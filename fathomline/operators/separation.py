@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.session import shared_folder
+from fathomline.session import materialize
 
 # Distance of a node that was not reached, and the number of hops tried.
 UNREACHED = 9999
@@ -16,11 +16,11 @@ def _hops(edges: DataFrame, start, target, max_hops: int):
     """Walk outwards hop by hop; every frontier is written once to the shared folder.
 
     A hop semi-joins the edges with the frontier, so each edge is read once and a hub is one
-    frontier row. Only emptiness and the target's hit count come back to the driver.
+    frontier row. A small frontier is broadcast by its file size, a large one is shuffled. Only
+    emptiness and the target's hit count come back to the driver.
     """
-    shared_folder(edges.sparkSession)
     node_type = edges.schema["src"].dataType
-    frontier = edges.sparkSession.createDataFrame([(start,)], "node " + node_type.simpleString())
+    frontier = edges.sparkSession.range(1).select(F.lit(start).cast(node_type).alias("node"))
     reached = frontier.withColumn("distance", F.lit(0))
     hit = None
     for hop in range(1, max_hops + 1):
@@ -30,7 +30,7 @@ def _hops(edges: DataFrame, start, target, max_hops: int):
             if parents:
                 hit = (hop, parents)
         new = out.select(F.col("dst").alias("node")).distinct().join(reached, "node", "left_anti")
-        new = new.withColumn("distance", F.lit(hop)).checkpoint()
+        new = materialize(new.withColumn("distance", F.lit(hop)), "frontier")
         if new.isEmpty():
             break
         reached = reached.unionByName(new)
@@ -41,8 +41,7 @@ def _hops(edges: DataFrame, start, target, max_hops: int):
 
 
 def _distinct_edges(edges: DataFrame) -> DataFrame:
-    shared_folder(edges.sparkSession)
-    return edges.select("src", "dst").distinct().checkpoint()
+    return materialize(edges.select("src", "dst").distinct(), "edges")
 
 
 def degrees_of_separation(edges: DataFrame, start, target=None, max_hops: int = MAX_HOPS) -> DataFrame:

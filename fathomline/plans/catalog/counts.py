@@ -17,6 +17,7 @@ from fathomline.operators.filters import (
 from fathomline.operators.quantiles import median_by, median_of, upper_median
 from fathomline.plans.catalog.registry import query, table
 from fathomline.plans.flow import compose, sql_over
+from fathomline.session import spread
 
 
 @query("""
@@ -49,7 +50,7 @@ select token, count(*) as n from (select unnest(string_split(text, ' ')) as toke
 where token <> '' group by token
 """)
 def token_count(spark, folder):
-    return count_tokens(table(spark, folder, "documents"), "text", " ")
+    return count_tokens(spread(table(spark, folder, "documents").select("text")), "text", " ")
 
 
 @query("""
@@ -57,7 +58,8 @@ select token, count(*) as n from (select unnest(string_split(text, ' ')) as toke
 where token <> '' group by token order by n desc, token limit 30
 """)
 def top_tokens(spark, folder):
-    return top_k(count_tokens(table(spark, folder, "documents"), "text", " "), "n", 30, ["token"])
+    tokens = count_tokens(spread(table(spark, folder, "documents").select("text")), "text", " ")
+    return top_k(tokens, "n", 30, ["token"])
 
 
 @query("""

@@ -8,6 +8,7 @@ from fathomline.functions.filings import parse_holdings
 from fathomline.operators.counts import pivot_codes
 from fathomline.plans.catalog.registry import query, table
 from fathomline.plans.reports import holdings_report, ownership_report
+from fathomline.session import spread
 from fathomline.streaming.filings import ownership_rows
 
 
@@ -20,7 +21,8 @@ def _holdings(spark, folder):
         + "</ns1:informationTable>\n</XML>\n</SEC-DOCUMENT>",
         *[F.concat(F.lit(kind), F.col(c).cast("string")) for kind, c in (("p", "l_partkey"), ("s", "l_suppkey"), ("p", "l_partkey"))],
     )
-    return table(spark, folder, "lineitem").select(content.alias("content"))
+    lines = table(spark, folder, "lineitem").select("l_partkey", "l_suppkey")
+    return spread(lines).select(content.alias("content"))
 
 
 @query("""
@@ -54,7 +56,8 @@ def ownership_content():
 
 
 def _ownership(spark, folder):
-    return table(spark, folder, "lineitem").select(ownership_content().alias("content"))
+    lines = table(spark, folder, "lineitem").select("l_suppkey", "l_tax", "l_returnflag", "l_linestatus")
+    return spread(lines).select(ownership_content().alias("content"))
 
 
 @query("""

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from fathomline.operators.separation import degrees_of_separation, hit
 from fathomline.plans.catalog.registry import query, table
+from fathomline.session import spread
 
 
 def _edges(spark, folder):
     """Both directions of every supplier-part link; nodes are text such as ``s7`` and ``p12``."""
-    links = table(spark, folder, "lineitem").select(
+    links = spread(table(spark, folder, "lineitem").select("l_suppkey", "l_partkey")).select(
         F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("s"),
         F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("p"),
     )

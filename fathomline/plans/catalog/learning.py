@@ -21,13 +21,14 @@ from fathomline.learning.tuning import (
 from fathomline.operators.filters import random_split
 from fathomline.plans.catalog.registry import query, table
 from fathomline.plans.catalog.similarity import ratings
+from fathomline.session import spread
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def _lines(spark, folder):
     """Order lines labelled by whether they are expensive."""
-    return table(spark, folder, "lineitem").select(
+    return spread(table(spark, folder, "lineitem").select(*NUMBERS)).select(
         *NUMBERS, F.when(F.col("l_extendedprice") > 30000, 1.0).otherwise(0.0).alias("label")
     )
 

@@ -12,7 +12,7 @@ from fathomline.operators.counts import count_by, top_k
 from fathomline.operators.filters import null_counts
 from fathomline.plans.catalog.registry import query, table
 from fathomline.plans.flow import Flow
-from fathomline.session import fresh_path
+from fathomline.session import fresh_path, spread
 from fathomline.sinks.tables import (
     load_table, store_table, write_csv, write_documents, write_parquet, write_ranked_csv, write_sorted_text,
 )
@@ -163,7 +163,8 @@ def archive_members(spark, folder):
                 blobs.append(buffer.getvalue())
             yield pd.DataFrame({"content": blobs})
 
-    archives = table(spark, folder, "documents").select("doc_id", "text", "lang").mapInPandas(pack, "content binary")
+    documents = spread(table(spark, folder, "documents").select("doc_id", "text", "lang"))
+    archives = documents.mapInPandas(pack, "content binary")
     return explode_zip(archives).select("name", F.length("text").cast("long").alias("size"))
 
 

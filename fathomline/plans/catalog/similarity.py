@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fathomline.operators.similarity import items_similar_to, pair_similarity
 from fathomline.plans.catalog.registry import query, table
+from fathomline.session import materialize, spread
 
 _RATINGS = """
 with r as (select o_custkey as u, l_partkey as i, avg(l_quantity) as x
@@ -15,7 +16,7 @@ with r as (select o_custkey as u, l_partkey as i, avg(l_quantity) as x
 
 def ratings(spark, folder):
     """``(user, item, rating)``: mean quantity of a part bought by a customer."""
-    lines = table(spark, folder, "lineitem").select("l_orderkey", F.col("l_partkey").alias("item"), "l_quantity")
+    lines = spread(table(spark, folder, "lineitem").select("l_orderkey", F.col("l_partkey").alias("item"), "l_quantity"))
     orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("user"))
     bought = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
     return bought.groupBy("user", "item").agg(F.avg("l_quantity").alias("rating"))
@@ -29,7 +30,8 @@ group by 1, 2
 having sum(a.x * b.x) / (sqrt(sum(a.x * a.x)) * sqrt(sum(b.x * b.x))) > 0.97 and count(*) > 3
 """)
 def co_similarity(spark, folder):
-    pairs = pair_similarity(ratings(spark, folder), 0.97, 3)
+    # The ratings are read several times, so their join and mean are computed once.
+    pairs = pair_similarity(materialize(ratings(spark, folder), "ratings"), 0.97, 3)
     return pairs.withColumn("score", F.round("score", 6))
 
 

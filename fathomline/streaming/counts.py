@@ -7,15 +7,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.functions.text import split_words
-
 # The counts a running word count starts from.
 INITIAL_COUNTS = {"hello": 1, "world": 1}
 
 
 def explode_words(df: DataFrame, column: str = "value", out: str = "word") -> DataFrame:
     """One row per word."""
-    return df.select(F.explode(split_words(F.col(column))).alias(out))
+    return df.select(F.explode(F.split(F.col(column), " ")).alias(out)).filter(F.col(out) != "")
 
 
 def word_count(df: DataFrame, column: str = "value") -> DataFrame:
