@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fathomline.functions.encoding import bucket_two, encode_binary, encode_ordinal
 from fathomline.operators.counts import most_common
@@ -28,14 +27,10 @@ def impute_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
     # One row of a few values: the only thing that reaches the driver.
     modes = pivoted.first()
-    filled = {}
-    for i, name in enumerate(names):
-        kind = df.schema[name].dataType
-        mode = F.lit(modes[f"m{i}"])
-        if isinstance(kind, T.NumericType):
-            mode = mode.cast("double")
-        filled[name] = F.coalesce(F.col(f"`{name}`"), mode.cast(kind))
-    return df.withColumns(filled)
+    return df.withColumns({
+        name: F.coalesce(F.col(f"`{name}`"), F.lit(modes[f"m{i}"]).cast(df.schema[name].dataType))
+        for i, name in enumerate(names)
+    })
 
 
 def impute_mean(df: DataFrame, column: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fathomline.operators.counts import count_by
 from fathomline.operators.ordering import MAX_ROWS_PER_TASK, running_totals
+from fathomline.session import materialize
 
 
 def _number(column: str) -> Column:
@@ -77,8 +78,11 @@ def curve(
     The running counts cover every row scored at or above the threshold.
     """
     hit = F.col(label) == positive
-    points = scores.groupBy(F.col(score).alias("threshold")).agg(
-        F.count_if(hit).alias("tp"), F.count_if(~hit).alias("fp")
+    points = materialize(
+        scores.groupBy(F.col(score).alias("threshold")).agg(
+            F.count_if(hit).alias("tp"), F.count_if(~hit).alias("fp")
+        ),
+        "curve",
     )
     totals = points.agg(F.sum("tp").alias("positives"), F.sum("fp").alias("negatives"))
     rows = running_totals(points, "threshold", ["tp", "fp"], descending=True, max_rows_per_task=max_rows_per_task)

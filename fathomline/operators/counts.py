@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,29 +96,33 @@ def _value_counts(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame
     )
 
 
+def _comparable(kind: T.DataType) -> str:
+    """The type a column's values are counted and compared in."""
+    if isinstance(kind, T.IntegralType):
+        return "long"
+    return "double" if isinstance(kind, T.NumericType) else "string"
+
+
 def most_common(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
     """``(column, value, n)``: the most frequent non-null value of each column, as text.
 
-    Ties go to the smallest value. Counts are combined map-side and the winner is picked by a
-    mergeable maximum, so a column with many distinct values never sits in one buffer. Numeric
-    columns are compared as numbers, all others as text.
+    Ties go to the smallest value; numbers are compared as numbers. Counts are combined map-side
+    and the winner is a mergeable minimum over (-n, value), so a column with many distinct values
+    never sits in one buffer. Columns of one kind share a pass.
     """
     names = [columns] if isinstance(columns, str) else list(columns)
-    numeric = [c for c in names if isinstance(df.schema[c].dataType, T.NumericType)]
-    other = [c for c in names if c not in numeric]
+    kinds: dict[str, list[str]] = {}
+    for name in names:
+        kinds.setdefault(_comparable(df.schema[name].dataType), []).append(name)
     parts = []
-    if numeric:
-        best = _value_counts(df, numeric, "double").groupBy("column").agg(
-            F.max(F.struct("n", (-F.col("value")).alias("negated"))).alias("best")
-        )
-        parts.append(best.select("column", (-F.col("best.negated")).cast("string").alias("value"), F.col("best.n").alias("n")))
-    if other:
-        # A minimum over (-n, value) prefers the larger count, then the smaller text.
-        best = _value_counts(df, other, "string").groupBy("column").agg(
+    for kind, members in kinds.items():
+        best = _value_counts(df, members, kind).groupBy("column").agg(
             F.min(F.struct((-F.col("n")).alias("negated"), "value")).alias("best")
         )
-        parts.append(best.select("column", F.col("best.value").alias("value"), (-F.col("best.negated")).alias("n")))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        parts.append(best.select(
+            "column", F.col("best.value").cast("string").alias("value"), (-F.col("best.negated")).alias("n")
+        ))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def class_probabilities(df: DataFrame, label: str) -> DataFrame:

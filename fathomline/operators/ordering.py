@@ -21,6 +21,7 @@ from fathomline.session import materialize
 
 MAX_ROWS_PER_TASK = 2_000_000
 MAX_CHUNKS = 10_000
+MAX_BROADCAST_ROWS = 100_000
 
 _CHUNK = "__chunk"
 _AXIS = "__axis"
@@ -77,6 +78,11 @@ def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(renamed, same, how).drop(*[f"__right_{k}" for k in keys])
 
 
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    """Mark a frame of a known number of rows for broadcast, if that number is small."""
+    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
+
+
 def with_neighbours(
     df: DataFrame,
     keys: Sequence[str],
@@ -85,73 +91,84 @@ def with_neighbours(
     previous: str | None = None,
     following: str | None = None,
     position: str | None = None,
+    length: str | None = None,
+    mean: str | None = None,
     max_rows_per_task: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
-    """Add the previous row, the following row and the zero-based position within each key.
+    """Add what a row can know about its series: neighbours, position, length, mean.
 
     ``previous`` and ``following`` name struct columns holding ``values`` of the adjacent row
-    (null at the ends). ``order`` should be a total order within the key; its first column must
-    be numeric, date or timestamp when a key has to be split.
+    (null at the ends), ``position`` counts from 0, ``length`` is the row count of the key and
+    ``mean`` the mean of the first of ``values``. ``order`` should be a total order within the
+    key; its first column must be numeric, date or timestamp when a key has to be split.
     """
     keys, order, values = list(keys), list(order), list(values)
     heavy = heavy_keys(df, keys, max_rows_per_task)
-    total = heavy.agg(F.sum("n").alias("n")).first()["n"]
+    found = heavy.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("keys")).first()
     row = F.struct(*values)
-
-    if total is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        added = {}
-        if previous:
-            added[previous] = F.lag(row).over(w)
-        if following:
-            added[following] = F.lead(row).over(w)
-        if position:
-            added[position] = F.row_number().over(w).cast("long") - 1
-        return df.withColumns(added)
-
-    flagged = heavy.select(*keys, F.lit(True).alias("__heavy"))
+    measure = F.col(values[0]) if mean else F.lit(None).cast("double")
+
+    if not found["keys"]:
+        w, whole = Window.partitionBy(*keys).orderBy(*order), Window.partitionBy(*keys)
+        wanted = {
+            previous: F.lag(row).over(w),
+            following: F.lead(row).over(w),
+            position: F.row_number().over(w).cast("long") - 1,
+            length: F.count(F.lit(1)).over(whole),
+            mean: F.avg(measure).over(whole),
+        }
+        return df.withColumns({name: column for name, column in wanted.items() if name})
+
+    flagged = _small(heavy.select(*keys, F.lit(True).alias("__heavy")), found["keys"])
     axed = df.withColumn(_AXIS, axis_value(df, order[0]))
     marked = join_keys(axed, flagged, keys, "left").fillna({"__heavy": False})
-    pieces = math.ceil(total / max_rows_per_task) + 1
+    pieces = math.ceil(found["rows"] / max_rows_per_task) + 1
     cuts = split_points(marked.filter("__heavy"), _AXIS, pieces)
     chunked = assign_chunk(marked, _AXIS, cuts, _CHUNK).withColumn(
         _CHUNK, F.when(F.col("__heavy"), F.col(_CHUNK)).otherwise(F.lit(-1.0))
     )
 
     rank = F.struct(*order)
-    borders = (
+    parts = (
         chunked.filter("__heavy")
         .groupBy(*keys, _CHUNK)
         .agg(
             F.min_by(row, rank).alias("__first"),
             F.max_by(row, rank).alias("__last"),
             F.count(F.lit(1)).alias("__n"),
+            F.sum(measure).alias("__sum"),
+            F.count(measure).alias("__filled"),
         )
     )
-    across = Window.partitionBy(*keys).orderBy(_CHUNK)
-    borders = borders.select(
+    across, whole = Window.partitionBy(*keys).orderBy(_CHUNK), Window.partitionBy(*keys)
+    borders = parts.select(
         *keys,
         _CHUNK,
         F.lag("__last").over(across).alias("__before"),
         F.lead("__first").over(across).alias("__after"),
         (F.sum("__n").over(across.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")).alias("__offset"),
+        F.sum("__n").over(whole).alias("__total"),
+        F.try_divide(F.sum("__sum").over(whole), F.sum("__filled").over(whole)).alias("__mean"),
     )
 
-    w = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
+    inside, piece = Window.partitionBy(*keys, _CHUNK).orderBy(*order), Window.partitionBy(*keys, _CHUNK)
     local = chunked.withColumns({
-        "__prev": F.lag(row).over(w),
-        "__next": F.lead(row).over(w),
-        "__pos": F.row_number().over(w).cast("long") - 1,
+        "__prev": F.lag(row).over(inside),
+        "__next": F.lead(row).over(inside),
+        "__pos": F.row_number().over(inside).cast("long") - 1,
+        "__count": F.count(F.lit(1)).over(piece),
+        "__avg": F.avg(measure).over(piece),
     })
+    borders = _small(borders, found["keys"] * (len(cuts) + 1))
     joined = join_keys(local, borders, [*keys, _CHUNK], "left")
-    added = []
-    if previous:
-        added.append(F.coalesce("__prev", "__before").alias(previous))
-    if following:
-        added.append(F.coalesce("__next", "__after").alias(following))
-    if position:
-        added.append((F.col("__pos") + F.coalesce("__offset", F.lit(0))).alias(position))
-    return joined.select(*df.columns, *added)
+    wanted = {
+        previous: F.coalesce("__prev", "__before"),
+        following: F.coalesce("__next", "__after"),
+        position: F.col("__pos") + F.coalesce("__offset", F.lit(0)),
+        length: F.coalesce("__total", "__count"),
+        mean: F.when(F.col("__heavy"), F.col("__mean")).otherwise(F.col("__avg")),
+    }
+    return joined.select(*df.columns, *[column.alias(name) for name, column in wanted.items() if name])
 
 
 def running_totals(
@@ -167,18 +184,24 @@ def running_totals(
     ``order`` must hold one row per value (aggregate first). Rows are cut into ranges; only the
     range totals, at most ``MAX_CHUNKS`` rows, meet in a single window.
     """
-    axed = df.withColumn(_AXIS, axis_value(df, order))
+    direction = F.desc if descending else F.asc
+    so_far = (Window.unboundedPreceding, 0)
     pieces = math.ceil(df.count() / max_rows_per_task)
+    if pieces <= 1:
+        w = Window.orderBy(direction(order)).rowsBetween(*so_far)
+        return df.withColumns({f"{m}{suffix}": F.sum(m).over(w) for m in measures})
+
+    axed = df.withColumn(_AXIS, axis_value(df, order))
     chunked = assign_chunk(axed, _AXIS, split_points(axed, _AXIS, pieces), _CHUNK)
-    direction = F.desc if descending else F.asc
-    inside = Window.partitionBy(_CHUNK).orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(_CHUNK).orderBy(direction(order)).rowsBetween(*so_far)
     local = chunked.withColumns({f"__{m}": F.sum(m).over(inside) for m in measures})
 
-    before = Window.orderBy(direction(_CHUNK)).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy(direction(_CHUNK)).rowsBetween(*so_far)
     offsets = chunked.groupBy(_CHUNK).agg(*[F.sum(m).alias(m) for m in measures])
     offsets = offsets.select(_CHUNK, *[(F.sum(m).over(before) - F.col(m)).alias(f"__off_{m}") for m in measures])
     totals = [(F.col(f"__{m}") + F.col(f"__off_{m}")).alias(f"{m}{suffix}") for m in measures]
-    return local.join(offsets, _CHUNK).select(*df.columns, *totals)
+    # At most MAX_CHUNKS + 1 rows.
+    return local.join(F.broadcast(offsets), _CHUNK).select(*df.columns, *totals)
 
 
 def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index") -> DataFrame:
@@ -193,7 +216,8 @@ def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index")
     so_far = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)
     offsets = sizes.select("__part", (F.sum("__size").over(so_far) - F.col("__size")).alias("__offset"))
     index = F.col("__offset") + F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.join(offsets, "__part").select(*df.columns, index.alias(name))
+    # One row per shuffle partition.
+    return placed.join(F.broadcast(offsets), "__part").select(*df.columns, index.alias(name))
 
 
 def skip_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:

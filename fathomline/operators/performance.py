@@ -8,10 +8,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fathomline.operators.ordering import MAX_ROWS_PER_TASK, join_keys, with_neighbours
+from fathomline.operators.ordering import MAX_ROWS_PER_TASK, heavy_keys, join_keys, with_neighbours
 
 # The period that ends at the middle of its history, the history it is read from,
 # and the trading days of a year.
@@ -29,14 +29,44 @@ def _endpoint(period: str):
     return F.expr("n div 2") if period == HALF_PERIOD else F.col("n") - 1
 
 
-def _positioned(quotes, keys, order, price, period, max_rows, previous=None):
+def _returns(price: str):
+    return [
+        F.max(F.when(F.col("pos") == 0, F.col(price))).alias("start_price"),
+        F.max(F.when(F.col("pos") == F.col("endpoint"), F.col(price))).alias("latest_price"),
+        F.max(price).alias("max_price"),
+    ]
+
+
+def _performance():
+    return F.try_divide("latest_price", "start_price") - 1
+
+
+def _daily_change(price: str):
+    """Relative change of a row before the endpoint; null for the first row and from the endpoint on."""
+    return F.when(F.col("pos") < F.col("endpoint"), F.try_divide(F.col(price), F.col(f"prev.{price}")) - 1)
+
+
+def _sharpe(change):
+    annual = F.lit(math.sqrt(TRADING_DAYS))
+    return (annual * F.try_divide(F.avg(change), F.stddev_pop(change))).alias("sharpe_ratio")
+
+
+def _days(price: str):
+    below = F.col(price) < F.col("avg_price")
+    return [
+        F.min(price).alias("min_price"),
+        F.count_if(below).alias("days_below_avg"),
+        F.count_if(~below).alias("days_not_below_avg"),
+    ]
+
+
+def _positioned(quotes, keys, order, price, period, max_rows, **wanted):
     """Rows with their position and the position of the period's endpoint."""
     rows = with_neighbours(
         quotes.select(*keys, *order, price), keys, order, [price],
-        previous=previous, position="pos", max_rows_per_task=max_rows,
+        position="pos", length="n", max_rows_per_task=max_rows, **wanted,
     )
-    lengths = quotes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return join_keys(rows, lengths, keys).select(*rows.columns, _endpoint(period).alias("endpoint"))
+    return rows.withColumn("endpoint", _endpoint(period))
 
 
 def period_stats(
@@ -56,12 +86,8 @@ def period_stats(
         )
     else:
         rows = _positioned(quotes, keys, list(order), price, period, max_rows_per_task)
-        stats = rows.groupBy(*keys).agg(
-            F.max(F.when(F.col("pos") == 0, p)).alias("start_price"),
-            F.max(F.when(F.col("pos") == F.col("endpoint"), p)).alias("latest_price"),
-            F.max(p).alias("max_price"),
-        )
-    return stats.withColumn("performance", F.try_divide("latest_price", "start_price") - 1)
+        stats = rows.groupBy(*keys).agg(*_returns(price))
+    return stats.withColumn("performance", _performance())
 
 
 def sharpe_ratio(
@@ -72,36 +98,27 @@ def sharpe_ratio(
 
     The endpoint quote takes no part. Null if there is no change or no deviation.
     """
-    keys, order = list(keys), list(order)
-    if period == HALF_PERIOD:
-        rows = _positioned(quotes, keys, order, price, period, max_rows_per_task, previous="prev")
-        change = F.when(F.col("pos") < F.col("endpoint"), F.try_divide(F.col(price), F.col(f"prev.{price}")) - 1)
-    else:
-        # The endpoint is the last row, which is the one without a following row.
-        rows = with_neighbours(
-            quotes.select(*keys, *order, price), keys, order, [price],
-            previous="prev", following="next", max_rows_per_task=max_rows_per_task,
-        )
-        change = F.when(F.col("next").isNotNull(), F.try_divide(F.col(price), F.col(f"prev.{price}")) - 1)
-    changes = rows.select(*keys, change.alias("r"))
-    stats = changes.groupBy(*keys).agg(F.avg("r").alias("mean"), F.stddev_pop("r").alias("deviation"))
-    ratio = F.lit(math.sqrt(TRADING_DAYS)) * F.try_divide("mean", "deviation")
-    return stats.select(*keys, ratio.alias("sharpe_ratio"))
+    keys = list(keys)
+    rows = _positioned(quotes, keys, list(order), price, period, max_rows_per_task, previous="prev")
+    return rows.groupBy(*keys).agg(_sharpe(_daily_change(price)))
 
 
-def price_stats(quotes: DataFrame, keys: Sequence[str] = ("symbol",), price: str = "close") -> DataFrame:
+def price_stats(
+    quotes: DataFrame, keys: Sequence[str] = ("symbol",), price: str = "close",
+    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+) -> DataFrame:
     """``(keys, max_price, min_price, days_below_avg, days_not_below_avg)`` per series.
 
-    The mean is one row per series and is joined back, so no series is gathered in one task.
+    The mean comes from a window over each series, or, if a series is too large for one task,
+    from an aggregate that is joined back.
     """
     keys = list(keys)
-    averages = quotes.groupBy(*keys).agg(F.avg(price).alias("avg_price"))
-    joined = join_keys(quotes.select(*keys, price), averages, keys)
-    below = F.col(price) < F.col("avg_price")
-    return joined.groupBy(*keys).agg(
-        F.max(price).alias("max_price"), F.min(price).alias("min_price"),
-        F.count_if(below).alias("days_below_avg"), F.count_if(~below).alias("days_not_below_avg"),
-    )
+    rows = quotes.select(*keys, price)
+    if heavy_keys(rows, keys, max_rows_per_task).isEmpty():
+        centred = rows.withColumn("avg_price", F.avg(price).over(Window.partitionBy(*keys)))
+    else:
+        centred = join_keys(rows, rows.groupBy(*keys).agg(F.avg(price).alias("avg_price")), keys)
+    return centred.groupBy(*keys).agg(F.max(price).alias("max_price"), *_days(price))
 
 
 def growth_ratio(
@@ -118,10 +135,12 @@ def stock_performance(
     quotes: DataFrame, companies: DataFrame, period: str = "3m", key: str = "symbol",
     order: Sequence[str] = ("date",), price: str = "close", max_rows_per_task: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
-    """Company rows with period statistics, Sharpe ratio and price statistics, period-suffixed."""
-    returns = period_stats(quotes, period, [key], order, price, max_rows_per_task)
-    sharpe = sharpe_ratio(quotes, period, [key], order, price, max_rows_per_task)
-    spread = price_stats(quotes, [key], price).drop("max_price")
-    stats = returns.join(sharpe, key).join(spread, key)
+    """Company rows with period statistics, Sharpe ratio and price statistics, period-suffixed.
+
+    All statistics share one pass over the quotes and one partitioning by series.
+    """
+    rows = _positioned(quotes, [key], list(order), price, period, max_rows_per_task, previous="prev", mean="avg_price")
+    stats = rows.groupBy(key).agg(*_returns(price), _sharpe(_daily_change(price)), *_days(price))
+    stats = stats.withColumn("performance", _performance())
     named = stats.withColumnsRenamed({c: f"{c}_{period}" for c in stats.columns if c != key})
     return companies.join(named, key)

@@ -114,7 +114,7 @@ def upper_median_balance(spark, folder):
 (select 'c_mktsegment' as "column", c_mktsegment as value, count(*) as n from customer
  group by c_mktsegment order by n desc, value limit 1)
 union all
-(select 'c_nationkey', cast(cast(c_nationkey as double) as varchar), count(*) as n from customer
+(select 'c_nationkey', cast(c_nationkey as varchar), count(*) as n from customer
  group by c_nationkey order by n desc, c_nationkey limit 1)
 """)
 def most_common_values(spark, folder):

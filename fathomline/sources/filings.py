@@ -50,19 +50,37 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     return reader.load(path).select("path", "content")
 
 
-def explode_zip(archives: DataFrame, content: str = "content", encoding: str = "utf-8") -> DataFrame:
-    """One row ``(name, text)`` per archive member; a broken archive gives no rows."""
+def _members(blob: bytes | None, encoding: str) -> Iterator[tuple[str, str]]:
+    """``(name, text)`` of each member, read one at a time."""
+    try:
+        archive = zipfile.ZipFile(io.BytesIO(blob))
+    except (zipfile.BadZipFile, TypeError):
+        return
+    with archive:
+        for name in archive.namelist():
+            yield name, archive.read(name).decode(encoding, "replace")
+
+
+def explode_zip(
+    archives: DataFrame, content: str = "content", encoding: str = "utf-8", batch_chars: int = 8_000_000
+) -> DataFrame:
+    """One row ``(name, text)`` per archive member; a broken archive gives no rows.
+
+    Members are handed back in batches of about ``batch_chars``, so a large archive is never held
+    unpacked as a whole.
+    """
 
-    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
         for batch in batches:
             for blob in batch[content]:
-                try:
-                    archive = zipfile.ZipFile(io.BytesIO(blob))
-                except (zipfile.BadZipFile, TypeError):
-                    continue
-                with archive:
-                    for name in archive.namelist():
-                        text = archive.read(name).decode(encoding, "replace")
-                        yield pd.DataFrame({"name": [name], "text": [text]})
-
-    return archives.select(content).mapInPandas(members, "name string, text string")
+                for name, text in _members(blob, encoding):
+                    held.append((name, text))
+                    size += len(text)
+                    if size >= batch_chars:
+                        yield pd.DataFrame(held, columns=["name", "text"])
+                        held, size = [], 0
+        if held:
+            yield pd.DataFrame(held, columns=["name", "text"])
+
+    return archives.select(content).mapInPandas(unpack, "name string, text string")

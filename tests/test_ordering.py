@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fathomline.operators.moves import next_pair, price_change, signed_move, up_move
 from fathomline.operators.ordering import running_totals, skip_rows, split_points, with_neighbours, with_row_index
-from fathomline.operators.performance import growth_ratio, history_of, period_stats, price_stats, sharpe_ratio
+from fathomline.operators.performance import growth_ratio, history_of, period_stats, price_stats, sharpe_ratio, stock_performance
 from fathomline.operators.quantiles import median_by, median_of, upper_median
 
 GOLDEN = [1, 2, 3, 2, 4, 3, 1, 5]
@@ -49,13 +49,14 @@ def test_golden_moves(golden):
 @pytest.mark.parametrize("limit", [10_000, 300, 50])
 def test_neighbours_do_not_depend_on_splitting(skewed, limit):
     got = with_neighbours(
-        skewed, ["symbol"], ["day", "id"], ["id", "close"], "prev", "next", "pos", max_rows_per_task=limit
+        skewed, ["symbol"], ["day", "id"], ["close", "id"], "prev", "next", "pos", "n", "mean", max_rows_per_task=limit
     ).collect()
     expected = brute(skewed)
     assert len(got) == sum(map(len, expected.values()))
     for r in got:
         series = expected[r.symbol]
         assert series[r.pos][1] == r.id
+        assert r.n == len(series) and r.mean == pytest.approx(sum(p for _, _, p in series) / len(series))
         before = series[r.pos - 1] if r.pos else None
         after = series[r.pos + 1] if r.pos + 1 < len(series) else None
         assert (r.prev and r.prev.id) == (before and before[1])
@@ -96,6 +97,23 @@ def test_period_stats_and_sharpe(skewed, period, limit):
         assert sharpe[symbol] == pytest.approx(math.sqrt(250) * mean / sigma)
 
 
+@pytest.mark.parametrize("period", ["6m", "3-6m"])
+def test_stock_performance_equals_its_parts(spark, skewed, period):
+    quotes = skewed.filter("symbol is not null")
+    companies = spark.createDataFrame([("hot", "Hot Inc"), ("a", "A Inc"), ("z", "No quotes")], "symbol string, name string")
+    options = {"order": ["day", "id"], "max_rows_per_task": 150}
+    got = {r.symbol: r for r in stock_performance(quotes, companies, period, **options).collect()}
+    assert set(got) == {"hot", "a"}
+    returns = {r.symbol: r for r in period_stats(quotes, period, **options).collect()}
+    ratio = {r.symbol: r.sharpe_ratio for r in sharpe_ratio(quotes, period, **options).collect()}
+    spread = {r.symbol: r for r in price_stats(quotes).collect()}
+    for symbol, r in got.items():
+        assert r[f"performance_{period}"] == pytest.approx(returns[symbol].performance)
+        assert r[f"sharpe_ratio_{period}"] == pytest.approx(ratio[symbol])
+        assert r[f"days_below_avg_{period}"] == spread[symbol].days_below_avg
+        assert r[f"max_price_{period}"] == spread[symbol].max_price
+
+
 def test_degenerate_series(spark):
     df = spark.createDataFrame(
         [("one", 1, 5.0), ("flat", 1, 2.0), ("flat", 2, 2.0), ("flat", 3, 2.0), ("zero", 1, 0.0), ("zero", 2, 3.0)],
@@ -107,8 +125,9 @@ def test_degenerate_series(spark):
     assert history_of("3-6m") == "6m" and history_of("1m") == "1m"
 
 
-def test_price_stats(golden):
-    r = price_stats(golden).first()
+@pytest.mark.parametrize("limit", [100, 3])
+def test_price_stats(golden, limit):
+    r = price_stats(golden, max_rows_per_task=limit).first()
     assert (r.max_price, r.min_price, r.days_below_avg, r.days_not_below_avg) == (5, 1, 4, 4)
 
 
