@@ -45,14 +45,14 @@ def to_labeled(
 ) -> DataFrame:
     """``(label, features)`` with the label taken by position.
 
-    Indicator columns, if given, collapse into the position of the last positive one, which
-    becomes the first feature.
+    Indicator columns, if given, collapse into the position of the last positive one. That number
+    takes the label's place among the features.
     """
     names = df.columns
-    rest = [names[i] for i in range(len(names)) if i != target and i not in set(indicators)]
-    rows = df
+    kept = [i for i in range(len(names)) if i not in set(indicators)]
+    before, after = [names[i] for i in kept if i < target], [names[i] for i in kept if i > target]
+    rows, group = df, []
     if indicators:
-        group = last_positive([F.col(f"`{names[i]}`") for i in indicators])
-        rows, rest = df.withColumn("__group", group), ["__group", *rest]
-    packed = assembler(rest, out).transform(rows)
+        rows, group = df.withColumn("__group", last_positive([F.col(f"`{names[i]}`") for i in indicators])), ["__group"]
+    packed = assembler([*before, *group, *after], out).transform(rows)
     return packed.select(F.col(f"`{names[target]}`").cast("double").alias(label), out)

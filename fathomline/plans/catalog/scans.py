@@ -16,7 +16,7 @@ from fathomline.session import fresh_path, spread
 from fathomline.sinks.tables import (
     load_table, store_table, write_csv, write_documents, write_parquet, write_ranked_csv, write_sorted_text,
 )
-from fathomline.sources.filings import explode_zip, read_filing_index
+from fathomline.sources.filings import explode_zip, read_documents, read_filing_index
 from fathomline.sources.market import explode_forecast, explode_quotes
 from fathomline.sources.relations import read_adjacency, read_item_names, read_ratings
 from fathomline.sources.tables import read_csv, read_json, read_lines, read_parquet, read_positional
@@ -145,6 +145,17 @@ def forecast_maps(spark, folder):
     )
 
 
+@query("select count(*) as n, sum(length(html))::bigint as chars from pages")
+def whole_document_scan(spark, folder):
+    """Every page landed as a file of its own, then read back one row per file."""
+    path = fresh_path(spark, "pages")
+    table(spark, folder, "pages").select("html").write.option("maxRecordsPerFile", 1).text(path)
+    # The text writer ends each file with a line break that is not part of the page.
+    body = F.regexp_replace("content", r"\n\z", "")
+    rows = read_documents(spark, path).select(F.length(body).alias("size"))
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.sum("size").cast("long").alias("chars"))
+
+
 @query("""
 select doc_id || '.txt' as name, length(text) as size from documents
 union all select doc_id || '.lang', length(lang) from documents

@@ -13,6 +13,7 @@ from fathomline.operators.performance import (
     growth_ratio, period_stats, price_stats, sharpe_ratio, stock_performance,
 )
 from fathomline.plans.catalog.registry import query, table
+from fathomline.plans.reports import combined_results, emerging
 
 KEYS = ["o_custkey"]
 ORDER = ["o_orderdate", "o_orderkey"]
@@ -199,6 +200,36 @@ def company_performance(spark, folder):
     )
 
 
+@query("""
+with p as (
+  select o_custkey, o_orderdate >= timestamp '1998-01-01' as recent,
+         round(arg_max(o_totalprice, (o_orderdate, o_orderkey)) / arg_min(o_totalprice, (o_orderdate, o_orderkey)) - 1, 6)
+           as performance
+  from orders group by 1, 2)
+select a.o_custkey as "Symbol", a.performance as performance3m, b.performance as performance1m,
+       round(b.performance - a.performance, 6) as diffs
+from p a join p b on a.o_custkey = b.o_custkey
+where not a.recent and b.recent and b.performance > a.performance
+order by b.performance - a.performance desc, a.o_custkey limit 30
+""")
+def emerging_performers(spark, folder):
+    """Two periods' results joined per company, ranked by how much the recent one is better."""
+    recent = F.col("o_orderdate") >= F.lit("1998-01-01")
+
+    def result(rows, name):
+        stats = period_stats(rows, "3m", **SERIES)
+        return stats.select(
+            F.col("o_custkey").alias("Symbol"), F.lit("x").alias("industry"), F.round("performance", 6).alias(name)
+        )
+
+    orders = _orders(spark, folder)
+    joined = combined_results(
+        result(orders.filter(~recent), "performance3m"), result(orders.filter(recent), "performance1m")
+    )
+    best = emerging(joined.drop("industry"), "performance1m", "performance3m")
+    return best.withColumn("diffs", F.round("diffs", 6))
+
+
 @query("""
 select o_custkey, min(o_totalprice) as "min_1m", max(o_totalprice) as "max_1m", count(*) as "days_1m"
 from orders group by o_custkey

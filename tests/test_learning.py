@@ -63,6 +63,8 @@ def test_to_labeled(spark):
     got = features.to_labeled(df, 2, [0, 1]).collect()
     assert [(r.label, list(r.features)) for r in got] == [(1.0, [2.0, 5.0]), (0.0, [0.0, 6.0])]
     assert features.to_labeled(df, 2).first().features.size == 3
+    wide = spark.createDataFrame([(9, 0, 1, 8, 1.0, 5.0)], "first int, i1 int, i2 int, last int, target double, z double")
+    assert list(features.to_labeled(wide, 4, [1, 2]).first().features) == [9.0, 8.0, 2.0, 5.0]
 
 
 def test_als_prefers_liked_items(spark):
