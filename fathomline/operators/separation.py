@@ -40,16 +40,24 @@ def _hops(edges: DataFrame, start, target, max_hops: int):
     return reached, hit
 
 
-def _distinct_edges(edges: DataFrame) -> DataFrame:
-    return materialize(edges.select("src", "dst").distinct(), "edges")
+def _held(edges: DataFrame, hold: bool) -> DataFrame:
+    """The two edge columns, written once unless they already come from a table.
+
+    Repeated edges may stay: each hop makes its new nodes distinct, which is far fewer rows.
+    """
+    thin = edges.select("src", "dst")
+    return materialize(thin, "edges") if hold else thin
 
 
-def degrees_of_separation(edges: DataFrame, start, target=None, max_hops: int = MAX_HOPS) -> DataFrame:
+def degrees_of_separation(
+    edges: DataFrame, start, target=None, max_hops: int = MAX_HOPS, hold: bool = True
+) -> DataFrame:
     """``(node, distance)`` for every node of the graph; a node not reached gets ``UNREACHED``.
 
-    With a target the walk ends at the hop that touches it.
+    With a target the walk ends at the hop that touches it. ``hold=False`` spares the copy of the
+    edges when they are a stored table already.
     """
-    once = _distinct_edges(edges)
+    once = _held(edges, hold)
     reached, _ = _hops(once, start, target, max_hops)
     nodes = once.select(F.col("src").alias("node")).union(once.select("dst")).distinct()
     return nodes.join(reached, "node", "left").select(
@@ -57,8 +65,8 @@ def degrees_of_separation(edges: DataFrame, start, target=None, max_hops: int =
     )
 
 
-def hit(edges: DataFrame, start, target, max_hops: int = MAX_HOPS) -> DataFrame:
+def hit(edges: DataFrame, start, target, max_hops: int = MAX_HOPS, hold: bool = True) -> DataFrame:
     """``(hop, directions)``: the hop that touches the target and how many frontier nodes lead to
     it; no row if it is out of reach."""
-    _, found = _hops(_distinct_edges(edges), start, target, max_hops)
+    _, found = _hops(_held(edges, hold), start, target, max_hops)
     return edges.sparkSession.createDataFrame([found] if found else [], "hop int, directions long")

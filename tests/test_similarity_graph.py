@@ -99,7 +99,7 @@ def test_bfs_matches_brute_force(spark, edges):
 def test_hit_counts_directions(spark):
     df = spark.createDataFrame([(0, 1), (0, 2), (1, 3), (2, 3), (2, 3), (4, 3), (3, 9)], "src int, dst int")
     assert [tuple(r) for r in hit(df, 0, 3).collect()] == [(2, 2)]
-    assert hit(df, 9, 0).count() == 0
+    assert hit(df, 9, 0, hold=False).count() == 0
     stopped = {r.node: r.distance for r in degrees_of_separation(df, 0, target=3).collect()}
     assert stopped[3] == 2 and stopped[9] == UNREACHED
     limited = {r.node: r.distance for r in degrees_of_separation(df, 0, max_hops=1).collect()}
