@@ -23,12 +23,17 @@ MAX_ROWS_PER_TASK = 2_000_000
 MAX_CHUNKS = 10_000
 MAX_BROADCAST_ROWS = 100_000
 
+_LOWEST, _NULL = -1e299, -1e300
 _CHUNK = "__chunk"
+_SUB = "__sub"
 _AXIS = "__axis"
 
 
 def axis_value(df: DataFrame, column: str) -> Column:
-    """A double that never decreases as ``column`` grows, whatever its orderable type."""
+    """A double that never decreases as ``column`` grows, whatever its orderable type.
+
+    Nulls sort first and get one finite value, so that many of them can be told apart from the rest.
+    """
     kind = df.schema[column].dataType
     c = F.col(column)
     if isinstance(kind, T.DateType):
@@ -41,11 +46,11 @@ def axis_value(df: DataFrame, column: str) -> Column:
         number = c
     else:
         raise TypeError(f"cannot split a series along {column} of type {kind.simpleString()}")
-    return F.coalesce(number.cast("double"), F.lit(float("-inf")))
+    return F.coalesce(F.greatest(number.cast("double"), F.lit(_LOWEST)), F.lit(_NULL))
 
 
-def split_points(df: DataFrame, column: str, pieces: int) -> list[float]:
-    """At most ``pieces`` - 1 ascending cut values that spread the rows evenly.
+def _quantiles(df: DataFrame, column: str, pieces: int) -> list[float]:
+    """At most ``pieces`` - 1 ascending quantiles; a very common value occurs several times.
 
     Only these few doubles reach the driver; the quantile sketch itself is merged on executors.
     """
@@ -54,7 +59,12 @@ def split_points(df: DataFrame, column: str, pieces: int) -> list[float]:
         return []
     probabilities = [i / pieces for i in range(1, pieces)]
     cuts = df.stat.approxQuantile(column, probabilities, 1.0 / (4 * pieces))
-    return sorted({c for c in cuts if math.isfinite(c)})
+    return sorted(c for c in cuts if math.isfinite(c))
+
+
+def split_points(df: DataFrame, column: str, pieces: int) -> list[float]:
+    """Ascending cut values that spread the rows of distinct values evenly."""
+    return sorted(set(_quantiles(df, column, pieces)))
 
 
 def assign_chunk(df: DataFrame, axis: str, cuts: Sequence[float], out: str) -> DataFrame:
@@ -66,6 +76,26 @@ def assign_chunk(df: DataFrame, axis: str, cuts: Sequence[float], out: str) -> D
     return bucketizer.transform(df)
 
 
+def cut_series(df: DataFrame, order: Sequence[str], rows: int, max_rows: int) -> tuple[DataFrame, int]:
+    """Add chunk numbers (two columns) that grow with ``order``; also the most chunks there can be.
+
+    Chunks are ranges of the first order column. A value too common for one chunk gets a chunk to
+    itself, which is cut again along the second order column.
+    """
+    axed = df.withColumn(_AXIS, axis_value(df, order[0]))
+    cuts = _quantiles(axed, _AXIS, math.ceil(rows / max_rows) + 1)
+    common = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
+    edges = sorted({*cuts, *(math.nextafter(v, math.inf) for v in common)})
+    chunked = assign_chunk(axed, _AXIS, edges, _CHUNK)
+    if not common or len(order) < 2:
+        return chunked.withColumn(_SUB, F.lit(0.0)).drop(_AXIS), len(edges) + 1
+    shared = F.col(_AXIS).isin(common)
+    tied = chunked.withColumn(_AXIS, F.when(shared, axis_value(df, order[1])))
+    finer = split_points(tied.filter(F.col(_AXIS).isNotNull()), _AXIS, math.ceil(rows / max_rows) + 1)
+    cut = assign_chunk(tied.fillna({_AXIS: float("-inf")}), _AXIS, finer, _SUB)
+    return cut.drop(_AXIS), len(edges) + 1 + len(common) * (len(finer) + 1)
+
+
 def heavy_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
     """Keys holding more than ``max_rows`` rows, with their row count ``n``."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_rows)
@@ -100,7 +130,8 @@ def with_neighbours(
     ``previous`` and ``following`` name struct columns holding ``values`` of the adjacent row
     (null at the ends), ``position`` counts from 0, ``length`` is the row count of the key and
     ``mean`` the mean of the first of ``values``. ``order`` should be a total order within the
-    key; its first column must be numeric, date or timestamp when a key has to be split.
+    key; its first column (and the second, if the first has very common values) must be numeric,
+    date or timestamp when a key has to be split.
     """
     keys, order, values = list(keys), list(order), list(values)
     heavy = heavy_keys(df, keys, max_rows_per_task)
@@ -120,18 +151,14 @@ def with_neighbours(
         return df.withColumns({name: column for name, column in wanted.items() if name})
 
     flagged = _small(heavy.select(*keys, F.lit(True).alias("__heavy")), found["keys"])
-    axed = df.withColumn(_AXIS, axis_value(df, order[0]))
-    marked = join_keys(axed, flagged, keys, "left").fillna({"__heavy": False})
-    pieces = math.ceil(found["rows"] / max_rows_per_task) + 1
-    cuts = split_points(marked.filter("__heavy"), _AXIS, pieces)
-    chunked = assign_chunk(marked, _AXIS, cuts, _CHUNK).withColumn(
-        _CHUNK, F.when(F.col("__heavy"), F.col(_CHUNK)).otherwise(F.lit(-1.0))
-    )
+    marked = join_keys(df, flagged, keys, "left").fillna({"__heavy": False})
+    cut, pieces = cut_series(marked.filter("__heavy"), order, found["rows"], max_rows_per_task)
+    light = marked.filter(~F.col("__heavy")).withColumns({_CHUNK: F.lit(-1.0), _SUB: F.lit(0.0)})
+    chunked = cut.unionByName(light)
 
     rank = F.struct(*order)
     parts = (
-        chunked.filter("__heavy")
-        .groupBy(*keys, _CHUNK)
+        cut.groupBy(*keys, _CHUNK, _SUB)
         .agg(
             F.min_by(row, rank).alias("__first"),
             F.max_by(row, rank).alias("__last"),
@@ -140,10 +167,11 @@ def with_neighbours(
             F.count(measure).alias("__filled"),
         )
     )
-    across, whole = Window.partitionBy(*keys).orderBy(_CHUNK), Window.partitionBy(*keys)
+    across, whole = Window.partitionBy(*keys).orderBy(_CHUNK, _SUB), Window.partitionBy(*keys)
     borders = parts.select(
         *keys,
         _CHUNK,
+        _SUB,
         F.lag("__last").over(across).alias("__before"),
         F.lead("__first").over(across).alias("__after"),
         (F.sum("__n").over(across.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")).alias("__offset"),
@@ -151,7 +179,8 @@ def with_neighbours(
         F.try_divide(F.sum("__sum").over(whole), F.sum("__filled").over(whole)).alias("__mean"),
     )
 
-    inside, piece = Window.partitionBy(*keys, _CHUNK).orderBy(*order), Window.partitionBy(*keys, _CHUNK)
+    piece = Window.partitionBy(*keys, _CHUNK, _SUB)
+    inside = piece.orderBy(*order)
     local = chunked.withColumns({
         "__prev": F.lag(row).over(inside),
         "__next": F.lead(row).over(inside),
@@ -159,8 +188,8 @@ def with_neighbours(
         "__count": F.count(F.lit(1)).over(piece),
         "__avg": F.avg(measure).over(piece),
     })
-    borders = _small(borders, found["keys"] * (len(cuts) + 1))
-    joined = join_keys(local, borders, [*keys, _CHUNK], "left")
+    borders = _small(borders, found["keys"] * pieces)
+    joined = join_keys(local, borders, [*keys, _CHUNK, _SUB], "left")
     wanted = {
         previous: F.coalesce("__prev", "__before"),
         following: F.coalesce("__next", "__after"),

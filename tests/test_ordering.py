@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from fathomline.operators.moves import next_pair, price_change, signed_move, up_move
-from fathomline.operators.ordering import running_totals, skip_rows, split_points, with_neighbours, with_row_index
+from fathomline.operators.ordering import (
+    cut_series, running_totals, skip_rows, split_points, with_neighbours, with_row_index,
+)
 from fathomline.operators.performance import growth_ratio, history_of, period_stats, price_stats, sharpe_ratio, stock_performance
 from fathomline.operators.quantiles import median_by, median_of, upper_median
 
@@ -63,6 +65,22 @@ def test_neighbours_do_not_depend_on_splitting(skewed, limit):
         assert (r.next and r.next.id) == (after and after[1])
 
 
+@pytest.mark.parametrize("limit", [10_000, 100])
+def test_common_order_values_are_split_too(spark, limit):
+    rng = random.Random(9)
+    rows = [("hot", 5 if rng.random() < 0.6 else rng.choice([1, 2, 3, 7, 7, 9]), i, rng.uniform(1, 9)) for i in range(2000)]
+    rows += [("hot", None, -i, 1.0) for i in range(1, 900)]
+    df = spark.createDataFrame(rows, "symbol string, day int, id int, close double").repartition(5)
+    got = with_neighbours(df, ["symbol"], ["day", "id"], ["close", "id"], "prev", None, "pos", max_rows_per_task=limit)
+    series = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+    for r in got.collect():
+        assert series[r.pos][2] == r.id
+        assert (r.prev and r.prev.id) == (series[r.pos - 1][2] if r.pos else None)
+    cut, pieces = cut_series(df, ["day", "id"], df.count(), 100)
+    sizes = [r["count"] for r in cut.groupBy("__chunk", "__sub").count().collect()]
+    assert max(sizes) <= 300 and len(sizes) <= pieces
+
+
 @pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "double"])
 def test_splitting_works_for_every_order_type(skewed, kind):
     typed = {
