@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from fathomline.functions.encoding import bucket_two, encode_binary, encode_ordinal
 from fathomline.operators.counts import most_common
-from fathomline.operators.ordering import MAX_ROWS_PER_TASK, join_keys
-from fathomline.operators.quantiles import median_by, median_of
+from fathomline.operators.ordering import join_keys
+from fathomline.operators.quantiles import MAX_BUFFERED, median_by, median_of
 
 # The passenger columns that are not used for learning, the label, and the
 # listed medical columns with the one that is bucketed.
@@ -40,13 +40,13 @@ def impute_mean(df: DataFrame, column: str) -> DataFrame:
 
 
 def impute_median(
-    df: DataFrame, column: str, by: str | None = None, max_rows_per_task: int = MAX_ROWS_PER_TASK
+    df: DataFrame, column: str, by: str | None = None, max_buffered: int = MAX_BUFFERED
 ) -> DataFrame:
     """Nulls become the median of the column, or the median of the row's group."""
     if by is None:
-        median = median_of(df, column, "m", max_rows_per_task).scalar()
+        median = median_of(df, column, "m", max_buffered).scalar()
         return df.withColumn(column, F.coalesce(F.col(column), median))
-    medians = median_by(df, [by], column, "__m", max_rows_per_task)
+    medians = median_by(df, [by], column, "__m", max_buffered)
     joined = join_keys(df, medians, [by], "left")
     return joined.withColumn(column, F.coalesce(F.col(column), F.col("__m"))).drop("__m")
 

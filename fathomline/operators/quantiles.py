@@ -1,7 +1,7 @@
 """Exact medians, overall or per group.
 
 Spark's exact percentile keeps every distinct value of a group in one buffer. That is used for
-groups below ``max_rows_per_task``. A larger group is narrowed first: quantile sketches bracket
+groups of up to ``max_buffered`` rows. A larger group is narrowed first: quantile sketches bracket
 the wanted rank, the bracket shrinks until its distinct values fit, and the rank is read from
 value counts. Brackets are checked by counting, so the result is exact.
 """
@@ -13,9 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fathomline.operators.ordering import MAX_ROWS_PER_TASK, heavy_keys, join_keys
+from fathomline.operators.ordering import heavy_keys, join_keys
 from fathomline.session import materialize
 
+MAX_BUFFERED = 500_000
 _GRID = 256
 _ACCURACY = 10_000
 _MAX_ROUNDS = 8
@@ -26,15 +27,15 @@ def median_by(
     by: Sequence[str],
     column: str,
     out: str = "median",
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    max_buffered: int = MAX_BUFFERED,
 ) -> DataFrame:
     """True median of the non-null values per group: the mean of the two middle values."""
-    return _middle(df, by, column, out, False, max_rows_per_task)
+    return _middle(df, by, column, out, False, max_buffered)
 
 
-def median_of(df: DataFrame, column: str, out: str = "median", max_rows_per_task: int = MAX_ROWS_PER_TASK) -> DataFrame:
+def median_of(df: DataFrame, column: str, out: str = "median", max_buffered: int = MAX_BUFFERED) -> DataFrame:
     """True median of the non-null values, as a one-row table."""
-    return _middle(df, [], column, out, False, max_rows_per_task)
+    return _middle(df, [], column, out, False, max_buffered)
 
 
 def upper_median(
@@ -42,10 +43,10 @@ def upper_median(
     column: str,
     by: Sequence[str] = (),
     out: str = "upper_median",
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    max_buffered: int = MAX_BUFFERED,
 ) -> DataFrame:
     """Value at position ``n // 2`` of the sorted non-null values."""
-    return _middle(df, by, column, out, True, max_rows_per_task)
+    return _middle(df, by, column, out, True, max_buffered)
 
 
 def _middle(df, by, column, out, upper, max_rows):

@@ -195,6 +195,6 @@ def test_medians(spark, limit):
         assert got[g] == pytest.approx((vs[(n - 1) // 2] + vs[n // 2]) / 2)
     everything = sorted(v for _, v in rows if v is not None)
     n = len(everything)
-    assert median_of(df, "v", max_rows_per_task=limit).first()[0] == pytest.approx(
+    assert median_of(df, "v", max_buffered=limit).first()[0] == pytest.approx(
         (everything[(n - 1) // 2] + everything[n // 2]) / 2
     )
