@@ -115,17 +115,27 @@ def recommend(model: ALSModel, users: DataFrame, names: DataFrame | None = None,
     return rows if names is None else rows.join(names.select("item", "name"), "item", "left")
 
 
+def _stages(model) -> list:
+    """The fitted stages of a pipeline, or the model itself."""
+    return list(getattr(model, "stages", [model]))
+
+
 def describe_model(model) -> DataFrame:
-    """``(name, value)``: the parameters of a model and, for trees, its text form."""
-    rows = [(param.name, str(value)) for param, value in model.extractParamMap().items()]
-    if hasattr(model, "toDebugString"):
-        rows.append(("tree", model.toDebugString))
-    return SparkSession.getActiveSession().createDataFrame(sorted(rows), "name string, value string")
+    """``(stage, name, value)``: the parameters of every stage and, for trees, their text form."""
+    rows = []
+    for stage in _stages(model):
+        name = type(stage).__name__
+        rows += [(name, param.name, str(value)) for param, value in stage.extractParamMap().items()]
+        if hasattr(stage, "toDebugString"):
+            rows.append((name, "tree", stage.toDebugString))
+    schema = "stage string, name string, value string"
+    return SparkSession.getActiveSession().createDataFrame(sorted(rows), schema)
 
 
 def feature_importances(model, assembled: VectorAssembler | list[str]) -> DataFrame:
-    """``(feature, importance)`` of a tree model, largest first."""
+    """``(feature, importance)`` of a tree model, or of the last stage of a pipeline, largest first."""
     names = assembled if isinstance(assembled, list) else assembled.getInputCols()
-    rows = [(n, float(v)) for n, v in zip(names, model.featureImportances.toArray(), strict=True)]
+    weights = _stages(model)[-1].featureImportances.toArray()
+    rows = [(n, float(v)) for n, v in zip(names, weights, strict=True)]
     frame = SparkSession.getActiveSession().createDataFrame(rows, "feature string, importance double")
     return frame.orderBy(F.desc("importance"), "feature")

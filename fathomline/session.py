@@ -73,7 +73,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Give work that is heavy per row at least one partition per core.
 
-    Only an input with fewer partitions than cores is shuffled, so large inputs stay as they are.
+    Meant for scans, whose partitions are known without running anything. Only an input with fewer
+    partitions than cores is shuffled, so large inputs stay as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -86,8 +86,11 @@ def test_tuning(points):
     assert len(folds.candidates) == 2
     swept = tuning.sweep(estimator, train, test, {"maxDepth": [1, 2]})
     assert [m for _, m in swept.candidates] == sorted((m for _, m in swept.candidates), reverse=True)
+    described = models.describe_model(tuned.model).collect()
+    assert {"maxDepth", "tree"} <= {r.name for r in described}
     forest = tuning.tune_forest(train, features="indexed_features", stages=[features.index_features(40)], values={"numTrees": [1, 3]})
     assert forest.best_params["numTrees"] in (1, 3)
+    assert models.feature_importances(forest.model, ["x", "y"]).first().feature == "x"
     recall = tuning.tune_logistic_recall(train, inverse_penalties=[0.1, 10.0])
     assert len(recall.candidates) == 4 and all(0 <= m <= 1 for _, m in recall.candidates)
     assert math.prod(len(v) for v in tuning.TREE_GRID.values()) == 16
