@@ -20,8 +20,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathomline.llm.registry import query, table
+from fathomline.session import materialize
 
 WEIGHTS = (5.0, 2.0, 1.0)
+BROADCAST_SOURCES = 100_000  # rows of four small columns, some MB
 
 
 def word_count(text: str = "text"):
@@ -69,11 +71,14 @@ def with_copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repea
                 key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target``, ``rate`` and ``copies``.
 
-    The join brings one row per source to the documents; Spark broadcasts that side where its measured size
-    allows, else it shuffles and splits the partitions of a hot source.
+    The join brings one row per source to the documents. The sources are counted: up to ``BROADCAST_SOURCES`` rows
+    are broadcast, so no document moves; more are joined by a shuffle whose hot partitions Spark splits.
     """
     sized = docs.drop("size", "source_size", "target", "rate", "copies").withColumn("size", word_count(text))
     targets = source_targets(sized.select("size", F.col(f"`{source}`").alias("source")), weights, max_repeat)
+    targets = materialize(targets, "targets")
+    if targets.count() <= BROADCAST_SOURCES:
+        targets = F.broadcast(targets)
     joined = sized.join(targets, F.col(f"`{source}`").eqNullSafe(F.col("_source")), "left").drop("_source")
     whole = F.floor("rate")
     extra = (draw(key, text, seed) < F.col("rate") - whole).cast("long")
