@@ -1,6 +1,6 @@
 """All registered queries of this subpackage."""
 
-from fathomline.llm import bpe, jaccard, mixing, quality_rules  # noqa: F401  (importing registers the queries)
+from fathomline.llm import bpe, fingerprints, jaccard, mixing, quality_rules  # noqa: F401  (importing registers the queries)
 from fathomline.llm.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
