@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fathomline.llm.registry import query, table
+from fathomline.llm.texts import slices
 from fathomline.session import spread
 
-SLICE_CHARS = 2_000_000  # texts encoded at once, at least one
 MAX_WORDS = 250_000  # words whose encodings a worker remembers; then it starts anew
 _NEVER = 1 << 60
 # The white space of the vocabulary's pattern. str.split() also parts words at \x1c to \x1f.
@@ -294,18 +294,6 @@ def encoder_of(path: str) -> Encoder:
     return Encoder(path)
 
 
-def slices(texts: list[str], most: int = SLICE_CHARS):
-    """Ranges of positions with at most ``most`` characters each, one text at least."""
-    start = total = 0
-    for i, t in enumerate(texts):
-        if i > start and total + len(t) > most:
-            yield start, i
-            start, total = i, 0
-        total += len(t)
-    if len(texts) > start:
-        yield start, len(texts)
-
-
 def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     """``docs`` with ``token_ids`` (array of int), ``n_tokens`` and ``decoded``.
 

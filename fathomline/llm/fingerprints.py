@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathomline.llm.bpe import slices
 from fathomline.llm.registry import query, table
 from fathomline.llm.shingles import WORDS_PER_SHINGLE, mixed, shingle_hashes
+from fathomline.llm.texts import slices
 from fathomline.session import materialize, spread
 
 BINS = 512

@@ -30,10 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.bpe import slices
 from fathomline.llm.components import components
 from fathomline.llm.registry import query, table
 from fathomline.llm.shingles import WORDS_PER_SHINGLE, mixed, shingle_sets
+from fathomline.llm.texts import slices
 from fathomline.session import materialize, spread
 
 THRESHOLD = 0.8
