@@ -1,6 +1,8 @@
 """All registered queries of this subpackage."""
 
-from fathomline.llm import bpe, fingerprints, jaccard, mixing, quality_rules, token_shards  # noqa: F401  (importing registers the queries)
+from fathomline.llm import (  # noqa: F401  (importing registers the queries)
+    bpe, fingerprints, jaccard, kneser_ney, mixing, quality_rules, token_shards,
+)
 from fathomline.llm.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
