@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from fathomline.llm.registry import query, table
 from fathomline.llm.shingles import mixed
-from fathomline.llm.texts import slices
+from fathomline.llm.texts import slices, small
 from fathomline.session import fresh_path, materialize, spread
 
 ORDER = 5
@@ -367,9 +367,7 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantiles:
     made = ["_trusted", "n_scored", "log_perplexity", "perplexity", "perplexity_limit", "kept"]
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in made])
     ids = materialize(trusted_ids(labels).select(F.col("doc_id").alias("_id")), "trusted")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    marked = docs.join(ids, F.col(f"`{doc_id}`") == F.col("_id"), "left").withColumn(
+    marked = docs.join(small(ids, BROADCAST_IDS), F.col(f"`{doc_id}`") == F.col("_id"), "left").withColumn(
         "_trusted", F.col("_id").isNotNull()).drop("_id")
     model = train(marked.filter("_trusted").select(F.col(f"`{text}`")), order)
     scored = materialize(score(marked, model, order, text), "scored")
@@ -383,9 +381,7 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantiles:
     limits = materialize(limit(good.groupBy(language.alias("_lang"))).filter(F.col("_n") >= MIN_TRUSTED), "limits")
     overall = limit(good).first()
     upper, spread_all = (float("inf"), 0.0) if overall["_upper"] is None else (overall["_upper"], overall["_spread"])
-    if limits.count() <= BROADCAST_LANGUAGES:
-        limits = F.broadcast(limits)
-    judged = scored.join(limits, language.eqNullSafe(F.col("_lang")), "left")
+    judged = scored.join(small(limits, BROADCAST_LANGUAGES), language.eqNullSafe(F.col("_lang")), "left")
     room = F.lit(margin) * (1 + F.sqrt(F.lit(float(LENGTH)) / F.greatest("n_scored", F.lit(1))))
     bound = F.coalesce("_upper", F.lit(upper)) + room * F.coalesce("_spread", F.lit(spread_all))
     judged = judged.withColumns({"perplexity": F.exp("log_perplexity"), "perplexity_limit": F.exp(bound)})

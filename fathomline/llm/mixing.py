@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathomline.llm.registry import query, table
+from fathomline.llm.texts import small
 from fathomline.session import materialize
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -76,9 +77,7 @@ def with_copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repea
     """
     sized = docs.drop("size", "source_size", "target", "rate", "copies").withColumn("size", word_count(text))
     targets = source_targets(sized.select("size", F.col(f"`{source}`").alias("source")), weights, max_repeat)
-    targets = materialize(targets, "targets")
-    if targets.count() <= BROADCAST_SOURCES:
-        targets = F.broadcast(targets)
+    targets = small(materialize(targets, "targets"), BROADCAST_SOURCES)
     joined = sized.join(targets, F.col(f"`{source}`").eqNullSafe(F.col("_source")), "left").drop("_source")
     whole = F.floor("rate")
     extra = (draw(key, text, seed) < F.col("rate") - whole).cast("long")

@@ -1,7 +1,10 @@
-"""Bounded parts of a batch of texts."""
+"""Bounded parts of a batch of texts, and joins with sides of a checked size."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 SLICE_CHARS = 2_000_000  # texts handled at once in a task
 
 
@@ -15,3 +18,8 @@ def slices(texts: list[str], most: int = SLICE_CHARS):
         total += len(t)
     if len(texts) > start:
         yield start, len(texts)
+
+
+def small(stored: DataFrame, most: int) -> DataFrame:
+    """A stored frame, to be broadcast in a join if it has at most ``most`` rows, else as it is."""
+    return F.broadcast(stored) if stored.count() <= most else stored
