@@ -1,7 +1,7 @@
 """All registered queries of this subpackage."""
 
 from fathomline.llm import (  # noqa: F401  (importing registers the queries)
-    bpe, fingerprints, jaccard, kneser_ney, language, mixing, quality_rules, token_shards,
+    bpe, fingerprints, jaccard, kneser_ney, language, mixing, quality_rules, substrings, token_shards,
 )
 from fathomline.llm.registry import ORACLE_SQL, QUERIES
 
