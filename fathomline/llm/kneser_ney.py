@@ -172,12 +172,9 @@ def _read_block(payload: bytes) -> pa.Table:
         return stream.read_all()
 
 
-def _block_grams(texts: list[str], order: int) -> np.ndarray:
-    """Sorted distinct n-grams of all orders of a block's texts."""
-    found = [np.zeros(0, dtype=np.int64)]
-    for a, b in slices(texts):
-        found.append(pd.unique(grams(texts[a:b], order)[0]))
-    level = np.unique(np.concatenate(found))
+def _closure(levels: list[np.ndarray], order: int) -> np.ndarray:
+    """Sorted distinct n-grams of all orders that scoring n-grams of the highest order can ask for."""
+    level = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *levels]))
     every = [level]
     for k in range(order - 1, 0, -1):
         shorter = level & ((1 << _WIDTH * k) - 1)
@@ -205,12 +202,15 @@ def _log_probabilities(level: np.ndarray, keys: np.ndarray, logp: np.ndarray, we
     return out
 
 
-def score(docs: DataFrame, model: DataFrame, order: int = ORDER, text: str = "text") -> DataFrame:
-    """``docs`` with ``n_scored`` (characters) and ``log_perplexity`` (per character, null without characters)."""
+def score(docs: DataFrame, model: DataFrame, order: int = ORDER, text: str = "text", keep_text: bool = True) -> DataFrame:
+    """``docs`` with ``n_scored`` (characters) and ``log_perplexity`` (per character, null without characters).
+
+    The text is left out of the result where it is not needed any more.
+    """
     spark = docs.sparkSession
     kept = [c for c in docs.columns if c not in ("n_scored", "log_perplexity")]
     rows = spread(docs.select(*[F.col(f"`{c}`") for c in kept]))
-    place = kept.index(text)
+    place, given = kept.index(text), [c for c in kept if keep_text or c != text]
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def pack(batches):
@@ -218,7 +218,7 @@ def score(docs: DataFrame, model: DataFrame, order: int = ORDER, text: str = "te
 
         def block():
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
                 for part in held:
                     out.write_batch(part)
             return pa.RecordBatch.from_arrays(
@@ -251,7 +251,7 @@ def score(docs: DataFrame, model: DataFrame, order: int = ORDER, text: str = "te
         for batch in batches:
             for block, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 texts = [t or "" for t in _read_block(payload.as_buffer()).column(place).to_pylist()]
-                keys = _block_grams(texts, order)
+                keys = _closure([pd.unique(grams(texts[a:b], order)[0]) for a, b in slices(texts)], order)
                 shard = _shard_of(keys, shards)
                 turn = np.argsort(shard, kind="stable")
                 keys, ends = keys[turn], np.cumsum(np.bincount(shard, minlength=shards))
@@ -323,31 +323,34 @@ def score(docs: DataFrame, model: DataFrame, order: int = ORDER, text: str = "te
         F.collect_list(F.struct("shard", "n", "reply")).alias("replies"))
     joined = blocks.join(replies.hint("shuffle_hash"), "block", "left").select("payload", "replies")
     schema = T.StructType([
-        *rows.schema.fields, T.StructField("n_scored", T.LongType()), T.StructField("log_perplexity", T.DoubleType())])
+        *[f for f in rows.schema.fields if f.name in given], T.StructField("n_scored", T.LongType()), T.StructField("log_perplexity", T.DoubleType())])
 
     def judge(batches):
         for batch in batches:
             for payload, replies in zip(batch.column(0), batch.column(1), strict=True):
                 stored = _read_block(payload.as_buffer())
                 texts = [t or "" for t in stored.column(place).to_pylist()]
-                keys = _block_grams(texts, order)
+                coded = []
+                for a, b in slices(texts):
+                    ends, counts = grams(texts[a:b], order)
+                    codes, level = pd.factorize(ends)
+                    coded.append((a, b, counts, codes.astype(np.int32), level))
+                keys = _closure([c[4] for c in coded], order)
                 shard = _shard_of(keys, shards)
                 logp, weight = np.full(len(keys), np.nan), np.full(len(keys), np.nan)
                 for reply in (replies.as_py() or []):
                     out = np.frombuffer(pa.decompress(reply["reply"], 4 * reply["n"], codec="zstd"), dtype=np.float16)
                     own = np.flatnonzero(shard == reply["shard"])
                     logp[own], weight[own] = out[:reply["n"]], out[reply["n"]:]
-                for a, b in slices(texts):
-                    ends, counts = grams(texts[a:b], order)
-                    codes, level = pd.factorize(ends)
+                for a, b, counts, codes, level in coded:
                     value = _log_probabilities(level, keys, logp, weight, base, order)
                     total = np.bincount(np.repeat(np.arange(b - a), counts), weights=value[codes], minlength=b - a)
                     with np.errstate(invalid="ignore", divide="ignore"):
                         mean = -total / counts
-                    for part in stored.slice(a, b - a).combine_chunks().to_batches():
+                    for part in stored.slice(a, b - a).select(given).combine_chunks().to_batches():
                         yield pa.RecordBatch.from_arrays(
                             [*part.columns, pa.array(counts), pa.array(mean, mask=counts == 0)],
-                            names=[*kept, "n_scored", "log_perplexity"])
+                            names=[*given, "n_scored", "log_perplexity"])
 
     return joined.mapInArrow(judge, schema)
 
@@ -358,7 +361,8 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantiles: tuple[float, float] = QUANTILES,
-             margin: float = MARGIN, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+             margin: float = MARGIN, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
+             keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_scored``, ``log_perplexity``, ``perplexity``, ``perplexity_limit`` and ``kept``.
 
     ``labels`` names the trusted documents by ``doc_id``, ``quality`` and ``toxic``. Their ids are broadcast up to
@@ -370,7 +374,7 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantiles:
     marked = docs.join(small(ids, BROADCAST_IDS), F.col(f"`{doc_id}`") == F.col("_id"), "left").withColumn(
         "_trusted", F.col("_id").isNotNull()).drop("_id")
     model = train(marked.filter("_trusted").select(F.col(f"`{text}`")), order)
-    scored = materialize(score(marked, model, order, text), "scored")
+    scored = materialize(score(marked, model, order, text, keep_text), "scored")
     language = F.col(f"`{lang}`")
 
     def limit(rows):
@@ -393,5 +397,5 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantiles:
 def op4_quality_classifier(spark, folder):
     """Perplexity, limit and verdict of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
-    return classify(docs, table(spark, folder, "labels")).select(
+    return classify(docs, table(spark, folder, "labels"), keep_text=False).select(
         "doc_id", "lang", "n_scored", "perplexity", "perplexity_limit", "kept")
