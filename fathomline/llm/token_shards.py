@@ -80,11 +80,29 @@ def _encoding(path: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), len(ranks)
 
 
-def sequences(docs: DataFrame, vocabulary: str, length: int = LENGTH, doc_id: str = "doc_id",
+def code_table(docs: DataFrame, vocabulary: str, text: str = "text", rows: int = 256) -> np.ndarray:
+    """Short codes for ids that are frequent in some rows; only how well stored sequences compress depends on them."""
+    def work(batches):
+        encoding, _ = _encoding(vocabulary)
+        counts = np.zeros(1 << 16, dtype=np.int64)
+        for batch in batches:
+            for body in batch.column(0).to_pylist():
+                counts += np.bincount(encoding.encode_to_numpy(body or "", disallowed_special=()), minlength=1 << 16)
+        yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()], pa.binary())], names=["counts"])
+
+    found = docs.select(F.col(f"`{text}`")).limit(rows).mapInArrow(work, "counts binary").collect()
+    counts = sum((np.frombuffer(r[0], dtype=np.int64) for r in found), np.zeros(1 << 16, dtype=np.int64))
+    codes = np.empty(1 << 16, dtype=np.uint16)
+    codes[np.argsort(-counts, kind="stable")] = np.arange(1 << 16)
+    return codes
+
+
+def sequences(docs: DataFrame, vocabulary: str, codes: np.ndarray, length: int = LENGTH, doc_id: str = "doc_id",
               text: str = "text") -> DataFrame:
     """``task``, ``number`` (within the task), ``n_tokens`` (without padding), ``doc_ids`` and compressed ``tokens``.
 
-    The end token has the first id after the vocabulary's; it also pads.
+    The end token has the first id after the vocabulary's; it also pads. ``tokens`` holds the upper, then the lower
+    bytes of the codes.
     """
     rows = spread(docs.select(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")))
 
@@ -106,7 +124,7 @@ def sequences(docs: DataFrame, vocabulary: str, length: int = LENGTH, doc_id: st
                 a, b = k * length, min((k + 1) * length, int(ends[-1]))
                 first, last = np.searchsorted(ends, a, side="right"), np.searchsorted(ends, b - 1, side="right")
                 ids.append(owners[first:last + 1])
-                part = flat[a:a + length]
+                part = codes[flat[a:a + length]]
                 planes = (part >> np.uint16(8)).astype(np.uint8).tobytes() + part.astype(np.uint8).tobytes()
                 payload.append(squeeze.compress(planes))
             done = full * length
@@ -148,10 +166,10 @@ def shard_path(folder: str, shard: int) -> str:
     return f"{folder}/shard-{shard:08d}.bin"
 
 
-def write_shards(cut: DataFrame, folder: str, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY) -> DataFrame:
+def write_shards(cut: DataFrame, folder: str, codes: np.ndarray, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY) -> DataFrame:
     """Write the sequences to shards below ``folder`` and return where each went.
 
-    ``cut`` holds the rows of ``sequences``, stored (they are read more than once). The result has ``slot``,
+    ``cut`` holds the rows of ``sequences``, stored (they are read more than once), with the same ``codes``. The result has ``slot``,
     ``shard``, ``byte_offset``, ``n_tokens``, ``doc_ids`` and ``sha256`` of the slot's bytes, one row per sequence. The
     shards are complete when it has been computed.
     """
@@ -172,6 +190,7 @@ def write_shards(cut: DataFrame, folder: str, length: int = LENGTH, per_shard: i
 
     placed = numbered.select("base", "number", "n_tokens", "doc_ids", "tokens").mapInArrow(
         permute, "slot long, n_tokens int, doc_ids array<long>, tokens binary")
+    ids_of = np.argsort(codes).astype(np.uint16)
     shard = F.floor(F.col("slot") / per_shard)
     ranged = placed.repartitionById(parts, F.floor(shard * parts / shards).cast("int")).sortWithinPartitions("slot")
 
@@ -195,7 +214,7 @@ def write_shards(cut: DataFrame, folder: str, length: int = LENGTH, per_shard: i
                     at, name = slot // per_shard, f"{root}/attempt-{uuid.uuid4().hex}"
                     stream = system.open_output_stream(name)
                 planes = np.frombuffer(expand.decompress(payload[k].as_py()), dtype=np.uint8).astype(np.uint16)
-                record = (planes[:length] << np.uint16(8) | planes[length:]).astype("<u2").tobytes()
+                record = ids_of[planes[:length] << np.uint16(8) | planes[length:]].astype("<u2").tobytes()
                 stream.write(record)
                 digests.append(hashlib.sha256(record).hexdigest())
             where = np.array(slots, dtype=np.int64)
@@ -213,8 +232,9 @@ def materialise_training_order(docs: DataFrame, vocabulary: str, folder: str, le
                                per_shard: int = PER_SHARD, key: int = KEY, doc_id: str = "doc_id",
                                text: str = "text") -> DataFrame:
     """Encode ``docs``, write all shards below ``folder`` and return the stored index, one row per sequence."""
-    cut = materialize(sequences(docs, vocabulary, length, doc_id, text), "sequences")
-    return materialize(write_shards(cut, folder, length, per_shard, key), "shard-index")
+    codes = code_table(docs, vocabulary, text)
+    cut = materialize(sequences(docs, vocabulary, codes, length, doc_id, text), "sequences")
+    return materialize(write_shards(cut, folder, codes, length, per_shard, key), "shard-index")
 
 
 def read_slots(folder: str, first: int, count: int, length: int = LENGTH, per_shard: int = PER_SHARD):
