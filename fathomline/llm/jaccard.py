@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from fathomline.llm.components import components
 from fathomline.llm.registry import query, table
 from fathomline.llm.shingles import WORDS_PER_SHINGLE, mixed, shingle_sets
-from fathomline.llm.texts import slices
+from fathomline.llm.texts import packed, slices
 from fathomline.session import materialize, spread
 
 THRESHOLD = 0.8
@@ -263,10 +263,10 @@ def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """
     firsts = near_duplicates(docs, doc_id=doc_id, text=text, **options).filter("first").select(
         F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct()
-    pair = [F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")]
-    rows = docs.withColumns({"_k1": F.xxhash64(F.lit(1), *pair), "_k2": F.xxhash64(F.lit(2), *pair)})
-    kept = rows.join(firsts, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"])
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    pair = [F.col("doc_id").cast("long"), F.col("text")]
+    rows = packed(docs, doc_id=doc_id, text=text).select(
+        "_row", F.xxhash64(F.lit(1), *pair).alias("_k1"), F.xxhash64(F.lit(2), *pair).alias("_k2"))
+    return rows.join(firsts, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select("_row.*")
 
 
 @query()

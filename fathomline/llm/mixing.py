@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathomline.llm.registry import query, table
-from fathomline.llm.texts import small
+from fathomline.llm.texts import packed, small
 from fathomline.session import materialize
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -75,7 +75,8 @@ def with_copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repea
     The join brings one row per source to the documents. The sources are counted: up to ``BROADCAST_SOURCES`` rows
     are broadcast, so no document moves; more are joined by a shuffle whose hot partitions Spark splits.
     """
-    sized = docs.drop("size", "source_size", "target", "rate", "copies").withColumn("size", word_count(text))
+    made = ("size", "source_size", "target", "rate", "copies")
+    sized = docs.drop(*[c for c in made if c not in (key, text, source)]).withColumn("size", word_count(text))
     targets = source_targets(sized.select("size", F.col(f"`{source}`").alias("source")), weights, max_repeat)
     targets = small(materialize(targets, "targets"), BROADCAST_SOURCES)
     joined = sized.join(targets, F.col(f"`{source}`").eqNullSafe(F.col("_source")), "left").drop("_source")
@@ -87,9 +88,9 @@ def with_copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repea
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat: float = 3.0, seed: int = 20_17,
         key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """Every document as often as the mix takes it, with the columns of ``docs``."""
-    taken = with_copies(docs, weights, max_repeat, seed, key, text, source).filter(F.col("copies") > 0)
-    copied = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return copied.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = packed(docs, key=key, text=text, source=source)
+    taken = with_copies(rows, weights, max_repeat, seed, "key", "text", "source").filter(F.col("copies") > 0)
+    return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
 
 
 @query()

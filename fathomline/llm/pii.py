@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.llm.registry import query, table
+from fathomline.llm.texts import packed
 from fathomline.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -170,7 +171,7 @@ def votes(span: Column) -> Column:
     body, before = span["body"], F.lower(span["before"])
     listed = {
         "email": lambda: F.array_contains(F.array(*[F.lit(e) for e in ENDINGS.split()]), F.lower(F.regexp_extract(body, "([A-Za-z]+)$", 1))),
-        "ip": lambda: body.contains(":") | F.coalesce(F.expr("try_cast(null as int)"), F.regexp_extract(body, "^0*([0-9]{0,3})", 1).try_cast("int"), F.lit(0)).between(1, 223),
+        "ip": lambda: body.contains(":") | F.coalesce(F.regexp_extract(body, "^0*([0-9]{0,3})", 1).try_cast("int"), F.lit(0)).between(1, 223),
         "card": lambda: _digits(body).rlike(CARD_PREFIX),
         "phone": lambda: F.when(body.startswith("+"), _digits(body).rlike(CALL_PREFIX)).otherwise(_digits(body).rlike("^[2-9]")),
     }
@@ -262,9 +263,8 @@ def find(docs: DataFrame, weights: dict[str, float] | None = None, text: str = "
 
     Without ``weights`` they are trained on ``docs`` first.
     """
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("base_spans", "spans")])
     weights = train(docs, text) if weights is None else weights
-    rows = with_candidates(docs, text)
+    rows = with_candidates(packed(docs, ("base_spans", "spans"), text=text))
     table_of = F.create_map(*[F.lit(x) for pair in sorted(weights.items()) for x in pair]) if weights else F.create_map().cast("map<string,double>")
 
     def accepted(x):
@@ -283,8 +283,7 @@ def find(docs: DataFrame, weights: dict[str, float] | None = None, text: str = "
     added = F.when(F.size("_more") > 0, F.filter("_more", accepted)).otherwise(F.col("_more"))
     rows = rows.withColumn("_added", added)
     every = F.when(F.size("_added") > 0, F.array_sort(F.concat("_base", "_added"), by_place)).otherwise(F.col("_base"))
-    return rows.withColumns({"base_spans": plain(F.col("_base")), "spans": plain(every)}).drop(
-        *[f"_{k}" for k in KINDS], "_base", "_more", "_added")
+    return rows.select("_row.*", plain(F.col("_base")).alias("base_spans"), plain(every).alias("spans"))
 
 
 def listing(spans: Column) -> Column:
@@ -296,8 +295,8 @@ def listing(spans: Column) -> Column:
 
 def mask(docs: DataFrame, weights: dict[str, float] | None = None, text: str = "text") -> DataFrame:
     """``docs`` with every span of the text replaced by its kind in angle brackets; overlapping spans by the first's."""
-    found = find(docs, weights, text)
-    body = F.col(f"`{text}`")
+    found = find(packed(docs, text=text), weights, "text").withColumnRenamed("text", "body")
+    body = F.col("body")
     names = F.array(*[F.lit(f"<{k}>") for k in KINDS])
 
     # Furthest end so far, and the pieces of the result.
@@ -310,8 +309,8 @@ def mask(docs: DataFrame, weights: dict[str, float] | None = None, text: str = "
     state = F.aggregate("spans", start, step)
     masked = bound(state, lambda s: F.concat(
         F.array_join(s["out"], ""), F.substring(body, s["at"] + 1, F.length(body))))
-    rows = found.withColumn("_masked", F.when(F.size("spans") > 0, masked).otherwise(body))
-    return rows.select(*[F.col("_masked").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    whole = found.select("_row", F.when(F.size("spans") > 0, masked).otherwise(body).alias("masked"))
+    return whole.select(*[F.col("masked").alias(c) if c == text else F.col(f"_row.`{c}`") for c in docs.columns])
 
 
 @query()

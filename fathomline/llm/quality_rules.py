@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.llm.registry import query, table
+from fathomline.llm.texts import packed
 
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -66,10 +67,13 @@ def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
     Three-word windows are compared by 64-bit hashes within one document: sorted with their
     positions, equal ones lie side by side, and the words they cover are the union of their ranges.
     """
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "stop_word_ratio",
+                "ellipsis_line_ratio", "mean_word_chars", "symbol_ratio", "dup_line_ratio", "repeat_ratio")
+    rows = packed(docs, measures, text=text)
+    body = F.coalesce(F.col("text"), F.lit(""))
     stops = sorted({w for words in STOP_WORDS.values() for w in words.split()})
     stop_pattern = r"(?i)(?<![^\x20\x09-\x0D])(?:" + "|".join(stops) + r")(?![^\x20\x09-\x0D])"
-    rows = docs.withColumn("_words", F.filter(F.split(body, SPACE), lambda w: w != ""))
+    rows = rows.withColumn("_words", F.filter(F.split(body, SPACE), lambda w: w != ""))
     rows = rows.withColumn("_lines", F.filter(F.split(body, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
     rows = rows.withColumn("n_words", F.size("_words").cast("long"))
     words, lines = F.col("_words"), F.col("_lines")
@@ -100,12 +104,13 @@ def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
         "stop_word_ratio": _ratio(F.regexp_count(body, F.lit(stop_pattern)), n_words),
         "ellipsis_line_ratio": _ratio(F.size(F.filter(lines, lambda x: x.rlike(r"(\.\.\.|…)\s*$"))), n_lines),
     })
-    return rows.withColumns({
+    rows = rows.withColumns({
         "mean_word_chars": _ratio(F.col("word_chars"), n_words),
         "symbol_ratio": _ratio(F.col("n_symbols"), n_words),
         "dup_line_ratio": _ratio(F.col("n_dup_lines"), n_lines),
         "repeat_ratio": _ratio(F.col("n_repeat_words"), n_words),
-    }).drop("_words", "_lines", "_windows", "_again")
+    })
+    return rows.select("_row.*", *measures)
 
 
 def judge(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text", min_words: int = 50,

@@ -33,7 +33,7 @@ from fathomline.llm.jaccard import keyed
 from fathomline.llm.registry import query, table
 from fathomline.llm.shingles import mixed
 from fathomline.llm.suffixes import common_lengths, longest_factors, suffix_ranks
-from fathomline.llm.texts import slices, small
+from fathomline.llm.texts import packed, slices, small
 from fathomline.session import materialize, spread
 
 LENGTH = 400
@@ -295,11 +295,11 @@ def without_repeats(docs: DataFrame, keep_first: bool = True, length: int = LENG
     Repeats between rows of the same id and text are settled between their keys: with ``keep_first`` both stay.
     """
     made = ("n_bytes", "n_removed", "n_spans", "kept_bytes")
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in made])
     fates = removed_ranges(docs, keep_first, length, gram, max_contexts, doc_id, text)
-    pair = [F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")]
+    rows = packed(docs, made, doc_id=doc_id, text=text)
+    pair = [F.col("doc_id").cast("long"), F.col("text")]
     fated = small(fates.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "whole", "ranges"), BROADCAST_ROWS)
-    rows = docs.withColumns({"_k1": F.xxhash64(F.lit(1), *pair), "_k2": F.xxhash64(F.lit(2), *pair)}).join(
+    rows = rows.withColumns({"_k1": F.xxhash64(F.lit(1), *pair), "_k2": F.xxhash64(F.lit(2), *pair)}).join(
         fated, ["_k1", "_k2"], "left")
     body = F.encode(F.coalesce(pair[1], F.lit("")), "UTF-8")
     size = F.octet_length(body).cast("long")
@@ -320,8 +320,8 @@ def without_repeats(docs: DataFrame, keep_first: bool = True, length: int = LENG
         body, (F.coalesce(F.get(spans, i - 1)["hi"], F.lit(0)) + 1).cast("int"),
         (F.coalesce(F.get(spans, i)["lo"], size) - F.coalesce(F.get(spans, i - 1)["hi"], F.lit(0))).cast("int")), "ISO-8859-1"))
     kept = F.when(F.size(spans) == 0, body).otherwise(F.encode(F.array_join(pieces, ""), "ISO-8859-1"))
-    return rows.withColumns({"n_bytes": size, "n_removed": removed, "n_spans": F.size(spans).cast("long"),
-                             "kept_bytes": kept}).drop("_k1", "_k2", "whole", "ranges", "_spans")
+    return rows.select("_row.*", size.alias("n_bytes"), removed.alias("n_removed"), F.size(spans).cast("long").alias("n_spans"),
+                       kept.alias("kept_bytes"))
 
 
 @query()

@@ -23,3 +23,12 @@ def slices(texts: list[str], most: int = SLICE_CHARS):
 def small(stored: DataFrame, most: int) -> DataFrame:
     """A stored frame, to be broadcast in a join if it has at most ``most`` rows, else as it is."""
     return F.broadcast(stored) if stored.count() <= most else stored
+
+
+def packed(docs: DataFrame, made: tuple[str, ...] = (), **needed: str) -> DataFrame:
+    """``docs`` as one struct ``_row`` without the columns in ``made``, and the needed columns under the given names.
+
+    Columns that an operator works with then never meet columns of the same name in ``docs``.
+    """
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in made]
+    return docs.select(F.struct(*rest).alias("_row"), *[F.col(f"`{c}`").alias(name) for name, c in needed.items()])
