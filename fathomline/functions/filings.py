@@ -64,7 +64,9 @@ def pad_security_id(column: Column, width: int = 8) -> Column:
 
 def _slice_from_last(column: Column, opening: str, closing: str) -> Column:
     """Text from the last ``opening`` up to, not including, the last ``closing``; empty if absent."""
-    return F.regexp_extract(column, r"(?s)^.*(\Q" + opening + r"\E.*)\Q" + closing + r"\E", 1)
+    head = F.concat(F.lit(opening), F.substring_index(column, opening, -1))
+    upto = F.left(head, F.length(head) - F.length(F.substring_index(head, closing, -1)) - len(closing))
+    return F.when(F.contains(column, F.lit(opening)) & F.contains(head, F.lit(closing)), upto).otherwise(F.lit(""))
 
 
 def _parsed_once(xml: Column, schema: str, use) -> Column:
@@ -82,13 +84,15 @@ def _parsed_once(xml: Column, schema: str, use) -> Column:
 def parse_holdings(content: Column) -> Column:
     """Distinct upper-cased security ids of a holdings filing, comma-joined.
 
-    No XML gives an empty string; XML that cannot be parsed gives null.
+    No XML gives an empty string; XML that cannot be parsed gives null. Ids are found at any depth and under any
+    namespace prefix; parsing only tells whether the document is sound.
     """
     xml = F.ltrim(F.regexp_replace(_slice_from_last(content, "<?xml", "</XML"), r"^<\?xml[^>]*\?>", ""))
 
-    def listed(table: Column) -> Column:
-        ids = F.filter(table["infoTable"]["cusip"], lambda v: v.isNotNull())
-        return F.coalesce(F.array_join(F.array_distinct(F.transform(ids, F.upper)), ","), F.lit(""))
+    def listed(_) -> Column:
+        found = F.regexp_extract_all(xml, F.lit(r"<(?:[\w.-]+:)?cusip(?:\s[^>]*)?>([^<]*)</"), F.lit(1))
+        ids = F.filter(F.transform(found, lambda v: F.trim(v)), lambda v: v != "")
+        return F.array_join(F.array_distinct(F.transform(ids, F.upper)), ",")
 
     found = F.get(_parsed_once(xml, "infoTable array<struct<cusip: string>>", listed), F.lit(0))
     return F.when(F.instr(content, "<?xml") == 0, F.lit("")).otherwise(found)

@@ -100,6 +100,8 @@ def _comparable(kind: T.DataType) -> str:
     """The type a column's values are counted and compared in."""
     if isinstance(kind, T.IntegralType):
         return "long"
+    if isinstance(kind, T.DecimalType):
+        return kind.simpleString()
     return "double" if isinstance(kind, T.NumericType) else "string"
 
 

@@ -42,5 +42,13 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int) -> DataFrame:
 
 
 def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
-    """Disjoint random parts with the given weights."""
-    return df.randomSplit(list(weights), seed)
+    """Disjoint random parts with the given weights, drawn by a hash of the row and the seed.
+
+    The same rows fall into the same parts however the input is partitioned; equal rows stay together.
+    """
+    drawn = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]), F.lit(1 << 52)) / float(1 << 52)
+    total, edges = float(sum(weights)), [0.0]
+    for weight in weights:
+        edges.append(edges[-1] + weight / total)
+    edges[-1] = 1.0
+    return [df.filter((drawn >= low) & (drawn < high)) for low, high in zip(edges, edges[1:])]

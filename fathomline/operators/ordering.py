@@ -12,88 +12,28 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fathomline.session import materialize
 
 MAX_ROWS_PER_TASK = 2_000_000
-MAX_CHUNKS = 10_000
+MAX_TOP = 100_000
 MAX_BROADCAST_ROWS = 100_000
 
-_LOWEST, _NULL = -1e299, -1e300
 _CHUNK = "__chunk"
-_SUB = "__sub"
-_AXIS = "__axis"
 
 
-def axis_value(df: DataFrame, column: str) -> Column:
-    """A double that never decreases as ``column`` grows, whatever its orderable type.
+def cut_series(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, max_rows: int) -> tuple[DataFrame, int]:
+    """Add a chunk number that grows with ``order`` within each key, stored; also the number of chunks.
 
-    Nulls sort first and get one finite value, so that many of them can be told apart from the rest.
+    The cut is a range sort on the keys and all order columns, so columns of every orderable type are cut as a window
+    sorts them: nulls first, ties of one column by the next. It is written once, so that later steps read the same
+    chunks, and what ``df`` is computed from runs once.
     """
-    kind = df.schema[column].dataType
-    c = F.col(column)
-    if isinstance(kind, T.DateType):
-        number = F.unix_date(c)
-    elif isinstance(kind, T.TimestampType):
-        number = F.unix_micros(c)
-    elif isinstance(kind, T.TimestampNTZType):
-        number = (F.unix_date(F.to_date(c)) * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c))
-    elif isinstance(kind, T.NumericType):
-        number = c
-    else:
-        raise TypeError(f"cannot split a series along {column} of type {kind.simpleString()}")
-    return F.coalesce(F.greatest(number.cast("double"), F.lit(_LOWEST)), F.lit(_NULL))
-
-
-def _quantiles(df: DataFrame, column: str, pieces: int) -> list[float]:
-    """At most ``pieces`` - 1 ascending quantiles; a very common value occurs several times.
-
-    Only these few doubles reach the driver; the quantile sketch itself is merged on executors.
-    """
-    pieces = max(1, min(pieces, MAX_CHUNKS))
-    if pieces == 1:
-        return []
-    probabilities = [i / pieces for i in range(1, pieces)]
-    cuts = df.stat.approxQuantile(column, probabilities, 1.0 / (4 * pieces))
-    return sorted(c for c in cuts if math.isfinite(c))
-
-
-def split_points(df: DataFrame, column: str, pieces: int) -> list[float]:
-    """Ascending cut values that spread the rows of distinct values evenly."""
-    return sorted(set(_quantiles(df, column, pieces)))
-
-
-def assign_chunk(df: DataFrame, axis: str, cuts: Sequence[float], out: str) -> DataFrame:
-    """Add the index of the half-open interval of ``cuts`` that holds ``axis``."""
-    if not cuts:
-        return df.withColumn(out, F.lit(0.0))
-    splits = [float("-inf"), *cuts, float("inf")]
-    bucketizer = Bucketizer(splits=splits, inputCol=axis, outputCol=out, handleInvalid="keep")
-    return bucketizer.transform(df)
-
-
-def cut_series(df: DataFrame, order: Sequence[str], rows: int, max_rows: int) -> tuple[DataFrame, int]:
-    """Add chunk numbers (two columns) that grow with ``order``; also the most chunks there can be.
-
-    Chunks are ranges of the first order column. A value too common for one chunk gets a chunk to
-    itself, which is cut again along the second order column.
-    """
-    axed = df.withColumn(_AXIS, axis_value(df, order[0]))
-    cuts = _quantiles(axed, _AXIS, math.ceil(rows / max_rows) + 1)
-    common = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
-    edges = sorted({*cuts, *(math.nextafter(v, math.inf) for v in common)})
-    chunked = assign_chunk(axed, _AXIS, edges, _CHUNK)
-    if not common or len(order) < 2:
-        return chunked.withColumn(_SUB, F.lit(0.0)).drop(_AXIS), len(edges) + 1
-    shared = F.col(_AXIS).isin(common)
-    tied = chunked.withColumn(_AXIS, F.when(shared, axis_value(df, order[1])))
-    finer = split_points(tied.filter(F.col(_AXIS).isNotNull()), _AXIS, math.ceil(rows / max_rows) + 1)
-    cut = assign_chunk(tied.fillna({_AXIS: float("-inf")}), _AXIS, finer, _SUB)
-    return cut.drop(_AXIS), len(edges) + 1 + len(common) * (len(finer) + 1)
+    pieces = max(2, 2 * math.ceil(rows / max_rows))
+    placed = df.repartitionByRange(pieces, *[F.col(c).asc_nulls_first() for c in [*keys, *order]])
+    return materialize(placed.withColumn(_CHUNK, F.spark_partition_id()), "series"), pieces
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
@@ -130,8 +70,7 @@ def with_neighbours(
     ``previous`` and ``following`` name struct columns holding ``values`` of the adjacent row
     (null at the ends), ``position`` counts from 0, ``length`` is the row count of the key and
     ``mean`` the mean of the first of ``values``. ``order`` should be a total order within the
-    key; its first column (and the second, if the first has very common values) must be numeric,
-    date or timestamp when a key has to be split.
+    key, of columns of any orderable type.
     """
     keys, order, values = list(keys), list(order), list(values)
     heavy = heavy_keys(df, keys, max_rows_per_task)
@@ -152,13 +91,13 @@ def with_neighbours(
 
     flagged = _small(heavy.select(*keys, F.lit(True).alias("__heavy")), found["keys"])
     marked = join_keys(df, flagged, keys, "left").fillna({"__heavy": False})
-    cut, pieces = cut_series(marked.filter("__heavy"), order, found["rows"], max_rows_per_task)
-    light = marked.filter(~F.col("__heavy")).withColumns({_CHUNK: F.lit(-1.0), _SUB: F.lit(0.0)})
+    cut, pieces = cut_series(marked.filter("__heavy"), keys, order, found["rows"], max_rows_per_task)
+    light = marked.filter(~F.col("__heavy")).withColumn(_CHUNK, F.lit(-1))
     chunked = cut.unionByName(light)
 
     rank = F.struct(*order)
     parts = (
-        cut.groupBy(*keys, _CHUNK, _SUB)
+        cut.groupBy(*keys, _CHUNK)
         .agg(
             F.min_by(row, rank).alias("__first"),
             F.max_by(row, rank).alias("__last"),
@@ -167,11 +106,10 @@ def with_neighbours(
             F.count(measure).alias("__filled"),
         )
     )
-    across, whole = Window.partitionBy(*keys).orderBy(_CHUNK, _SUB), Window.partitionBy(*keys)
+    across, whole = Window.partitionBy(*keys).orderBy(_CHUNK), Window.partitionBy(*keys)
     borders = parts.select(
         *keys,
         _CHUNK,
-        _SUB,
         F.lag("__last").over(across).alias("__before"),
         F.lead("__first").over(across).alias("__after"),
         (F.sum("__n").over(across.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")).alias("__offset"),
@@ -179,7 +117,7 @@ def with_neighbours(
         F.try_divide(F.sum("__sum").over(whole), F.sum("__filled").over(whole)).alias("__mean"),
     )
 
-    piece = Window.partitionBy(*keys, _CHUNK, _SUB)
+    piece = Window.partitionBy(*keys, _CHUNK)
     inside = piece.orderBy(*order)
     local = chunked.withColumns({
         "__prev": F.lag(row).over(inside),
@@ -188,8 +126,8 @@ def with_neighbours(
         "__count": F.count(F.lit(1)).over(piece),
         "__avg": F.avg(measure).over(piece),
     })
-    borders = _small(borders, found["keys"] * pieces)
-    joined = join_keys(local, borders, [*keys, _CHUNK, _SUB], "left")
+    borders = _small(borders, found["keys"] + pieces)
+    joined = join_keys(local, borders, [*keys, _CHUNK], "left")
     wanted = {
         previous: F.coalesce("__prev", "__before"),
         following: F.coalesce("__next", "__after"),
@@ -211,7 +149,7 @@ def running_totals(
     """Cumulative sums over one global order, without sorting the whole table in one task.
 
     ``order`` must hold one row per value (aggregate first). Rows are cut into ranges; only the
-    range totals, at most ``MAX_CHUNKS`` rows, meet in a single window.
+    range totals, one row per range, meet in a single window.
     """
     direction = F.desc if descending else F.asc
     so_far = (Window.unboundedPreceding, 0)
@@ -220,17 +158,16 @@ def running_totals(
         w = Window.orderBy(direction(order)).rowsBetween(*so_far)
         return df.withColumns({f"{m}{suffix}": F.sum(m).over(w) for m in measures})
 
-    axed = df.withColumn(_AXIS, axis_value(df, order))
-    chunked = assign_chunk(axed, _AXIS, split_points(axed, _AXIS, pieces), _CHUNK)
+    placed = df.repartitionByRange(pieces, direction(order)).withColumn(_CHUNK, F.spark_partition_id())
+    chunked = materialize(placed, "totals")
     inside = Window.partitionBy(_CHUNK).orderBy(direction(order)).rowsBetween(*so_far)
     local = chunked.withColumns({f"__{m}": F.sum(m).over(inside) for m in measures})
 
-    before = Window.orderBy(direction(_CHUNK)).rowsBetween(*so_far)
+    before = Window.orderBy(_CHUNK).rowsBetween(*so_far)  # chunks are in the direction of the order
     offsets = chunked.groupBy(_CHUNK).agg(*[F.sum(m).alias(m) for m in measures])
     offsets = offsets.select(_CHUNK, *[(F.sum(m).over(before) - F.col(m)).alias(f"__off_{m}") for m in measures])
     totals = [(F.col(f"__{m}") + F.col(f"__off_{m}")).alias(f"{m}{suffix}") for m in measures]
-    # At most MAX_CHUNKS + 1 rows.
-    return local.join(F.broadcast(offsets), _CHUNK).select(*df.columns, *totals)
+    return local.join(_small(offsets, pieces), _CHUNK).select(*df.columns, *totals)
 
 
 def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index") -> DataFrame:
@@ -249,13 +186,16 @@ def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index")
     return placed.join(F.broadcast(offsets), "__part").select(*df.columns, index.alias(name))
 
 
-def skip_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+def skip_rows(df: DataFrame, order: Sequence[str], n: int, max_top: int = MAX_TOP) -> DataFrame:
     """All rows but the first ``n`` of a total order.
 
-    The border row comes from a top-``n`` plan, so the table itself is filtered, never sorted.
+    For a small ``n`` the border row comes from a top-``n`` plan, so the table itself is filtered, never sorted. A
+    larger ``n`` is counted off along a range sort.
     """
     if n <= 0:
         return df
+    if n > max_top:
+        return with_row_index(df, order, "__index").filter(F.col("__index") >= n).drop("__index")
     rank = F.struct(*order)
     border = df.select(rank.alias("rank")).orderBy("rank").limit(n).agg(F.max("rank").alias("rank"))
     return df.filter(rank > border.scalar())

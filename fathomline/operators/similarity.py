@@ -1,12 +1,13 @@
 """Item-to-item cosine similarity over co-rating users.
 
-``ratings`` holds ``(user, item, rating)`` with one row per user and item.
+``ratings`` holds ``(user, item, rating)``. Rows without a rating are left out; several ratings of an item by one user
+count each on its own.
 
 Users with very many items would dominate the pairing step. Any pair that passes a support
 threshold ``s`` has more than ``s`` co-raters, so up to ``s`` users may be left out of pairing
 and still no such pair is missed: every one of them shows up through a remaining user. The
 largest users are therefore left out, and their ratings are added to the surviving pairs through
-a small vector per item. Other large users are spread over several tasks.
+a small vector per item. Other large users are cut into blocks of items, and each pair of blocks is paired by itself.
 """
 
 from __future__ import annotations
@@ -15,14 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_ITEMS_PER_TASK = 2_000
-MAX_HOT_USERS = 32
+MIN_SUPPORT = 50
 
 _SUMS = ["xy", "xx", "yy", "support"]
 
 
 def _frequent(ratings: DataFrame, min_support: int) -> DataFrame:
     """Ratings of items with more than ``min_support`` ratings; other items cannot pass."""
-    rows = ratings.select("user", "item", F.col("rating").cast("double").alias("rating"))
+    rows = ratings.select("user", "item", F.col("rating").cast("double").alias("rating")).filter("rating is not null")
     if min_support <= 0:
         return rows
     enough = rows.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > min_support).select("item")
@@ -41,45 +42,48 @@ def _pair_sums(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
 
 
 def _spread_pair_sums(rows: DataFrame, degrees: DataFrame, max_items: int) -> DataFrame:
-    """Pair sums in which a user's items are cut into slices of about ``max_items``."""
+    """Pair sums in which a user's items are cut into slices of about ``max_items``, both sides of the pairing alike."""
     sized = rows.join(degrees.withColumn("slices", F.ceil(F.col("n") / max_items).cast("int")), "user")
-    sliced = sized.withColumn("slice", F.pmod(F.xxhash64("item"), F.col("slices")).cast("int"))
-    copied = sized.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-    return _pair_sums(sliced, copied, ["user", "slice"])
+    own = F.pmod(F.xxhash64("item"), F.col("slices")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
+    left = sized.withColumn("slice", own).withColumn("other", every)
+    right = sized.withColumn("other", own).withColumn("slice", every)
+    return _pair_sums(left, right, ["user", "slice", "other"])
 
 
 def _with_hot_users(sums: DataFrame, rows: DataFrame, hot: DataFrame) -> DataFrame:
-    """Add the ratings of the hot users, at most ``MAX_HOT_USERS`` per item, to every pair."""
-    vectors = rows.join(hot, "user", "left_semi").groupBy("item").agg(
-        F.map_from_entries(F.collect_list(F.struct("user", "rating"))).alias("by_user")
-    )
+    """Add the ratings of the hot users, fewer than the support threshold per item, to every pair."""
+    square = F.col("rating") * F.col("rating")
+    vectors = rows.join(hot, "user", "left_semi").groupBy("item", "user").agg(
+        F.sum("rating").alias("s"), F.sum(square).alias("q"), F.count(F.lit(1)).alias("n")
+    ).groupBy("item").agg(F.map_from_entries(F.collect_list(F.struct("user", F.struct("s", "q", "n")))).alias("by_user"))
     first = vectors.select(F.col("item").alias("item1"), F.col("by_user").alias("v1"))
     second = vectors.select(F.col("item").alias("item2"), F.col("by_user").alias("v2"))
     joined = sums.join(first, "item1", "left").join(second, "item2", "left")
     shared = F.coalesce(F.array_intersect(F.map_keys("v1"), F.map_keys("v2")), F.array())
 
-    def added(term):
-        return F.aggregate(shared, F.lit(0.0), lambda total, u: total + term(u))
+    def added(term, zero=F.lit(0.0)):
+        return F.aggregate(shared, zero, lambda total, u: total + term(u))
 
     x, y = (lambda u: F.col("v1")[u]), (lambda u: F.col("v2")[u])
     return joined.select(
         "item1", "item2",
-        (F.col("xy") + added(lambda u: x(u) * y(u))).alias("xy"),
-        (F.col("xx") + added(lambda u: x(u) * x(u))).alias("xx"),
-        (F.col("yy") + added(lambda u: y(u) * y(u))).alias("yy"),
-        (F.col("support") + F.size(shared)).alias("support"),
+        (F.col("xy") + added(lambda u: x(u)["s"] * y(u)["s"])).alias("xy"),
+        (F.col("xx") + added(lambda u: x(u)["q"] * y(u)["n"])).alias("xx"),
+        (F.col("yy") + added(lambda u: y(u)["q"] * x(u)["n"])).alias("yy"),
+        (F.col("support") + added(lambda u: x(u)["n"] * y(u)["n"], F.lit(0).cast("long"))).alias("support"),
     )
 
 
 def co_rated_sums(
     ratings: DataFrame,
-    min_support: int = 0,
+    min_support: int = MIN_SUPPORT,
     max_items_per_task: int = MAX_ITEMS_PER_TASK,
-    max_hot_users: int = MAX_HOT_USERS,
 ) -> DataFrame:
     """``(item1, item2, xy, xx, yy, support)`` with ``item1 < item2`` and support above ``min_support``.
 
-    Co-rated pairs are reduced to sums map-side; they are never stored one by one.
+    Co-rated pairs are reduced to sums map-side; they are never stored one by one. With ``min_support=0`` nothing can be
+    left out, so every co-rated pair is formed.
     """
     rows = _frequent(ratings, min_support)
     degrees = rows.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
@@ -87,14 +91,13 @@ def co_rated_sums(
     if large.isEmpty():
         sums = _pair_sums(rows, rows, ["user"])
     else:
-        spared = max(0, min(min_support, max_hot_users))
+        spared = max(0, min_support)
         if spared == 0:
             sums = _spread_pair_sums(rows, degrees, max_items_per_task)
         else:
             hot = large.orderBy(F.desc("n"), "user").limit(spared).select("user")
             light = rows.join(hot, "user", "left_anti")
             sums = _spread_pair_sums(light, degrees, max_items_per_task)
-            sums = sums.filter(F.col("support") > min_support - spared)
             sums = _with_hot_users(sums, rows, hot)
     return sums.filter(F.col("support") > min_support).select("item1", "item2", *_SUMS)
 
@@ -107,12 +110,11 @@ def cosine(xy, xx, yy):
 def pair_similarity(
     ratings: DataFrame,
     min_score: float | None = None,
-    min_support: int = 0,
+    min_support: int = MIN_SUPPORT,
     max_items_per_task: int = MAX_ITEMS_PER_TASK,
-    max_hot_users: int = MAX_HOT_USERS,
 ) -> DataFrame:
     """``(item1, item2, score, support)``; both thresholds are strict."""
-    sums = co_rated_sums(ratings, min_support, max_items_per_task, max_hot_users)
+    sums = co_rated_sums(ratings, min_support, max_items_per_task)
     scored = sums.select("item1", "item2", cosine(F.col("xy"), F.col("xx"), F.col("yy")).alias("score"), "support")
     return scored if min_score is None else scored.filter(F.col("score") > min_score)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fathomline.functions.filings import parse_holdings
+from fathomline.functions.filings import TRANSACTION_CODES, parse_holdings
 from fathomline.operators.counts import pivot_codes
 from fathomline.plans.catalog.registry import query, table
 from fathomline.plans.reports import holdings_report, ownership_report
@@ -83,11 +83,11 @@ select case when l_tax = 0 then 'Unknown' else lpad(l_suppkey::varchar, 10, '0')
        count(*) filter (where l_tax <> 0 and l_returnflag = 'A') as award,
        count(*) filter (where l_tax <> 0 and l_linestatus = 'O') as out_of_money_exercise,
        count(*) filter (where l_tax <> 0 and l_linestatus = 'F') as exercise,
-       0::bigint as purchase
+       {zeros}
 from lineitem group by 1
-""")
+""".format(zeros=", ".join(f"0::bigint as {n}" for c, n in TRANSACTION_CODES.items() if c not in "AOF")))
 def transaction_code_pivot(spark, folder):
-    """One row per issuer and one count per known code; four of the twenty columns are shown."""
+    """One row per issuer and one count per known code."""
     rows = ownership_rows(_ownership(spark, folder))
     coded = rows.select(F.col("issuer_cik").alias("cik"), F.explode(F.split("codes", "")).alias("code"))
-    return pivot_codes(coded, "cik", "code").select("cik", "award", "out_of_money_exercise", "exercise", "purchase")
+    return pivot_codes(coded, "cik", "code")

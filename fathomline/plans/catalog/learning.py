@@ -11,11 +11,11 @@ from fathomline.learning.cleaning import clean_medical
 from fathomline.learning.evaluation import auroc, binary_metrics, test_error
 from fathomline.learning.features import assemble, assembler, index_features, index_label, invert_label, to_labeled
 from fathomline.learning.models import (
-    describe_model, feature_importances, learner, raw_scores, recommend, score, train_als, train_forest,
+    describe_model, feature_importances, fit_held, learner, raw_scores, recommend, score, train_als, train_forest,
     train_logistic, train_svm, train_tree, train_tree_regressor,
 )
 from fathomline.learning.tuning import (
-    DEPTH_GRID, FOREST_GRID, accuracy_evaluator, grid_of, sweep, tune_cv, tune_forest, tune_logistic_recall,
+    DEPTH_GRID, FOREST_GRID, TREE_GRID, accuracy_evaluator, grid_of, sweep, tune_cv, tune_forest, tune_logistic_recall,
     tune_split,
 )
 from fathomline.operators.filters import random_split
@@ -139,7 +139,7 @@ def named_learners(spark, folder):
     """Both learners by name, compared on the same split."""
     train, test = _parts(spark, folder)
     frames = [
-        test_error(score(learner(name).fit(train), test)).withColumn("learner", F.lit(name))
+        test_error(score(fit_held(learner(name), train), test)).withColumn("learner", F.lit(name))
         for name in ("DecisionTree", "RandomForest")
     ]
     return frames[0].unionByName(frames[1])
@@ -148,8 +148,10 @@ def named_learners(spark, folder):
 @query()
 def random_forest(spark, folder):
     train, test = _parts(spark, folder)
-    model = train_forest(train, numTrees=5, impurity="entropy", maxDepth=8)
-    return test_error(score(model, test))
+    indexer = index_features(40).fit(train)
+    model = train_forest(
+        indexer.transform(train), features="indexed_features", numTrees=5, impurity="entropy", maxDepth=30, maxBins=300)
+    return test_error(score(model, indexer.transform(test)))
 
 
 @query()
@@ -177,7 +179,7 @@ def logistic_regression(spark, folder):
 def support_vectors(spark, folder):
     """Raw margins without a threshold, measured by the area under the ROC curve."""
     train, test = _parts(spark, folder)
-    return auroc(raw_scores(train_svm(train, maxIter=20), test))
+    return auroc(raw_scores(train_svm(train, maxIter=150), test))
 
 
 @query()
@@ -187,14 +189,14 @@ def recommendations(spark, folder):
     )
     names = table(spark, folder, "part").select(F.col("p_partkey").cast("int").alias("item"), F.col("p_name").alias("name"))
     model = train_als(rows)
-    return recommend(model, spark.range(1).select(F.lit(1).alias("user")), names, 10)
+    return recommend(model, rows.select("user").distinct(), names, 10)
 
 
 @query()
 def tuned_split(spark, folder):
     train, test = _parts(spark, folder)
     estimator = learner("DecisionTree")
-    grid = grid_of(estimator, {"impurity": ["gini", "entropy"], "maxDepth": [1, 5], "minInfoGain": [0.0, 0.05]})
+    grid = grid_of(estimator, TREE_GRID)
     tuned = tune_split(Pipeline(stages=[estimator]), grid, train, ratio=0.9)
     accuracy = accuracy_evaluator()
     return _metrics(
@@ -225,7 +227,7 @@ def tuned_folds(spark, folder):
 @query()
 def tuned_recall(spark, folder):
     train, _ = _parts(spark, folder)
-    tuned = tune_logistic_recall(train, inverse_penalties=[0.01, 1.0])
+    tuned = tune_logistic_recall(train)
     rows = [(p["elasticNetParam"], p["regParam"], m) for p, m in tuned.candidates]
     return spark.createDataFrame(rows, "elastic_net double, reg double, recall double")
 
@@ -234,9 +236,10 @@ def tuned_recall(spark, folder):
 def parameter_sweep(spark, folder):
     """Every combination trained on one part and ranked on the other."""
     train, test = _parts(spark, folder)
-    swept = sweep(learner("DecisionTree"), train, test, {"impurity": ["gini", "entropy"], "maxDepth": [2, 4]})
-    rows = [(p["impurity"], p["maxDepth"], m) for p, m in swept.candidates]
-    return spark.createDataFrame(rows, "impurity string, depth int, accuracy double")
+    swept = sweep(learner("DecisionTree"), train, test, {
+        "impurity": ["gini", "entropy"], "maxDepth": [1, 20], "maxBins": [10, 300]})
+    rows = [(p["impurity"], p["maxDepth"], p["maxBins"], m) for p, m in swept.candidates]
+    return spark.createDataFrame(rows, "impurity string, depth int, bins int, accuracy double")
 
 
 @query()

@@ -56,33 +56,48 @@ def batch_event_counts(spark, folder):
     return counts.agg(F.sum("n").alias("n"))
 
 
+def _by_size(windows, key):
+    """How many windows of a key hold how many events, and the first and last of them."""
+    text = "yyyy-MM-dd HH:mm:ss"
+    return windows.groupBy(key, "n").agg(
+        F.count(F.lit(1)).alias("windows"), F.date_format(F.min("window_start"), text).alias("first_window"),
+        F.date_format(F.max("window_start"), text).alias("last_window"))
+
+
 @query("""
-with e as (select event_type, unnest(generate_series(date_trunc('minute', ts) - interval 4 minute,
-                                                     date_trunc('minute', ts), interval 1 minute)) as start
-           from events)
-select strftime(start, '%Y-%m-%d %H:%M:%S') as window_start, event_type, count(*) as n from e group by 1, 2
+with e as (select event_type, unnest(generate_series(date_trunc('second', ts) - interval 299 second,
+                                                     date_trunc('second', ts), interval 1 second)) as start
+           from events),
+c as (select event_type, start, count(*) as n from e group by 1, 2)
+select event_type, n, count(*) as windows, strftime(min(start), '%Y-%m-%d %H:%M:%S') as first_window,
+       strftime(max(start), '%Y-%m-%d %H:%M:%S') as last_window
+from c group by 1, 2
 """)
 def sliding_window_counts(spark, folder):
-    """The stream keeps one count per minute and type; five-minute windows are added up from those."""
+    """The stream keeps one count per second and type; windows of 300 s every second are run up from those.
+
+    Reported is how many windows hold how many events.
+    """
     events = _stream(spark, folder, "events").select("ts", "event_type")
-    updates = _batches(spark, slide_counts(events, "ts", "event_type", "1 minute"), "update")
+    updates = _batches(spark, slide_counts(events, "ts", "event_type", "1 second"), "update")
     slides = latest_values(updates, ["slide_start", "event_type"], "n")
-    rows = sliding_from_slides(slides, "event_type", "5 minutes", "1 minute")
-    return rows.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+    return _by_size(sliding_from_slides(slides, "event_type", "300 seconds", "1 second"), "event_type")
 
 
 @query("""
-with e as (select '/u/' || user_id as url, unnest(generate_series(date_trunc('minute', ts) - interval 4 minute,
-                                                     date_trunc('minute', ts), interval 1 minute)) as start
-           from events)
-select strftime(start, '%Y-%m-%d %H:%M:%S') as window_start, url, count(*) as n from e group by 1, 2
+with e as (select '/u/' || user_id as url, unnest(generate_series(date_trunc('second', ts) - interval 299 second,
+                                                     date_trunc('second', ts), interval 1 second)) as start
+           from events),
+c as (select url, start, count(*) as n from e group by 1, 2)
+select url, n, count(*) as windows, strftime(min(start), '%Y-%m-%d %H:%M:%S') as first_window,
+       strftime(max(start), '%Y-%m-%d %H:%M:%S') as last_window
+from c group by 1, 2
 """)
 def sliding_url_counts(spark, folder):
     """The same windows in one batch plan, per address."""
     url = F.concat(F.lit("/u/"), F.col("user_id").cast("string"))
     events = table(spark, folder, "events").select("ts", url.alias("url"))
-    rows = sliding_counts(events, "ts", "url", "5 minutes", "1 minute")
-    return rows.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+    return _by_size(sliding_counts(events, "ts", "url", "300 seconds", "1 second"), "url")
 
 
 @query("""

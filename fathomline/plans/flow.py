@@ -40,6 +40,12 @@ def run_steps(source: DataFrame, steps: Iterable[Transform]) -> DataFrame:
 
 
 def sql_over(df: DataFrame, view: str, query: str) -> DataFrame:
-    """Run SQL with the frame registered as a temporary view."""
-    df.createOrReplaceTempView(view)
-    return df.sparkSession.sql(query)
+    """SQL over a frame under a name that holds for this query only; a name in use is refused."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(view):
+        raise ValueError(f"{view} is the name of a table or view already")
+    df.createTempView(view)
+    try:
+        return spark.sql(query)
+    finally:
+        spark.catalog.dropTempView(view)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -51,20 +52,24 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _members(blob: bytes | None, encoding: str) -> Iterator[tuple[str, str]]:
-    """``(name, text)`` of each member, read one at a time."""
+    """``(name, text)`` of each member, read one at a time; a member that cannot be read is left out."""
     try:
         archive = zipfile.ZipFile(io.BytesIO(blob))
     except (zipfile.BadZipFile, TypeError):
         return
     with archive:
         for name in archive.namelist():
-            yield name, archive.read(name).decode(encoding, "replace")
+            try:
+                text = archive.read(name).decode(encoding, "replace")
+            except (zipfile.BadZipFile, zlib.error, RuntimeError, NotImplementedError, EOFError, OSError):
+                continue  # damaged, encrypted or of an unknown method
+            yield name, text
 
 
 def explode_zip(
     archives: DataFrame, content: str = "content", encoding: str = "utf-8", batch_chars: int = 8_000_000
 ) -> DataFrame:
-    """One row ``(name, text)`` per archive member; a broken archive gives no rows.
+    """One row ``(name, text)`` per archive member; a broken archive or member gives no rows.
 
     Members are handed back in batches of about ``batch_chars``, so a large archive is never held
     unpacked as a whole.

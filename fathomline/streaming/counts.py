@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The counts a running word count starts from.
@@ -46,11 +46,15 @@ def event_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
 
-def slide_counts(df: DataFrame, ts: str, key: Column | str, slide: str = "1 second") -> DataFrame:
+def slide_counts(
+    df: DataFrame, ts: str, key: Column | str, slide: str = "1 second", delay: str | None = None
+) -> DataFrame:
     """``(slide_start, key, n)`` per slide-long tumbling window.
 
-    One state row per slide and key, however many sliding windows overlap it.
+    One state row per slide and key, however many sliding windows overlap it. ``delay`` is the watermark after which a
+    stream forgets a slide; without it, late events of any age are counted and the state grows for ever.
     """
+    df = df.withWatermark(ts, delay) if delay and df.isStreaming else df
     name = key if isinstance(key, str) else "key"
     column = F.col(key) if isinstance(key, str) else key
     grouped = df.groupBy(F.window(ts, slide).alias("w"), column.alias(name))
@@ -60,13 +64,33 @@ def slide_counts(df: DataFrame, ts: str, key: Column | str, slide: str = "1 seco
 def sliding_from_slides(
     slides: DataFrame, key: str, window: str = "300 seconds", slide: str = "1 second"
 ) -> DataFrame:
-    """``(window_start, key, n)`` of every sliding window, from slide counts.
+    """``(window_start, key, n)`` of every sliding window that holds an event, from slide counts in batch.
 
-    A slide is copied into the windows that cover it after its events are already counted.
-    ``window`` must be a multiple of ``slide``.
+    A slide adds its count at the first window that covers it and takes it off behind the last; running totals of
+    these changes are the counts. Time is cut into stretches of at least one window, so the totals of a key run in
+    many tasks and a slide is copied twice at most. ``window`` must be a multiple of ``slide``.
     """
-    placed = slides.groupBy(F.window("slide_start", window, slide).alias("w"), key)
-    return placed.agg(F.sum("n").alias("n")).select(F.col("w.start").alias("window_start"), key, "n")
+    long, short = (_micros(x) for x in (window, slide))
+    stretch = F.lit(max(long, 3_600_000_000 // short * short))
+    start = F.unix_micros(F.col("slide_start").cast("timestamp"))
+    ranges = slides.select(key, "n", (start - long + short).alias("lo"), (start + short).alias("hi"))
+    pieces = ranges.withColumn("stretch", F.explode(F.sequence(
+        F.floor(F.col("lo") / stretch), F.floor((F.col("hi") - short) / stretch)))).select(
+        key, "stretch", "n", F.greatest("lo", F.col("stretch") * stretch).alias("lo"),
+        F.least("hi", (F.col("stretch") + 1) * stretch).alias("hi"))
+    changes = pieces.select(key, "stretch", F.inline(F.array(
+        F.struct(F.col("lo").alias("at"), F.col("n").alias("d")), F.struct(F.col("hi").alias("at"), (-F.col("n")).alias("d")))))
+    changes = changes.groupBy(key, "stretch", "at").agg(F.sum("d").alias("d"))
+    w = Window.partitionBy(key, "stretch").orderBy("at")
+    totals = changes.select(key, "at", F.sum("d").over(w).alias("n"), F.lead("at").over(w).alias("upto")).filter("n > 0")
+    starts = F.explode(F.sequence("at", F.col("upto") - short, F.lit(short)))
+    return totals.select(starts.alias("at"), key, "n").select(F.timestamp_micros("at").alias("window_start"), key, "n")
+
+
+def _micros(interval: str) -> int:
+    """Length of an interval such as ``5 minutes``."""
+    number, unit = interval.split()
+    return int(number) * {"second": 1, "minute": 60, "hour": 3_600, "day": 86_400}[unit.rstrip("s")] * 1_000_000
 
 
 def sliding_counts(
@@ -75,9 +99,12 @@ def sliding_counts(
 ) -> DataFrame:
     """``(window_start, key, n)`` straight from events, in batch or append-mode streaming.
 
-    ``delay`` is the watermark that lets finished windows leave the state.
+    ``delay`` is the watermark that lets finished windows leave the state. In batch, windows are running totals of
+    slides; a stream cannot run totals, there a counted slide is copied into its windows.
     """
-    rows = df if delay is None or not df.isStreaming else df.withWatermark(ts, delay)
+    if not df.isStreaming:
+        return sliding_from_slides(slide_counts(df, ts, key, slide), key, window, slide)
+    rows = df if delay is None else df.withWatermark(ts, delay)
     slides = rows.groupBy(F.window(ts, slide).alias("s"), key).agg(F.count(F.lit(1)).alias("c"))
     placed = slides.groupBy(F.window(F.window_time("s"), window, slide).alias("w"), key)
     return placed.agg(F.sum("c").alias("n")).select(F.col("w.start").alias("window_start"), key, "n")

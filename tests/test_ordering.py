@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fathomline.operators.moves import next_pair, price_change, signed_move, up_move
 from fathomline.operators.ordering import (
-    cut_series, running_totals, skip_rows, split_points, with_neighbours, with_row_index,
+    cut_series, running_totals, skip_rows, with_neighbours, with_row_index,
 )
 from fathomline.operators.performance import growth_ratio, history_of, period_stats, price_stats, sharpe_ratio, stock_performance
 from fathomline.operators.quantiles import median_by, median_of, upper_median
@@ -76,18 +76,21 @@ def test_common_order_values_are_split_too(spark, limit):
     for r in got.collect():
         assert series[r.pos][2] == r.id
         assert (r.prev and r.prev.id) == (series[r.pos - 1][2] if r.pos else None)
-    cut, pieces = cut_series(df, ["day", "id"], df.count(), 100)
-    sizes = [r["count"] for r in cut.groupBy("__chunk", "__sub").count().collect()]
+    cut, pieces = cut_series(df, ["symbol"], ["day", "id"], df.count(), 100)
+    sizes = [r["count"] for r in cut.groupBy("__chunk").count().collect()]
     assert max(sizes) <= 300 and len(sizes) <= pieces
 
 
-@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "double"])
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "double", "string", "ntz_far", "odd_double"])
 def test_splitting_works_for_every_order_type(skewed, kind):
     typed = {
         "date": F.expr("date_add(date'2020-01-01', day)"),
         "timestamp": F.expr("timestamp'2020-01-01 00:00:00' + make_interval(0, 0, 0, day)"),
         "timestamp_ntz": F.expr("cast(timestamp'2020-03-01 00:00:00' + make_interval(0, 0, 0, 0, day) as timestamp_ntz)"),
         "double": F.expr("day / 7.0D"),
+        "string": F.expr("concat('k', day)"),
+        "ntz_far": F.expr("cast(timestamp'2039-03-01 00:00:00' + make_interval(0, 0, 0, day) as timestamp_ntz)"),
+        "odd_double": F.expr("case day % 4 when 0 then null when 1 then -double('infinity') when 2 then double('nan') else -1e300 end"),
     }[kind]
     df = skewed.withColumn("day", typed)
     plain = with_neighbours(df, ["symbol"], ["day", "id"], ["id"], "prev", None, "pos")
@@ -167,15 +170,10 @@ def test_row_index_and_skip(spark):
     df = spark.createDataFrame([(f"k{i:04d}", i) for i in range(700)], "k string, v int").repartition(6)
     assert {r.v: r.row_index for r in with_row_index(df, ["k"]).collect()} == {i: i for i in range(700)}
     assert sorted(r.v for r in skip_rows(df, ["k"], 3).collect()) == list(range(3, 700))
+    assert sorted(r.v for r in skip_rows(df, ["k"], 3, max_top=2).collect()) == list(range(3, 700))
     assert skip_rows(df, ["k"], 0).count() == 700
 
 
-def test_split_points_are_even(spark):
-    df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
-    cuts = split_points(df, "x", 4)
-    assert len(cuts) == 3 and all(abs(c - e) < 130 for c, e in zip(cuts, (250, 500, 750)))
-
-
 @pytest.mark.parametrize("limit", [100_000, 40])
 def test_medians(spark, limit):
     rng = random.Random(11)

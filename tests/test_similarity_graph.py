@@ -54,7 +54,7 @@ def test_pair_similarity_is_exact(spark, ratings_rows, max_items, min_support):
 
 def test_zero_vector_scores_zero(spark):
     df = spark.createDataFrame([(1, 1, 0.0), (1, 2, 3.0)], "user int, item int, rating double")
-    assert [tuple(r) for r in pair_similarity(df).collect()] == [(1, 2, 0.0, 1)]
+    assert [tuple(r) for r in pair_similarity(df, min_support=0).collect()] == [(1, 2, 0.0, 1)]
 
 
 def test_similar_items_both_ways(spark, ratings_rows):
