@@ -126,7 +126,8 @@ def _discounts(counts: DataFrame) -> tuple[float, float, float]:
 def train(trusted: DataFrame, order: int = ORDER) -> DataFrame:
     """The stored model ``(gram, logp, weight)`` of a frame whose only column is text.
 
-    ``logp`` is the natural logarithm of the interpolated probability of the n-gram's last symbol after the others,
+    ``logp`` is the natural logarithm of the interpolated probability of the n-gram's last symbol after the others (nan
+    if it was seen as a context only),
     ``weight`` that of the share which the n-gram, as a context, leaves to shorter contexts (0 if never one).
     """
     counts = {order: materialize(count_grams(trusted, order), "grams")}
@@ -134,7 +135,7 @@ def train(trusted: DataFrame, order: int = ORDER) -> DataFrame:
         shorter = F.col("gram").bitwiseAND((1 << _WIDTH * k) - 1)
         counts[k] = materialize(
             counts[k + 1].groupBy(shorter.alias("gram")).agg(F.count(F.lit(1)).alias("n")), "continuations")
-    below, model, kept = None, None, None
+    below, model = None, None
     for k in range(1, order + 1):
         d1, d2, d3 = _discounts(counts[k])
         context = F.shiftright("gram", _WIDTH).alias("context")
@@ -142,9 +143,11 @@ def train(trusted: DataFrame, order: int = ORDER) -> DataFrame:
             F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)).alias("taken"))
         totals = totals.select("context", "total", (F.col("taken") / F.col("total")).alias("left"))
         if k > 1:  # what was an end may be a context now
-            weighed = below.join(totals.select(F.col("context").alias("gram"), F.log("left").alias("weight")), "gram", "left")
-            kept = weighed.select("gram", F.log("p").alias("logp"), F.coalesce("weight", F.lit(0.0)).alias("weight"))
-            model = kept if model is None else model.union(kept)
+            # Contexts of start symbols alone are never an end.
+            weights = totals.select(F.col("context").alias("gram"), F.log("left").alias("weight"))
+            weighed = below.join(weights, "gram", "full").select(
+                "gram", F.coalesce(F.log("p"), F.lit(float("nan"))).alias("logp"), F.coalesce("weight", F.lit(0.0)).alias("weight"))
+            model = model.union(weighed)
         taken = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
         own = counts[k].withColumn("context", F.shiftright("gram", _WIDTH)).join(totals, "context")
         own = own.withColumn("own", F.greatest(F.col("n") - taken, F.lit(0.0)) / F.col("total"))
