@@ -20,9 +20,15 @@ def slices(texts: list[str], most: int = SLICE_CHARS):
         yield start, len(texts)
 
 
-def small(stored: DataFrame, most: int) -> DataFrame:
-    """A stored frame, to be broadcast in a join if it has at most ``most`` rows, else as it is."""
-    return F.broadcast(stored) if stored.count() <= most else stored
+def small(stored: DataFrame, most: int, *arrays: str) -> DataFrame:
+    """A stored frame, to be broadcast in a join if it is small, else as it is.
+
+    It is small with at most ``most`` rows and at most ten times as many elements in its columns ``arrays``; its other
+    columns are of a fixed width.
+    """
+    elements = sum((F.coalesce(F.size(a), F.lit(0)) for a in arrays), F.lit(0))
+    rows, total = stored.agg(F.count(F.lit(1)), F.coalesce(F.sum(elements), F.lit(0))).first()
+    return F.broadcast(stored) if rows <= most and total <= 10 * most else stored
 
 
 def packed(docs: DataFrame, made: tuple[str, ...] = (), **needed: str) -> DataFrame:
