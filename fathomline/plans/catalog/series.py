@@ -184,10 +184,13 @@ h as (select o_custkey, round(sqrt(250) * avg(r) / nullif(stddev_pop(r), 0), 6)
 p as (select o_custkey, arg_min(o_totalprice, (o_orderdate, o_orderkey)) as first_price,
              arg_max(o_totalprice, (o_orderdate, o_orderkey)) as last_price, max(o_totalprice) as top,
              min(o_totalprice) as low
-      from orders group by o_custkey)
+      from orders group by o_custkey),
+d as (select o_custkey, count(*) filter (where o_totalprice < mean) as below, count(*) filter (where o_totalprice >= mean) as not_below
+      from (select *, avg(o_totalprice) over (partition by o_custkey) as mean from orders) group by o_custkey)
 select c_custkey, c_name, first_price as "start_price_3m", last_price as "latest_price_3m", top as "max_price_3m",
-       low as "min_price_3m", round(last_price / first_price - 1, 6) as "performance_3m", sharpe as "sharpe_ratio_3m"
-from customer join p on p.o_custkey = c_custkey join h on h.o_custkey = c_custkey
+       low as "min_price_3m", round(last_price / first_price - 1, 6) as "performance_3m", sharpe as "sharpe_ratio_3m",
+       below as "days_below_avg_3m", not_below as "days_not_below_avg_3m"
+from customer join p on p.o_custkey = c_custkey join h on h.o_custkey = c_custkey join d on d.o_custkey = c_custkey
 """)
 def company_performance(spark, folder):
     """Return, Sharpe ratio and price statistics joined to the company table."""
@@ -197,6 +200,7 @@ def company_performance(spark, folder):
     return stats.select(
         "c_custkey", "c_name", "start_price_3m", "latest_price_3m", "max_price_3m", "min_price_3m",
         F.round("performance_3m", 6).alias("performance_3m"), F.round("sharpe_ratio_3m", 6).alias("sharpe_ratio_3m"),
+        "days_below_avg_3m", "days_not_below_avg_3m",
     )
 
 
