@@ -95,6 +95,16 @@ def personal(text):
     return sorted(out)
 
 
+def masked(text):
+    """The text with its strict spans replaced by their kinds."""
+    out, at = [], 0
+    for start, kind, end in personal(text):
+        if start >= at:
+            out += [text[at:start], f"<{('email', 'ip', 'card', 'phone')[kind]}>"]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
 def repeated_bytes(texts, length=400, keep_first=False):
     """Per text, which bytes are covered by a string of ``length`` bytes that occurs elsewhere (or before)."""
     data = [(t or "").encode() for t in texts]
