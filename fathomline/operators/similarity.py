@@ -3,16 +3,19 @@
 ``ratings`` holds ``(user, item, rating)``. Rows without a rating are left out; several ratings of an item by one user
 count each on its own.
 
-Users with very many items would dominate the pairing step. Any pair that passes a support
-threshold ``s`` has more than ``s`` co-raters, so up to ``s`` users may be left out of pairing
-and still no such pair is missed: every one of them shows up through a remaining user. The
-largest users are therefore left out, and their ratings are added to the surviving pairs through
-a small vector per item. Other large users are cut into blocks of items, and each pair of blocks is paired by itself.
+Ratings of an item by one user are first reduced to their sum, sum of squares and number. A user with ``a`` ratings of
+one item and ``b`` of another gives that pair ``a * b`` support.
+
+Users with very many items would dominate the pairing step. As long as the users left out of pairing give no pair more
+than the support threshold ``s`` together, no pair that passes is missed: every one of them shows up through a
+remaining user. The largest users of whom that is certain (the squares of their largest numbers of ratings of an item
+add up to ``s`` at most) are therefore left out, and their ratings are added to the surviving pairs through a small
+vector per item. Other large users are cut into blocks of items, and each pair of blocks is paired by itself.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_ITEMS_PER_TASK = 2_000
@@ -22,28 +25,34 @@ _SUMS = ["xy", "xx", "yy", "support"]
 
 
 def _frequent(ratings: DataFrame, min_support: int) -> DataFrame:
-    """Ratings of items with more than ``min_support`` ratings; other items cannot pass."""
-    rows = ratings.select("user", "item", F.col("rating").cast("double").alias("rating")).filter("rating is not null")
+    """``user``, ``item``, ``s``, ``q``, ``n`` (sum, sum of squares, number) of items that can pass ``min_support``."""
+    rating = F.col("rating").cast("double")
+    rows = ratings.select("user", "item", rating.alias("rating")).filter("rating is not null").groupBy("user", "item").agg(
+        F.sum("rating").alias("s"), F.sum(F.col("rating") * F.col("rating")).alias("q"), F.count(F.lit(1)).alias("n"))
     if min_support <= 0:
         return rows
-    enough = rows.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > min_support).select("item")
+    # Each rating of an item meets at most as many of another one as the user has of any item.
+    repeated = rows.groupBy("user").agg(F.max("n").alias("most")).filter("most > 1")
+    most = F.col("n") * F.coalesce("most", F.lit(1))
+    enough = rows.join(repeated, "user", "left").groupBy("item").agg(F.sum(most).alias("most")).filter(
+        F.col("most") > min_support).select("item")
     return rows.join(enough, "item", "left_semi")
 
 
 def _pair_sums(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     a, b = left.alias("a"), right.alias("b")
     same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in on]
-    x, y = F.col("a.rating"), F.col("b.rating")
+    x, y = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
     pairs = a.join(b, [*same, F.col("a.item") < F.col("b.item")])
     return pairs.groupBy(F.col("a.item").alias("item1"), F.col("b.item").alias("item2")).agg(
-        F.sum(x * y).alias("xy"), F.sum(x * x).alias("xx"), F.sum(y * y).alias("yy"),
-        F.count(F.lit(1)).alias("support"),
+        F.sum(x("s") * y("s")).alias("xy"), F.sum(x("q") * y("n")).alias("xx"), F.sum(y("q") * x("n")).alias("yy"),
+        F.sum(x("n") * y("n")).alias("support"),
     )
 
 
 def _spread_pair_sums(rows: DataFrame, degrees: DataFrame, max_items: int) -> DataFrame:
     """Pair sums in which a user's items are cut into slices of about ``max_items``, both sides of the pairing alike."""
-    sized = rows.join(degrees.withColumn("slices", F.ceil(F.col("n") / max_items).cast("int")), "user")
+    sized = rows.join(degrees.withColumn("slices", F.ceil(F.col("items") / max_items).cast("int")), "user")
     own = F.pmod(F.xxhash64("item"), F.col("slices")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
     left = sized.withColumn("slice", own).withColumn("other", every)
@@ -52,11 +61,9 @@ def _spread_pair_sums(rows: DataFrame, degrees: DataFrame, max_items: int) -> Da
 
 
 def _with_hot_users(sums: DataFrame, rows: DataFrame, hot: DataFrame) -> DataFrame:
-    """Add the ratings of the hot users, fewer than the support threshold per item, to every pair."""
-    square = F.col("rating") * F.col("rating")
-    vectors = rows.join(hot, "user", "left_semi").groupBy("item", "user").agg(
-        F.sum("rating").alias("s"), F.sum(square).alias("q"), F.count(F.lit(1)).alias("n")
-    ).groupBy("item").agg(F.map_from_entries(F.collect_list(F.struct("user", F.struct("s", "q", "n")))).alias("by_user"))
+    """Add the ratings of the hot users, at most as many as the support threshold, to every pair."""
+    vectors = rows.join(hot, "user", "left_semi").groupBy("item").agg(
+        F.map_from_entries(F.collect_list(F.struct("user", F.struct("s", "q", "n")))).alias("by_user"))
     first = vectors.select(F.col("item").alias("item1"), F.col("by_user").alias("v1"))
     second = vectors.select(F.col("item").alias("item2"), F.col("by_user").alias("v2"))
     joined = sums.join(first, "item1", "left").join(second, "item2", "left")
@@ -86,8 +93,9 @@ def co_rated_sums(
     left out, so every co-rated pair is formed.
     """
     rows = _frequent(ratings, min_support)
-    degrees = rows.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
-    large = degrees.filter(F.col("n") > max_items_per_task)
+    degrees = rows.groupBy("user").agg(F.count(F.lit(1)).alias("items"), F.max(F.col("n") * F.col("n")).alias("most"))
+    large = degrees.filter(F.col("items") > max_items_per_task)
+    degrees = degrees.drop("most")
     if large.isEmpty():
         sums = _pair_sums(rows, rows, ["user"])
     else:
@@ -95,7 +103,10 @@ def co_rated_sums(
         if spared == 0:
             sums = _spread_pair_sums(rows, degrees, max_items_per_task)
         else:
-            hot = large.orderBy(F.desc("n"), "user").limit(spared).select("user")
+            # What they give a pair together stays within the threshold.
+            first = Window.orderBy(F.desc("items"), "user").rowsBetween(Window.unboundedPreceding, 0)
+            hot = large.filter(F.col("most") <= spared).orderBy(F.desc("items"), "user").limit(spared)
+            hot = hot.withColumn("most", F.sum("most").over(first)).filter(F.col("most") <= spared).select("user")
             light = rows.join(hot, "user", "left_anti")
             sums = _spread_pair_sums(light, degrees, max_items_per_task)
             sums = _with_hot_users(sums, rows, hot)

@@ -52,6 +52,18 @@ def test_pair_similarity_is_exact(spark, ratings_rows, max_items, min_support):
         assert 0 <= r.score <= 1 + 1e-9
 
 
+@pytest.mark.parametrize("max_items", [2_000, 10])
+def test_repeated_ratings_of_one_user_are_support(spark, max_items):
+    rows = [("hot", i, 2.0) for i in range(30)] + [("hot", i, float(x)) for i in (0, 1) for x in range(7)]
+    rows += [(f"a{u}", 0, 1.0) for u in range(60)] + [(f"b{u}", 1, 1.0) for u in range(60)]
+    rows += [("twice", i, 3.0) for i in (50, 51) for _ in range(8)]  # each item has fewer ratings than the threshold
+    df = spark.createDataFrame(rows, "user string, item int, rating double")
+    got = [tuple(r) for r in pair_similarity(df, None, 50, max_items_per_task=max_items).collect()]
+    x = [2.0, *map(float, range(7))]
+    score = sum(x) ** 2 / (8 * sum(v * v for v in x))
+    assert sorted(got) == [(0, 1, pytest.approx(score), 64), (50, 51, pytest.approx(1), 64)]
+
+
 def test_zero_vector_scores_zero(spark):
     df = spark.createDataFrame([(1, 1, 0.0), (1, 2, 3.0)], "user int, item int, rating double")
     assert [tuple(r) for r in pair_similarity(df, min_support=0).collect()] == [(1, 2, 0.0, 1)]
