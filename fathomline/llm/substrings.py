@@ -41,7 +41,7 @@ GRAM = 128
 CHUNK = 1_000_000  # bytes searched for anchors at once
 BLOCK = 700_000  # bytes sorted at once
 MAX_CONTEXTS = 4_000
-BROADCAST_ROWS = 100_000  # of candidate documents, some hundred bytes each
+BROADCAST_ROWS = 100_000  # of anchors, eight bytes each
 
 _BYTES = [mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(seed)) for seed in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)]
 _BASE = 0x5851F42D4C957F2D
@@ -248,7 +248,8 @@ def removed_ranges(docs: DataFrame, keep_first: bool = True, length: int = LENGT
     wanted = materialize(
         keys.join(twice, "key").groupBy("k1", "k2").agg(F.collect_set("key").alias("repeated")), "wanted")
 
-    rows = source.select("doc_id", "k1", "k2", "text").join(small(wanted, BROADCAST_ROWS), ["k1", "k2"]).select(
+    # Anchors of a text are as many as it is long, so at every size they meet the texts by a shuffle.
+    rows = source.select("doc_id", "k1", "k2", "text").join(wanted.hint("merge"), ["k1", "k2"]).select(
         "doc_id", "k1", "k2", "repeated", "text")
     members = materialize(_contexts(rows, length, gram), "contexts")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2", "start")
@@ -298,10 +299,14 @@ def without_repeats(docs: DataFrame, keep_first: bool = True, length: int = LENG
     fates = removed_ranges(docs, keep_first, length, gram, max_contexts, doc_id, text)
     rows = packed(docs, made, doc_id=doc_id, text=text)
     pair = [F.col("doc_id").cast("long"), F.col("text")]
-    fated = small(fates.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "whole", "ranges"), BROADCAST_ROWS)
-    rows = rows.withColumns({"_k1": F.xxhash64(F.lit(1), *pair), "_k2": F.xxhash64(F.lit(2), *pair)}).join(
-        fated, ["_k1", "_k2"], "left")
-    body = F.encode(F.coalesce(pair[1], F.lit("")), "UTF-8")
+    fated = fates.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "whole", "ranges")
+    rows = rows.withColumns({"_k1": F.xxhash64(F.lit(1), *pair), "_k2": F.xxhash64(F.lit(2), *pair)}).drop("doc_id")
+    if text not in made:  # the row holds it too, and is moved once
+        rows = rows.drop("text")
+    # As with anchors, ranges follow the length of a text.
+    rows = rows.join(fated.hint("merge"), ["_k1", "_k2"], "left")
+    whole_text = F.col("text") if text in made else F.col("_row")[text]
+    body = F.encode(F.coalesce(whole_text, F.lit("")), "UTF-8")
     size = F.octet_length(body).cast("long")
     # Starts become bytes; ranges are in order and apart, so a run ends where the next one does not touch it.
     ranges = F.col("ranges")

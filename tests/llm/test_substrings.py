@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from fathomline.llm import substrings, suffixes
+from fathomline.llm import texts as texts_of
 from fathomline.llm.catalog import QUERIES
 from tests.llm import helpers
 
@@ -61,6 +62,15 @@ def test_query(spark):
     assert [got[d[0]] for d in docs] == helpers.repeated_bytes([d[1] for d in docs])
 
 
+def test_no_table_with_arrays_is_broadcast(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(substrings, "small", lambda df, *a: seen.append(df) or texts_of.small(df, *a))
+    docs = spark.createDataFrame(list(enumerate(texts())), "doc_id long, text string")
+    out = substrings.without_repeats(docs, keep_first=False)
+    assert not [f for df in seen for f in df.schema.fields if f.dataType.typeName() == "array"]
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_anchors_cover_every_string_once():
     data = np.random.default_rng(2).integers(0, 4, 5_000).astype(np.uint8)
     hashes, place, first, last = substrings.anchors(data)
