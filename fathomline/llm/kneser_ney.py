@@ -14,10 +14,13 @@ answers every message in order; the answers of a block are brought to it, which
 So what moves follows the distinct n-grams of each block and grows with the input, a task holds one shard of
 bounded size and one message, or one block, and a document's source or copies make no difference.
 
-Verdict. A document is rejected when its log perplexity lies above its language's limit. The limit is taken from the
-quantiles of trusted documents of that language: the upper one plus ``MARGIN`` times its distance from the median.
-The mean over few characters varies more, so that distance is added once more times ``sqrt(LENGTH / characters)``.
-A language with too few trusted documents uses the limit over all of them.
+Verdict. A document is rejected when its log perplexity lies above its language's limit. Trusted documents are dealt
+to ``FOLDS`` folds by a hash of their text, so that copies share one, and each is scored by a model that was not shown
+its fold, as unseen documents are. The counts of all those models are kept side by side, so training takes one pass.
+Of these scores each language has its median and the distance from there to the upper quantile. That distance is averaged
+with the one over all languages (each around its own median), which counts for ``MIN_TRUSTED`` documents. The limit is
+the median plus the distance, plus ``MARGIN`` times the distance. The mean over few characters varies more, so that is
+added once more times ``sqrt(LENGTH / characters)``. A language without any trusted text uses the limit over all of them.
 
 Defined results: a null or empty text has no perplexity and is rejected. A null language is a language of its own.
 Repeated rows are scored one by one; an empty table gives an empty result. Without any trusted text nothing is
@@ -26,6 +29,7 @@ rejected but empty texts. All columns stay; names made here replace clashing one
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 import numpy as np
@@ -50,9 +54,10 @@ MESSAGES_PER_PART = 512
 BROADCAST_IDS = 4_000_000  # 32 MB
 BROADCAST_LANGUAGES = 10_000
 QUANTILES = (0.5, 0.99)
-MARGIN = 1.0
+MARGIN = 0.5
 LENGTH = 200  # characters
-MIN_TRUSTED = 50
+FOLDS = 5  # of trusted documents
+MIN_TRUSTED = 50  # with fewer, the distance over all languages outweighs the own one
 
 
 def symbols(texts: list[str | None], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -82,90 +87,125 @@ def grams(texts: list[str | None], order: int = ORDER) -> tuple[np.ndarray, np.n
     return keys[np.cumsum(inside)[:len(keys)] > 0], counts
 
 
-def _texts_of(batches, column):
-    for batch in batches:
-        texts = [t or "" for t in batch.column(column).to_pylist()]
-        for a, b in slices(texts):
-            yield texts[a:b]
+def count_grams(texts: DataFrame, order: int = ORDER, folds: int = 0) -> DataFrame:
+    """``(gram, n)`` over a frame of texts; partial counts of a task are summed before they move.
 
-
-def count_grams(texts: DataFrame, order: int = ORDER) -> DataFrame:
-    """``(gram, n)`` over a frame whose only column is text; partial counts of a task are summed before they move."""
+    With ``folds`` the frame's second column is the fold of a text, from 0 on; ``n_1`` and so on count the texts of all
+    folds but one.
+    """
+    parts = max(1, folds)
 
     def work(batches):
-        keys, counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        keys, counts = np.zeros(0, dtype=np.int64), np.zeros((0, parts), dtype=np.int64)
 
         def batch_of():
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["gram", "n"])
-
-        for part in _texts_of(batches, 0):
-            codes, found = pd.factorize(grams(part, order)[0])
-            both = pd.Series(np.concatenate([counts, np.bincount(codes, minlength=len(found))]).astype(np.int64)).groupby(
-                np.concatenate([keys, found])).sum()
-            keys, counts = both.index.to_numpy(), both.to_numpy()
-            if len(keys) > 1_000_000:
-                yield batch_of()
-                keys, counts = keys[:0], counts[:0]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys), *[pa.array(counts[:, f]) for f in range(parts)]], names=["gram", *[f"f{f}" for f in range(parts)]])
+
+        for batch in batches:
+            texts = [t or "" for t in batch.column(0).to_pylist()]
+            fold = batch.column(1).to_numpy() if folds else np.zeros(len(texts), dtype=np.int64)
+            for a, b in slices(texts):
+                ends, sizes = grams(texts[a:b], order)
+                codes, found = pd.factorize(ends)
+                here = np.bincount(codes * parts + np.repeat(fold[a:b], sizes), minlength=len(found) * parts)
+                both = pd.DataFrame(np.concatenate([counts, here.reshape(-1, parts)])).groupby(np.concatenate([keys, found])).sum()
+                keys, counts = both.index.to_numpy(), both.to_numpy()
+                if len(keys) > 1_000_000:
+                    yield batch_of()
+                    keys, counts = keys[:0], counts[:0]
         if len(keys):
             yield batch_of()
 
-    return spread(texts).mapInArrow(work, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def _discounts(counts: DataFrame) -> tuple[float, float, float]:
-    """What is taken from counts of one, two, and three or more, by the counts of counts (four numbers)."""
-    n = counts.agg(*[F.sum((F.col("n") == k).cast("long")) for k in (1, 2, 3, 4)]).first()
-    n1, n2, n3, n4 = (float(x or 0) for x in n)
-    if not n1 or not n2:
-        return 0.5, 0.75, 0.9  # too little text for an estimate
-    y = n1 / (n1 + 2 * n2)
-    found = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3 if n3 else 1.5]
-    return tuple(min(max(d, 0.05), k + 0.95) for k, d in enumerate(found))
+    own = [f"f{f}" for f in range(parts)]
+    rows = spread(texts).mapInArrow(work, ", ".join(["gram long", *[f"{c} long" for c in own]]))
+    rows = rows.groupBy("gram").agg(*[F.sum(c).alias(c) for c in own])
+    total = sum((F.col(c) for c in own[1:]), F.col(own[0]))
+    return rows.select("gram", total.alias("n"), *[(total - F.col(c)).alias(f"n_{f + 1}") for f, c in enumerate(own[:folds])])
+
+
+def _discounts(counts: DataFrame, columns: list[str]) -> list[tuple[float, float, float]]:
+    """What is taken from counts of one, two, and three or more, by the counts of counts (four numbers a column)."""
+    n = counts.agg(*[F.sum((F.col(c) == k).cast("long")) for c in columns for k in (1, 2, 3, 4)]).first()
+    out = []
+    for i in range(len(columns)):
+        n1, n2, n3, n4 = (float(x or 0) for x in n[4 * i:4 * i + 4])
+        if not n1 or not n2:
+            out.append((0.5, 0.75, 0.9))  # too little text for an estimate
+            continue
+        y = n1 / (n1 + 2 * n2)
+        found = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3 if n3 else 1.5]
+        out.append(tuple(min(max(d, 0.05), k + 0.95) for k, d in enumerate(found)))
+    return out
 
 
-def train(trusted: DataFrame, order: int = ORDER) -> DataFrame:
-    """The stored model ``(gram, logp, weight)`` of a frame whose only column is text.
+def train(trusted: DataFrame, order: int = ORDER, folds: int = 0) -> DataFrame:
+    """The stored model ``(gram, logp, weight)`` of a frame of texts.
 
     ``logp`` is the natural logarithm of the interpolated probability of the n-gram's last symbol after the others (nan
     if it was seen as a context only),
     ``weight`` that of the share which the n-gram, as a context, leaves to shorter contexts (0 if never one).
+    With ``folds`` the frame's second column is the fold of a text; ``logp_1``, ``weight_1`` and so on are those of
+    the models that were not shown the first fold and so on (see ``without_fold``).
     """
-    counts = {order: materialize(count_grams(trusted, order), "grams")}
+    ends = ["", *[f"_{f + 1}" for f in range(folds)]]
+
+    def each(make):
+        return [make(e) for e in ends]
+
+    counts = {order: materialize(count_grams(trusted, order, folds), "grams")}
     for k in range(order - 1, 0, -1):
         shorter = F.col("gram").bitwiseAND((1 << _WIDTH * k) - 1)
-        counts[k] = materialize(
-            counts[k + 1].groupBy(shorter.alias("gram")).agg(F.count(F.lit(1)).alias("n")), "continuations")
+        counts[k] = materialize(counts[k + 1].groupBy(shorter.alias("gram")).agg(
+            *each(lambda e: F.sum((F.col(f"n{e}") > 0).cast("long")).alias(f"n{e}"))), "continuations")
     below, model = None, None
     for k in range(1, order + 1):
-        d1, d2, d3 = _discounts(counts[k])
+        discounts = dict(zip(ends, _discounts(counts[k], each(lambda e: f"n{e}")), strict=True))
+
+        def taken(e, discounts=discounts):
+            n, (d1, d2, d3) = F.col(f"n{e}"), discounts[e]
+            return F.when(n == 0, 0.0).when(n == 1, d1).when(n == 2, d2).otherwise(d3)
+
         context = F.shiftright("gram", _WIDTH).alias("context")
-        totals = counts[k].groupBy(context).agg(F.sum("n").alias("total"), F.sum(
-            F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)).alias("taken"))
-        totals = totals.select("context", "total", (F.col("taken") / F.col("total")).alias("left"))
+        totals = counts[k].groupBy(context).agg(*each(lambda e: F.sum(f"n{e}").alias(f"total{e}")),
+                                                *each(lambda e: F.sum(taken(e)).alias(f"taken{e}")))
+        totals = totals.select("context", *each(lambda e: F.col(f"total{e}")), *each(
+            lambda e: F.try_divide(f"taken{e}", F.col(f"total{e}")).alias(f"left{e}")))
+        weights = totals.select(F.col("context").alias("gram"), *each(lambda e: F.log(f"left{e}").alias(f"weight{e}")))
         if k > 1:  # what was an end may be a context now
             # Contexts of start symbols alone are never an end.
-            weights = totals.select(F.col("context").alias("gram"), F.log("left").alias("weight"))
             weighed = below.join(weights, "gram", "full").select(
-                "gram", F.coalesce(F.log("p"), F.lit(float("nan"))).alias("logp"), F.coalesce("weight", F.lit(0.0)).alias("weight"))
+                "gram", *each(lambda e: F.coalesce(F.log(f"p{e}"), F.lit(float("nan"))).cast("float").alias(f"logp{e}")),
+                *each(lambda e: F.coalesce(f"weight{e}", F.lit(0.0)).cast("float").alias(f"weight{e}")))
             model = model.union(weighed)
-        taken = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
         own = counts[k].withColumn("context", F.shiftright("gram", _WIDTH)).join(totals, "context")
-        own = own.withColumn("own", F.greatest(F.col("n") - taken, F.lit(0.0)) / F.col("total"))
+        # Null where the n-gram was not seen.
+        own = own.withColumns({f"own{e}": F.when(F.col(f"n{e}") > 0, F.greatest(
+            F.col(f"n{e}") - taken(e), F.lit(0.0)) / F.col(f"total{e}")) for e in ends})
         if k == 1:
-            current = own.select("gram", (F.col("own") + F.col("left") / 4096.0).alias("p"))
+            current = own.select("gram", *each(lambda e: (F.col(f"own{e}") + F.col(f"left{e}") / 4096.0).alias(f"p{e}")))
         else:
             shorter = F.col("gram").bitwiseAND((1 << _WIDTH * (k - 1)) - 1)
-            current = own.withColumn("shorter", shorter).join(
-                below.select(F.col("gram").alias("shorter"), F.col("p").alias("q")), "shorter")
-            current = current.select("gram", (F.col("own") + F.col("left") * F.col("q")).alias("p"))
+            current = own.withColumn("shorter", shorter).join(below.select(
+                F.col("gram").alias("shorter"), *each(lambda e: F.col(f"p{e}").alias(f"q{e}"))), "shorter")
+            current = current.select("gram", *each(
+                lambda e: (F.col(f"own{e}") + F.col(f"left{e}") * F.col(f"q{e}")).alias(f"p{e}")))
         below = materialize(current, "probabilities")
         if k == 1:  # the weight of the empty context, under the key 0
-            base = totals.select(F.lit(0).cast("long").alias("gram"), F.lit(0.0).alias("logp"), F.log("left").alias("weight"))
-            model = base
-    top = below.select("gram", F.log("p").alias("logp"), F.lit(0.0).alias("weight"))
+            model = weights.select(
+                F.lit(0).cast("long").alias("gram"), *each(lambda e: F.lit(0.0).cast("float").alias(f"logp{e}")),
+                *each(lambda e: F.coalesce(f"weight{e}", F.lit(0.0)).cast("float").alias(f"weight{e}")))
+    top = below.select("gram", *each(lambda e: F.coalesce(F.log(f"p{e}"), F.lit(float("nan"))).cast("float").alias(f"logp{e}")),
+                       *each(lambda e: F.lit(0.0).cast("float").alias(f"weight{e}")))
     return materialize(model.union(top), "model")
 
 
+def without_fold(model: DataFrame, fold: int) -> DataFrame:
+    """The model ``(gram, logp, weight)`` that was not shown texts of a fold, counted from 0 on."""
+    rows = model.select("gram", F.col(f"logp_{fold + 1}").alias("logp"), F.col(f"weight_{fold + 1}").alias("weight"))
+    return rows.filter("gram = 0 or not isnan(logp) or weight <> 0")
+
+
 def _shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return (mixed(keys.view(np.uint64)) % np.uint64(shards)).astype(np.int32)
 
@@ -376,24 +416,43 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantiles:
     ids = materialize(trusted_ids(labels).select(F.col("doc_id").alias("_id")), "trusted")
     marked = docs.join(small(ids, BROADCAST_IDS), F.col(f"`{doc_id}`") == F.col("_id"), "left").withColumn(
         "_trusted", F.col("_id").isNotNull()).drop("_id")
-    model = train(marked.filter("_trusted").select(F.col(f"`{text}`")), order)
-    scored = materialize(score(marked, model, order, text, keep_text), "scored")
     language = F.col(f"`{lang}`")
-
-    def limit(rows):
-        middle, upper = (F.percentile_approx("log_perplexity", q, 10_000) for q in quantiles)
-        return rows.agg(F.count("log_perplexity").alias("_n"), upper.alias("_upper"), (upper - middle).alias("_spread"))
-
-    good = scored.filter("_trusted")
-    limits = materialize(limit(good.groupBy(language.alias("_lang"))).filter(F.col("_n") >= MIN_TRUSTED), "limits")
-    overall = limit(good).first()
-    upper, spread_all = (float("inf"), 0.0) if overall["_upper"] is None else (overall["_upper"], overall["_spread"])
+    good = marked.filter("_trusted").select(F.col(f"`{text}`").alias("text"), language.alias("_lang"), F.pmod(
+        F.xxhash64(F.col(f"`{text}`")), F.lit(FOLDS)).cast("long").alias("_fold"))
+    model = train(good.select("text", "_fold"), order, FOLDS)
+    scored = materialize(score(marked.drop("_trusted"), model.select("gram", "logp", "weight"), order, text, keep_text), "scored")
+    # Trusted documents as strangers: each is scored by the model without its fold.
+    unseen = [score(good.filter(F.col("_fold") == f), without_fold(model, f), order, keep_text=False) for f in range(FOLDS)]
+    unseen = materialize(functools.reduce(DataFrame.union, unseen).filter("log_perplexity is not null"), "unseen")
+    limits, upper, distance = _limits(unseen, quantiles)
     judged = scored.join(small(limits, BROADCAST_LANGUAGES), language.eqNullSafe(F.col("_lang")), "left")
     room = F.lit(margin) * (1 + F.sqrt(F.lit(float(LENGTH)) / F.greatest("n_scored", F.lit(1))))
-    bound = F.coalesce("_upper", F.lit(upper)) + room * F.coalesce("_spread", F.lit(spread_all))
+    bound = F.coalesce("_upper", F.lit(upper)) + room * F.coalesce("_spread", F.lit(distance))
     judged = judged.withColumns({"perplexity": F.exp("log_perplexity"), "perplexity_limit": F.exp(bound)})
     judged = judged.withColumn("kept", F.coalesce(F.col("log_perplexity") <= bound, F.lit(False)))
-    return judged.drop("_trusted", "_n", "_upper", "_spread", "_lang")
+    return judged.drop("_upper", "_spread", "_lang")
+
+
+def _limits(unseen: DataFrame, quantiles: tuple[float, float]) -> tuple[DataFrame, float, float]:
+    """Stored ``_lang``, ``_upper`` and ``_spread`` of every language, and both over all of them."""
+
+    def quantile(column, q):
+        return F.percentile_approx(column, q, 10_000)
+
+    middle, upper = quantiles
+    own = materialize(unseen.groupBy("_lang").agg(
+        F.count(F.lit(1)).alias("_n"), quantile("log_perplexity", middle).alias("_middle"),
+        quantile("log_perplexity", upper).alias("_upper")), "languages")
+    over = F.col("log_perplexity") - F.col("_middle")
+    around = unseen.withColumnRenamed("_lang", "_of").join(
+        small(own, BROADCAST_LANGUAGES), F.col("_of").eqNullSafe(F.col("_lang")))
+    pooled, overall, centre = around.agg(
+        quantile(over, upper), quantile("log_perplexity", upper), quantile("log_perplexity", middle)).first()
+    if pooled is None:
+        return own.select("_lang", "_upper", F.lit(0.0).alias("_spread")), float("inf"), 0.0
+    spread_ = (F.col("_n") * (F.col("_upper") - F.col("_middle")) + MIN_TRUSTED * pooled) / (F.col("_n") + MIN_TRUSTED)
+    limits = own.select("_lang", (F.col("_middle") + spread_).alias("_upper"), spread_.alias("_spread"))
+    return materialize(limits, "limits"), overall, overall - centre
 
 
 @query()

@@ -1,3 +1,5 @@
+import zlib
+
 import duckdb
 import numpy as np
 import pytest
@@ -42,6 +44,32 @@ def test_verdict_on_labelled_documents(spark):
     assert np.mean([got[d] for d, q, _ in labels if q == 0]) < 0.4
 
 
+def test_unseen_trusted_documents_are_kept_in_every_language(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = duckdb.sql(f"select doc_id, quality, toxic from '{folder}/labels.parquet'").fetchall()
+    held = {d for d, q, t in labels if q == 1 and t == 0 and zlib.crc32(str(d).encode()) % 5 == 0}
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang")
+    rest = spark.createDataFrame([r for r in labels if r[0] not in held], "doc_id long, quality int, toxic int")
+    got = kneser_ney.classify(docs, rest, keep_text=False).collect()
+    for lang in ("en", "fr", "de", "es"):
+        kept = [r.kept for r in got if r.doc_id in held and r.lang == lang]
+        assert len(kept) >= 5 and np.mean(kept) >= 0.8, lang
+    bad = {d for d, q, _ in labels if q == 0}
+    assert np.mean([r.kept for r in got if r.doc_id in bad]) < 0.2
+
+
+def test_models_without_a_fold_are_those_of_the_other_texts(spark):
+    texts = [(t, d % 3) for d, t, *_ in helpers.documents()[:30] if t]
+    model = kneser_ney.train(spark.createDataFrame(texts, "text string, fold long"), folds=3)
+    for fold in range(3):
+        got = {r.gram: r for r in kneser_ney.without_fold(model, fold).collect()}
+        alone = kneser_ney.train(spark.createDataFrame([(t,) for t, f in texts if f != fold], "text string")).collect()
+        assert set(got) == {r.gram for r in alone}
+        for r in alone[::50]:
+            assert got[r.gram].logp == pytest.approx(r.logp, abs=1e-5, nan_ok=True)
+            assert got[r.gram].weight == pytest.approx(r.weight, abs=1e-5)
+
+
 def test_odd_rows(spark):
     odd = helpers.odd(spark)
     labels = spark.createDataFrame([(1, 1, 0), (5, 1, 0), (None, 1, 0), (9, 0, 0)], "doc_id long, quality int, toxic int")
