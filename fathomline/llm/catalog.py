@@ -1,7 +1,8 @@
 """All registered queries of this subpackage."""
 
 from fathomline.llm import (  # noqa: F401  (importing registers the queries)
-    bpe, fingerprints, jaccard, kneser_ney, language, mixing, pii, quality_rules, substrings, token_shards,
+    bpe, fingerprints, jaccard, kneser_ney, language, lexical, merkle, mixing, pii, quality_rules, secrets,
+    substrings, token_shards,
 )
 from fathomline.llm.registry import ORACLE_SQL, QUERIES
 
