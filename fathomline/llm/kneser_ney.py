@@ -29,12 +29,12 @@ rejected but empty texts. All columns stay; names made here replace clashing one
 
 from __future__ import annotations
 
-import functools
 import uuid
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,13 +42,14 @@ from pyspark.sql import types as T
 
 from fathomline.llm.registry import query, table
 from fathomline.llm.shingles import mixed
-from fathomline.llm.texts import slices, small
+from fathomline.llm.texts import SLICE_CHARS, slices, small
 from fathomline.session import fresh_path, materialize, spread
 
 ORDER = 5
 _WIDTH = 12
 _START = 1  # stands before the first character
 BLOCK_CHARS = 12_000_000
+SLICE = 500_000  # characters whose n-grams are spelled out at once
 SHARD_ENTRIES = 500_000
 MESSAGES_PER_PART = 512
 BROADCAST_IDS = 4_000_000  # 32 MB
@@ -105,7 +106,7 @@ def count_grams(texts: DataFrame, order: int = ORDER, folds: int = 0) -> DataFra
         for batch in batches:
             texts = [t or "" for t in batch.column(0).to_pylist()]
             fold = batch.column(1).to_numpy() if folds else np.zeros(len(texts), dtype=np.int64)
-            for a, b in slices(texts):
+            for a, b in slices(texts, SLICE):
                 ends, sizes = grams(texts[a:b], order)
                 codes, found = pd.factorize(ends)
                 here = np.bincount(codes * parts + np.repeat(fold[a:b], sizes), minlength=len(found) * parts)
@@ -245,56 +246,81 @@ def _log_probabilities(level: np.ndarray, keys: np.ndarray, logp: np.ndarray, we
     return out
 
 
-def score(docs: DataFrame, model: DataFrame, order: int = ORDER, text: str = "text", keep_text: bool = True) -> DataFrame:
+def _cut(lengths: np.ndarray, most: int = SLICE_CHARS):
+    """Ranges of positions whose lengths add up to ``most`` at most, one position at least."""
+    start = total = 0
+    for i, n in enumerate(lengths.tolist()):
+        if i > start and total + n > most:
+            yield start, i
+            start, total = i, 0
+        total += n
+    if len(lengths) > start:
+        yield start, len(lengths)
+
+
+def score(docs: DataFrame, model: DataFrame, order: int = ORDER, text: str = "text", keep_text: bool = True,
+          fold: str | None = None) -> DataFrame:
     """``docs`` with ``n_scored`` (characters) and ``log_perplexity`` (per character, null without characters).
 
-    The text is left out of the result where it is not needed any more.
+    The text is left out of the result where it is not needed any more. With ``fold``, a column of whole numbers, every
+    document is scored by the model that was not shown its fold (see ``train``), all of them in one run: a block holds
+    documents of one fold, and its messages name it.
     """
     spark = docs.sparkSession
     kept = [c for c in docs.columns if c not in ("n_scored", "log_perplexity")]
     rows = spread(docs.select(*[F.col(f"`{c}`") for c in kept]))
     place, given = kept.index(text), [c for c in kept if keep_text or c != text]
+    sort = kept.index(fold) if fold else None
+    ends = [f"_{f + 1}" for f in range(FOLDS)] if fold else [""]
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def pack(batches):
-        held, chars, number, task = [], 0, 0, TaskContext.get().partitionId()
+        held, chars = [[] for _ in ends], [0] * len(ends)
+        number, task = 0, TaskContext.get().partitionId()
 
-        def block():
+        def block(f):
+            nonlocal number
+            parts, held[f], chars[f], number = held[f], [], 0, number + 1
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
-                for part in held:
+            with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
+                for part in parts:
                     out.write_batch(part)
             return pa.RecordBatch.from_arrays(
-                [pa.array([task << 32 | number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
-                names=["block", "payload"])
+                [pa.array([task << 32 | number], pa.int64()), pa.array([f], pa.int32()),
+                 pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "fold", "payload"])
 
         for batch in batches:
-            texts = [t or "" for t in batch.column(place).to_pylist()]
-            for a, b in slices(texts):
-                held.append(batch.slice(a, b - a))
-                chars += sum(map(len, texts[a:b]))
-                if chars >= BLOCK_CHARS:
-                    yield block()
-                    held, chars, number = [], 0, number + 1
-        if held:
-            yield block()
+            folds = np.asarray(batch.column(sort)) if fold else np.zeros(batch.num_rows, dtype=np.int64)
+            for f in np.unique(folds):
+                own = batch.filter(pa.array(folds == f)) if fold else batch
+                lengths = pc.utf8_length(own.column(place)).fill_null(0).to_numpy()
+                for a, b in _cut(lengths):
+                    held[f].append(own.slice(a, b - a))
+                    chars[f] += int(lengths[a:b].sum())
+                    if chars[f] >= BLOCK_CHARS:
+                        yield block(f)
+        for f in range(len(ends)):
+            if held[f]:
+                yield block(f)
 
     name = f"blocks_{uuid.uuid4().hex}"
-    rows.mapInArrow(pack, "block long, payload binary").write.bucketBy(buckets, "block").format("parquet").option(
+    rows.mapInArrow(pack, "block long, fold int, payload binary").write.bucketBy(buckets, "block").format("parquet").option(
         "path", fresh_path(spark, "blocks")).saveAsTable(name)
     blocks = spark.table(name)
-    entries = model.count()
     n_blocks = blocks.count()
-    base_row = model.filter("gram = 0").select("weight").first()
-    base = base_row[0] if base_row else 0.0
+    spark.sql(f"drop table {name}")  # the name only; the bucketed files lie at their own path
+    entries = model.count()
+    base_row = model.filter("gram = 0").select(*[f"weight{e}" for e in ends]).first()
+    base = list(base_row) if base_row else [0.0] * len(ends)
     shards = max(1, -(-entries // SHARD_ENTRIES), min(buckets, 64))
     salts = max(1, -(-n_blocks // MESSAGES_PER_PART))
 
     def ask(batches):
         for batch in batches:
-            for block, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for block, f, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 texts = [t or "" for t in _read_block(payload.as_buffer()).column(place).to_pylist()]
-                keys = _closure([pd.unique(grams(texts[a:b], order)[0]) for a, b in slices(texts)], order)
+                keys = _closure([pd.unique(grams(texts[a:b], order)[0]) for a, b in slices(texts, SLICE)], order)
+                del texts
                 shard = _shard_of(keys, shards)
                 turn = np.argsort(shard, kind="stable")
                 keys, ends = keys[turn], np.cumsum(np.bincount(shard, minlength=shards))
@@ -304,7 +330,7 @@ def score(docs: DataFrame, model: DataFrame, order: int = ORDER, text: str = "te
                         gaps = np.diff(part, prepend=0)
                         message = pa.compress(gaps.tobytes(), codec="zstd", asbytes=True)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array([s], pa.int32()), pa.array([block % salts], pa.int32()), pa.array([1], pa.int32()),
+                            [pa.array([s], pa.int32()), pa.array([block % salts], pa.int32()), pa.array([1 + f], pa.int32()),
                              pa.array([block], pa.int64()), pa.array([len(part)], pa.int64()),
                              pa.array([message], pa.binary())],
                             names=["shard", "salt", "role", "block", "n", "message"])
@@ -314,7 +340,7 @@ def score(docs: DataFrame, model: DataFrame, order: int = ORDER, text: str = "te
     def offer(batches):
         for batch in batches:
             keys = batch.column(0).to_numpy()
-            values = np.stack([batch.column(1).to_numpy(), batch.column(2).to_numpy()], axis=1).astype(np.float32)
+            values = np.stack([c.to_numpy() for c in batch.columns[1:]], axis=1).astype(np.float32)
             shard = _shard_of(keys, shards)
             for s in np.unique(shard):
                 own = shard == s
@@ -330,7 +356,7 @@ def score(docs: DataFrame, model: DataFrame, order: int = ORDER, text: str = "te
 
         def settle():
             k = np.concatenate([p[0] for p in pending]) if pending else np.zeros(0, dtype=np.int64)
-            v = np.concatenate([p[1] for p in pending]) if pending else np.zeros((0, 2), dtype=np.float32)
+            v = np.concatenate([p[1] for p in pending]) if pending else np.zeros((0, 2 * len(ends)), dtype=np.float32)
             turn = np.argsort(k)
             return k[turn], v[turn]
 
@@ -343,7 +369,7 @@ def score(docs: DataFrame, model: DataFrame, order: int = ORDER, text: str = "te
                 if role == 0:
                     raw = body.to_pybytes()
                     pending.append((np.frombuffer(raw[:8 * n], dtype=np.int64),
-                                    np.frombuffer(raw[8 * n:], dtype=np.float32).reshape(n, 2)))
+                                    np.frombuffer(raw[8 * n:], dtype=np.float32).reshape(n, -1)))
                     continue
                 if keys is None:
                     keys, values = settle()
@@ -353,40 +379,40 @@ def score(docs: DataFrame, model: DataFrame, order: int = ORDER, text: str = "te
                 if len(keys):
                     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
                     hit = keys[at] == wanted
-                    out[hit] = values[at[hit]]
+                    out[hit] = values[at[hit], 2 * (role - 1):2 * role]
                 reply = pa.compress(out.astype(np.float16).T.tobytes(), codec="zstd", asbytes=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block], pa.int64()), pa.array([s], pa.int32()), pa.array([n], pa.int64()),
                      pa.array([reply], pa.binary())], names=["block", "shard", "n", "reply"])
 
     asked = blocks.mapInArrow(ask, wire)
-    offered = model.filter("gram <> 0").mapInArrow(offer, wire)
+    pairs = [f"{c}{e}" for e in ends for c in ("logp", "weight")]
+    offered = model.filter("gram <> 0").select("gram", *pairs).mapInArrow(offer, wire)
     met = offered.union(asked).repartition(buckets, "shard", "salt").sortWithinPartitions("shard", "salt", "role")
     replies = met.mapInArrow(answer, "block long, shard int, n long, reply binary").groupBy("block").agg(
         F.collect_list(F.struct("shard", "n", "reply")).alias("replies"))
-    joined = blocks.join(replies.hint("shuffle_hash"), "block", "left").select("payload", "replies")
+    joined = blocks.join(replies.hint("shuffle_hash"), "block", "left").select("fold", "payload", "replies")
     schema = T.StructType([
         *[f for f in rows.schema.fields if f.name in given], T.StructField("n_scored", T.LongType()), T.StructField("log_perplexity", T.DoubleType())])
 
     def judge(batches):
         for batch in batches:
-            for payload, replies in zip(batch.column(0), batch.column(1), strict=True):
+            for f, payload, replies in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 stored = _read_block(payload.as_buffer())
-                texts = [t or "" for t in stored.column(place).to_pylist()]
-                coded = []
-                for a, b in slices(texts):
-                    ends, counts = grams(texts[a:b], order)
-                    codes, level = pd.factorize(ends)
-                    coded.append((a, b, counts, codes.astype(np.int32), level))
-                keys = _closure([c[4] for c in coded], order)
+                # Text by text in slices, and their n-grams spelled out twice, so that no more than a slice is held.
+                bounds = list(_cut(pc.utf8_length(stored.column(place)).fill_null(0).to_numpy(), SLICE))
+                keys = _closure([pd.unique(grams(stored.column(place)[a:b].to_pylist(), order)[0]) for a, b in bounds], order)
                 shard = _shard_of(keys, shards)
-                logp, weight = np.full(len(keys), np.nan), np.full(len(keys), np.nan)
-                for reply in (replies.as_py() or []):
-                    out = np.frombuffer(pa.decompress(reply["reply"], 4 * reply["n"], codec="zstd"), dtype=np.float16)
-                    own = np.flatnonzero(shard == reply["shard"])
-                    logp[own], weight[own] = out[:reply["n"]], out[reply["n"]:]
-                for a, b, counts, codes, level in coded:
-                    value = _log_probabilities(level, keys, logp, weight, base, order)
+                logp, weight = np.full(len(keys), np.nan, dtype=np.float32), np.full(len(keys), np.nan, dtype=np.float32)
+                for reply in (replies if replies.is_valid else []):
+                    n = reply["n"].as_py()
+                    out = np.frombuffer(pa.decompress(reply["reply"].as_buffer(), 4 * n, codec="zstd"), dtype=np.float16)
+                    own = np.flatnonzero(shard == reply["shard"].as_py())
+                    logp[own], weight[own] = out[:n], out[n:]
+                for a, b in bounds:
+                    ends_, counts = grams(stored.column(place)[a:b].to_pylist(), order)
+                    codes, level = pd.factorize(ends_)
+                    value = _log_probabilities(level, keys, logp, weight, base[f], order)
                     total = np.bincount(np.repeat(np.arange(b - a), counts), weights=value[codes], minlength=b - a)
                     with np.errstate(invalid="ignore", divide="ignore"):
                         mean = -total / counts
@@ -422,8 +448,8 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantiles:
     model = train(good.select("text", "_fold"), order, FOLDS)
     scored = materialize(score(marked.drop("_trusted"), model.select("gram", "logp", "weight"), order, text, keep_text), "scored")
     # Trusted documents as strangers: each is scored by the model without its fold.
-    unseen = [score(good.filter(F.col("_fold") == f), without_fold(model, f), order, keep_text=False) for f in range(FOLDS)]
-    unseen = materialize(functools.reduce(DataFrame.union, unseen).filter("log_perplexity is not null"), "unseen")
+    unseen = score(good, model, order, keep_text=False, fold="_fold")
+    unseen = materialize(unseen.filter("log_perplexity is not null").select("_lang", "n_scored", "log_perplexity"), "unseen")
     limits, upper, distance = _limits(unseen, quantiles)
     judged = scored.join(small(limits, BROADCAST_LANGUAGES), language.eqNullSafe(F.col("_lang")), "left")
     room = F.lit(margin) * (1 + F.sqrt(F.lit(float(LENGTH)) / F.greatest("n_scored", F.lit(1))))

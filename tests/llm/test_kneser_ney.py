@@ -3,6 +3,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fathomline.llm import kneser_ney
 from fathomline.llm.catalog import QUERIES
@@ -70,6 +71,19 @@ def test_models_without_a_fold_are_those_of_the_other_texts(spark):
             assert got[r.gram].weight == pytest.approx(r.weight, abs=1e-5)
 
 
+def test_all_folds_in_one_run(spark, monkeypatch):
+    texts = [(d, t, d % kneser_ney.FOLDS) for d, t, *_ in helpers.documents()[:60]] + [(-1, None, 0), (-2, "", 3)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string, fold long")
+    model = kneser_ney.train(frame.select("text", "fold"), folds=kneser_ney.FOLDS)
+    monkeypatch.setattr(kneser_ney, "BLOCK_CHARS", 20_000)
+    got = {r.doc_id: r.log_perplexity for r in kneser_ney.score(frame, model, fold="fold").collect()}
+    assert len(got) == len(texts)
+    for f in range(kneser_ney.FOLDS):
+        alone = kneser_ney.score(frame.filter(F.col("fold") == f), kneser_ney.without_fold(model, f)).collect()
+        assert {r.doc_id: r.log_perplexity for r in alone} == {d: got[d] for d, _, x in texts if x == f}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("blocks_")]
+
+
 def test_odd_rows(spark):
     odd = helpers.odd(spark)
     labels = spark.createDataFrame([(1, 1, 0), (5, 1, 0), (None, 1, 0), (9, 0, 0)], "doc_id long, quality int, toxic int")
