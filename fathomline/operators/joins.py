@@ -3,7 +3,7 @@ below the session's threshold, and adaptive execution splits skewed keys otherwi
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -46,6 +46,23 @@ def join_on_date(frames: Sequence[DataFrame], key: str = "date") -> DataFrame:
     return reduce(lambda a, b: a.join(b, key), frames)
 
 
+def series_by_date(
+    df: DataFrame, series: str, value: Column, names: Mapping[object, str], key: str = "date",
+    measure: Callable[[Column], Column] = F.sum,
+) -> DataFrame:
+    """All series of a long table side by side, on the dates that every one of them has.
+
+    ``names`` gives each value of ``series`` its column, ``measure`` reduces the values of one date. One scan and one
+    shuffle, however many series; a date is one row per task before it. A series with rows on a date is there, even
+    if all their values are null.
+    """
+    own = {name: F.col(series) == F.lit(v) for v, name in names.items()}
+    rows = df.filter(F.col(series).isin(list(names))).groupBy(key).agg(
+        *[measure(F.when(tag, value)).alias(name) for name, tag in own.items()],
+        *[F.count_if(tag).alias(f"_rows_{name}") for name, tag in own.items()])
+    return rows.filter(reduce(lambda a, b: a & b, [F.col(f"_rows_{name}") > 0 for name in own])).select(key, *own)
+
+
 def compare_periods(
     earlier: DataFrame, later: DataFrame, key: str, measure: Column,
     names: Sequence[str] = ("earlier", "later", "diff"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fathomline.operators.counts import sum_by
 from fathomline.operators.joins import (
-    compare_periods, enrich_company, enrich_security, join_on_date, join_using, lookup_with_default,
+    compare_periods, enrich_company, enrich_security, join_on_date, series_by_date, join_using, lookup_with_default,
 )
 from fathomline.plans.catalog.registry import query, table
 from fathomline.plans.reports import top_holdings
@@ -99,18 +99,34 @@ def enriched_companies(spark, folder):
 @query("""
 with d as (select strftime(o_orderdate, '%Y-%m-%d') as date, o_orderpriority as p, round(sum(o_totalprice), 2) as t
            from orders group by 1, 2)
-select a.date, a.t as urgent, b.t as high, c.t as medium
-from d a join d b on a.date = b.date join d c on a.date = c.date
-where a.p = '1-URGENT' and b.p = '2-HIGH' and c.p = '3-MEDIUM'
+select a.date, a.t as urgent, b.t as high, c.t as medium, e.t as unspecified, f.t as low
+from d a join d b on a.date = b.date join d c on a.date = c.date join d e on a.date = e.date join d f on a.date = f.date
+where a.p = '1-URGENT' and b.p = '2-HIGH' and c.p = '3-MEDIUM' and e.p = '4-NOT SPECIFIED' and f.p = '5-LOW'
 """)
 def series_joined_on_date(spark, folder):
+    """The daily totals of all five priorities, side by side."""
+    orders = table(spark, folder, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), "o_orderpriority", "o_totalprice")
+    names = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium", "4-NOT SPECIFIED": "unspecified", "5-LOW": "low"}
+    return series_by_date(orders, "o_orderpriority", F.col("o_totalprice"), names, measure=lambda x: F.round(F.sum(x), 2))
+
+
+@query("""
+with a as (select date, sum(o_totalprice) as t from (select strftime(o_orderdate, '%Y-%m-%d') as date, * from orders)
+           where o_orderpriority = '1-URGENT' group by date),
+b as (select date, sum(o_totalprice) as t from (select strftime(o_orderdate, '%Y-%m-%d') as date, * from orders)
+      where o_orderpriority = '5-LOW' group by date)
+select a.date, round(a.t, 2) as urgent, round(b.t, 2) as low from a join b using (date)
+""")
+def frames_joined_on_date(spark, folder):
+    """Two frames that share nothing but the date."""
     orders = table(spark, folder, "orders").withColumn("date", F.date_format("o_orderdate", "yyyy-MM-dd"))
 
     def daily(priority, name):
         rows = orders.filter(F.col("o_orderpriority") == priority)
         return rows.groupBy("date").agg(F.round(F.sum("o_totalprice"), 2).alias(name))
 
-    return join_on_date([daily("1-URGENT", "urgent"), daily("2-HIGH", "high"), daily("3-MEDIUM", "medium")])
+    return join_on_date([daily("1-URGENT", "urgent"), daily("5-LOW", "low")])
 
 
 @query("""

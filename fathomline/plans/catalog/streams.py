@@ -13,6 +13,7 @@ from fathomline.streaming.counts import (
 from fathomline.streaming.filings import ownership_rows
 from fathomline.streaming.sinks import latest_values, read_batches, start_sink, write_batches
 from fathomline.streaming.sources import message_lines, stream_table
+from fathomline.streaming.stateful import living_counts
 
 
 def _stream(spark, folder, name):
@@ -84,6 +85,47 @@ def sliding_window_counts(spark, folder):
     return _by_size(sliding_from_slides(slides, "event_type", "300 seconds", "1 second"), "event_type")
 
 
+@query("""
+with o as (select max(ts) as newest from events),
+e as (select event_type, unnest(generate_series(time_bucket(interval 10 minute, ts) - interval 50 minute,
+                                               time_bucket(interval 10 minute, ts), interval 10 minute)) as start
+      from events)
+select event_type, strftime(start, '%Y-%m-%d %H:%M:%S') as window_start, count(*) as n
+from e, o where start + interval 1 hour <= newest - interval 1 hour group by 1, 2
+""")
+def streamed_sliding_counts(spark, folder):
+    """Windows of an hour every ten minutes, out of a ring of slide counts in the stream's state.
+
+    Windows that end within the delay before the newest event are not out when the input ends.
+    """
+    events = _stream(spark, folder, "events").select("ts", "event_type")
+    path = fresh_path(spark, "windows")
+    start_sink(sliding_counts(events, "ts", "event_type", "1 hour", "10 minutes", "1 hour"), "parquet", path).awaitTermination()
+    return spark.read.parquet(path).select(
+        "event_type", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n")
+
+
+@query("""
+with o as (select max(ts) as newest from events),
+s as (select user_id, time_bucket(interval 1 hour, ts) as slide, count(*) as n from events, o
+      where time_bucket(interval 1 hour, ts) + interval 1 hour <= newest group by 1, 2),
+g as (select *, case when slide - lag(slide) over (partition by user_id order by slide) <= interval 12 hour then 0 else 1 end as fresh
+      from s),
+i as (select *, sum(fresh) over (partition by user_id order by slide) as life from g)
+select user_id, strftime(slide, '%Y-%m-%d %H:%M:%S') as slide_start,
+       (sum(n) over (partition by user_id, life order by slide) + case when life = 1 and user_id < 10 then 100 else 0 end)::bigint as n
+from i
+""")
+def living_user_counts(spark, folder):
+    """Running counts per user and hour, from given counts, forgotten after twelve hours without an event."""
+    events = _stream(spark, folder, "events").select("ts", "user_id")
+    seeds = table(spark, folder, "events").select("user_id").filter("user_id < 10").distinct().withColumn("n", F.lit(100))
+    path, hour = fresh_path(spark, "living"), 3_600_000_000
+    counts = living_counts(events, "ts", "user_id", 12 * hour, hour, "0 seconds", seeds)
+    start_sink(counts, "parquet", path).awaitTermination()
+    return spark.read.parquet(path).select("user_id", F.date_format("slide_start", "yyyy-MM-dd HH:mm:ss").alias("slide_start"), "n")
+
+
 @query("""
 with e as (select '/u/' || user_id as url, unnest(generate_series(date_trunc('second', ts) - interval 299 second,
                                                      date_trunc('second', ts), interval 1 second)) as start

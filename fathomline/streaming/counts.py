@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fathomline.streaming.stateful import sliding_sums
+
 # The counts a running word count starts from.
 INITIAL_COUNTS = {"hello": 1, "world": 1}
 
@@ -100,11 +102,11 @@ def sliding_counts(
     """``(window_start, key, n)`` straight from events, in batch or append-mode streaming.
 
     ``delay`` is the watermark that lets finished windows leave the state. In batch, windows are running totals of
-    slides; a stream cannot run totals, there a counted slide is copied into its windows.
+    slides; a stream keeps a ring of slide counts per key, and adds and takes off slides as windows end. Without a
+    ``delay`` no window of a stream ever ends, so there it is needed.
     """
     if not df.isStreaming:
         return sliding_from_slides(slide_counts(df, ts, key, slide), key, window, slide)
-    rows = df if delay is None else df.withWatermark(ts, delay)
-    slides = rows.groupBy(F.window(ts, slide).alias("s"), key).agg(F.count(F.lit(1)).alias("c"))
-    placed = slides.groupBy(F.window(F.window_time("s"), window, slide).alias("w"), key)
-    return placed.agg(F.sum("c").alias("n")).select(F.col("w.start").alias("window_start"), key, "n")
+    if delay is None:
+        raise ValueError("sliding windows of a stream need a delay")
+    return sliding_sums(df, ts, key, _micros(window), _micros(slide), delay)

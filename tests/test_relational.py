@@ -213,3 +213,12 @@ def test_flow_composition(spark, tmp_path):
     assert [r.id for r in double(spark.range(5)).collect()] == [6, 8]
     assert run_steps(spark.range(5), []).count() == 5
     assert sql_over(spark.range(5), "numbers", "select sum(id) as s from numbers").first().s == 10
+
+
+def test_series_by_date_keeps_dates_that_all_series_have(spark, rows):
+    data = [("d1", "a", 1.0), ("d1", "a", 2.0), ("d1", "b", None), ("d2", "a", 1.0), ("d3", "b", 4.0), ("d3", "a", 5.0), ("d3", "c", 9.0)]
+    df = spark.createDataFrame(data, "date string, s string, v double")
+    out = joins.series_by_date(df, "s", F.col("v"), {"a": "first", "b": "second"})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Scan") == 1
+    assert rows(out) == [("d1", 3.0, None), ("d3", 5.0, 4.0)]

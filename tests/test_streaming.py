@@ -1,9 +1,15 @@
+import random
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import functions as F
 
 from fathomline.functions.text import parse_access_log, request_url
 from fathomline.session import fresh_path
 from fathomline.streaming import counts, sinks, sources
+from fathomline.streaming.counts import sliding_counts
 from fathomline.streaming.filings import stream_ownership
+from fathomline.streaming.sinks import start_sink
+from fathomline.streaming.stateful import living_counts
 
 
 def drop(folder, name, text):
@@ -106,3 +112,52 @@ def test_stream_ownership(spark, tmp_path, rows):
     query = sinks.start_sink(stream_ownership(spark, str(folder)), "memory", "ownership_rows")
     query.awaitTermination()
     assert rows(spark.table("ownership_rows")) == [("42", "P")]
+
+
+def feed(spark, folder, batches, schema="ts timestamp, key string"):
+    """A stream that reads one file of rows per batch."""
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/{i}")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+
+
+def at(second):
+    return datetime(2024, 1, 1, 10, tzinfo=timezone.utc) + timedelta(seconds=second)
+
+
+def run(spark, df, tmp_path, checkpoint=None):
+    target = str(tmp_path / "out")
+    start_sink(df, "parquet", target, checkpoint=checkpoint or str(tmp_path / "checkpoint")).awaitTermination()
+    return spark.read.parquet(target)
+
+
+def test_streamed_sliding_sums_equal_batch(spark, tmp_path):
+    draw = random.Random(4)
+    batches = [[(at(60 * b + draw.uniform(-20, 60)), draw.choice("aaab")) for _ in range(40)] for b in range(6)]
+    batches.append([(at(2_000), "c"), (at(2_003), "a")])  # a silence longer than the window, then another one
+    batches.append([(at(20_000), "z")])
+    got = run(spark, sliding_counts(feed(spark, str(tmp_path / "in"), batches), "ts", "key", "60 seconds", "5 seconds", "30 seconds"), tmp_path)
+    events = spark.createDataFrame([r for b in batches[:-1] for r in b], "ts timestamp, key string")
+    want = sliding_counts(events, "ts", "key", "60 seconds", "5 seconds")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    left = spark.read.format("statestore").option("stateVarName", "ring").option("operatorId", "0").load(str(tmp_path / "checkpoint"))
+    assert left.count() == 0  # all slides but the last one, which is not closed, have left the state
+
+
+def test_living_counts_start_from_seeds_expire_and_go_on_after_a_restart(spark, tmp_path):
+    source, slide, life = str(tmp_path / "in"), 10_000_000, 60_000_000
+    seeds = spark.createDataFrame([("a", 5), ("never", 7)], "key string, n long")
+    feed(spark, source, [[(at(1), "a"), (at(2), "a"), (at(15), "b")], [(at(70), "b"), (at(71), "x")]])
+
+    def counts():
+        stream = spark.readStream.schema("ts timestamp, key string").option("maxFilesPerTrigger", 1).parquet(f"{source}/*")
+        return living_counts(stream, "ts", "key", life, slide, "0 seconds", seeds)
+
+    run(spark, counts(), tmp_path)
+    spark.createDataFrame([(at(75), "a"), (at(125), "b"), (at(140), "a")], "ts timestamp, key string").coalesce(1).write.parquet(f"{source}/2")
+    spark.createDataFrame([(at(400), "x")], "ts timestamp, key string").coalesce(1).write.parquet(f"{source}/3")
+    got = run(spark, counts(), tmp_path)
+    assert sorted((r.key, (r.slide_start.replace(tzinfo=timezone.utc) - at(0)).seconds, r.n) for r in got.collect()) == [
+        ("a", 0, 7), ("a", 70, 1), ("a", 140, 1), ("b", 10, 1), ("b", 70, 2), ("b", 120, 3), ("x", 70, 1)]
+    left = spark.read.format("statestore").option("stateVarName", "count").load(str(tmp_path / "checkpoint"))
+    assert [r.key.key for r in left.collect()] == ["never"]
