@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fathomline.operators.counts import count_by, top_k
 from fathomline.operators.filters import null_counts
+from fathomline.operators.ordering import with_row_index
 from fathomline.plans.catalog.registry import query, table
 from fathomline.plans.flow import Flow
 from fathomline.session import fresh_path, spread
@@ -219,6 +220,19 @@ def ranked_csv_sink(spark, folder):
     return read_csv(spark, path, schema="l_suppkey long, n long")
 
 
+@query("""
+select row_number() over (order by o_totalprice desc, o_orderkey) - 1 as line, o_orderkey, o_totalprice, o_orderpriority
+from orders
+""")
+def single_file_sink(spark, folder):
+    """All orders in one file, the dearest first; read back with the number of every line."""
+    path = fresh_path(spark, "single") + ".csv"
+    columns = ["o_orderkey", "o_totalprice", "o_orderpriority"]
+    write_ranked_csv(table(spark, folder, "orders").select(*columns), path, "o_totalprice", ["o_orderkey"], single_file=True)
+    lines = read_csv(spark, path, schema="o_orderkey long, o_totalprice double, o_orderpriority string")
+    return with_row_index(lines.withColumn("at", F.monotonically_increasing_id()), ["at"], "line").drop("at")
+
+
 @query("select event_type as filing_type, count(*) as count from events group by 1")
 def parquet_sink(spark, folder):
     path = fresh_path(spark, "parquet")

@@ -7,14 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fathomline.sinks.single import write_single_csv
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with header; fails if the path exists unless another mode is given."""
+
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False) -> None:
+    """CSV with header; fails if the path exists unless another mode is given.
+
+    As a single file it is complete or absent; the modes are then ``errorifexists`` and ``overwrite``.
+    """
+    if single_file:
+        if mode not in ("errorifexists", "error", "overwrite"):
+            raise ValueError(f"a single file cannot be written in mode {mode}")
+        write_single_csv(df, path, overwrite=mode == "overwrite")
+        return
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def write_ranked_csv(df: DataFrame, path: str, sort_field: str | None = None, ties: Sequence[str] = ()) -> None:
-    """CSV that replaces the path, optionally in descending order of one field."""
+def write_ranked_csv(
+    df: DataFrame, path: str, sort_field: str | None = None, ties: Sequence[str] = (), single_file: bool = False
+) -> None:
+    """CSV that replaces the path, optionally in descending order of one field, as one file if wanted."""
+    if single_file:
+        write_single_csv(df, path, [F.desc(sort_field), *ties] if sort_field else [], overwrite=True)
+        return
     ordered = df.orderBy(F.desc(sort_field), *ties) if sort_field else df
     ordered.write.mode("overwrite").option("header", True).csv(path)
 
