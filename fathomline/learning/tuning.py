@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
@@ -115,24 +116,29 @@ def sweep(
     estimator: Estimator, train: DataFrame, test: DataFrame, values: Mapping[str, Sequence],
     evaluator: Evaluator | None = None, parallelism: int = 4,
 ) -> Tuned:
-    """Train every combination on ``train``, rank all by their metric on ``test``, keep the best model.
+    """Train every combination on ``train``, rank all by their metric on ``test``, keep the best model only.
 
-    ``parallelism`` fits run side by side. Frames that the caller has cached stay cached.
+    ``parallelism`` fits run side by side. Frames that the caller has cached stay cached. Trees and forests that
+    differ in depth or number of trees are better swept by ``sweeps.sweep_trees``.
     """
     evaluator = evaluator or accuracy_evaluator()
     larger = evaluator.isLargerBetter()
     held = [df.persist() for df in (train, test) if not (df.storageLevel.useMemory or df.storageLevel.useDisk)]
+    lock, best, candidates = Lock(), [], []
 
     def measured(params):
         model = estimator.fit(train, params)
-        return model, float(evaluator.evaluate(model.transform(test))), _named(params)
+        found = float(evaluator.evaluate(model.transform(test)))
+        with lock:
+            candidates.append((_named(params), found))
+            if not best or (found > best[1] if larger else found < best[1]):
+                best[:] = [model, found, _named(params)]
 
     try:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            fits = list(pool.map(inheritable_thread_target(train.sparkSession)(measured), grid_of(estimator, values)))
+            list(pool.map(inheritable_thread_target(train.sparkSession)(measured), grid_of(estimator, values)))
     finally:
         for df in held:
             df.unpersist()
-    fits.sort(key=lambda fit: fit[1], reverse=larger)
-    model, metric, params = fits[0]
-    return Tuned(model, params, metric, [(p, m) for _, m, p in fits])
+    model, metric, params = best
+    return Tuned(model, params, metric, sorted(candidates, key=lambda c: c[1], reverse=larger))

@@ -14,6 +14,7 @@ from fathomline.learning.models import (
     describe_model, feature_importances, fit_held, learner, raw_scores, recommend, score, train_als, train_forest,
     train_logistic, train_svm, train_tree, train_tree_regressor,
 )
+from fathomline.learning.sweeps import prefix_confusions, sweep_trees
 from fathomline.learning.tuning import (
     DEPTH_GRID, FOREST_GRID, TREE_GRID, accuracy_evaluator, grid_of, sweep, tune_cv, tune_forest, tune_logistic_recall,
     tune_split,
@@ -234,14 +235,73 @@ def tuned_recall(spark, folder):
 
 @query()
 def parameter_sweep(spark, folder):
-    """Every combination trained on one part and ranked on the other."""
+    """Every combination trained on one part and ranked on the other; both depths come from one fit."""
     train, test = _parts(spark, folder)
-    swept = sweep(learner("DecisionTree"), train, test, {
-        "impurity": ["gini", "entropy"], "maxDepth": [1, 20], "maxBins": [10, 300]})
+    swept = sweep_trees(learner("DecisionTree"), train, test, [1, 20], {"impurity": ["gini", "entropy"], "maxBins": [10, 300]})
     rows = [(p["impurity"], p["maxDepth"], p["maxBins"], m) for p, m in swept.candidates]
     return spark.createDataFrame(rows, "impurity string, depth int, bins int, accuracy double")
 
 
+def _taxed(spark, folder):
+    """Order lines that are large or highly taxed, but not both; every fifth order is kept for testing."""
+    lines = spread(table(spark, folder, "lineitem").select("l_orderkey", "l_quantity", "l_tax"))
+    odd = (F.col("l_quantity") > 30) != (F.col("l_tax") > 0.075)
+    return assembler(["l_quantity", "l_tax"]).transform(lines).select(
+        odd.cast("double").alias("label"), "features", (F.col("l_orderkey") % 5 == 0).alias("test"))
+
+
+_TAXED = """
+with t as (select l_orderkey % 5 = 0 as test, l_quantity > 30 as big, (l_quantity > 30) <> (l_tax > 0.075) as label from lineitem),
+m as (select avg(label::int) > 0.5 as major from t where not test),
+s as (select 0 as depth, avg((label = major)::int) as accuracy from t, m where test
+      union all select 1, avg((label = big)::int) from t where test union all select 2, 1.0 union all select 20, 1.0)
+"""
+
+
+@query(_TAXED + """
+select impurity, bins, depth, round(accuracy, 9) as accuracy
+from s, (select unnest(['gini', 'entropy']) as impurity) i, (select unnest([64, 128]) as bins) b
+""")
+def shared_sweep(spark, folder):
+    """All depths of a sweep out of one fit per impurity and number of bins, on a rule that two levels express."""
+    rows = _taxed(spark, folder)
+    swept = sweep_trees(learner("DecisionTree"), rows.filter("not test"), rows.filter("test"), [0, 1, 2, 20],
+                        {"impurity": ["gini", "entropy"], "maxBins": [64, 128]})
+    found = [(p["impurity"], p["maxBins"], p["maxDepth"], round(m, 9)) for p, m in swept.candidates]
+    return spark.createDataFrame(found, "impurity string, bins int, depth int, accuracy double")
+
+
+@query(_TAXED + "select (select min(depth) from s where accuracy = 1.0) as depth, 1.0::double as accuracy, 3 as leaves_above")
+def swept_winner(spark, folder):
+    """The smallest depth among the best, and how many splits its tree has."""
+    rows = _taxed(spark, folder)
+    best = sweep_trees(learner("DecisionTree"), rows.filter("not test"), rows.filter("test"), [0, 1, 2, 20], {"maxBins": [64]})
+    return _metrics(spark, depth=best.best_params["maxDepth"], accuracy=best.best_metric, leaves_above=(best.model.numNodes - 1) // 2)
+
+
+@query("""
+select l_shipmode as label, count(*) as n from (select case when l_quantity > 25 then 1.0 else 0.0 end as l_shipmode, l_orderkey
+from lineitem) where l_orderkey % 5 = 0 group by 1
+""")
+def forest_prefix_rows(spark, folder):
+    """Rows of the test part by label, as every prefix of a forest has counted them."""
+    lines = spread(table(spark, folder, "lineitem").select("l_orderkey", "l_quantity", "l_discount"))
+    rows = assembler(["l_quantity", "l_discount"]).transform(lines).select(
+        (F.col("l_quantity") > 25).cast("double").alias("label"), "features", (F.col("l_orderkey") % 5 == 0).alias("test"))
+    model = learner("RandomForest", numTrees=4, maxDepth=3).fit(rows.filter("not test"))
+    counts = prefix_confusions(model, rows.filter("test"), [1, 3], [1, 4])
+    by_label = {frozenset(_by_label(c).items()) for c in counts.values()}
+    (only,) = by_label  # the same rows, whatever the prefix predicts
+    return spark.createDataFrame(sorted(only), "label double, n long")
+
+
+def _by_label(confusion):
+    found = {}
+    for (label, _), n in confusion.items():
+        found[label] = found.get(label, 0) + n
+    return found
+
+
 @query()
 def described_model(spark, folder):
     return describe_model(train_tree(_vectors(spark, folder), maxDepth=2))
