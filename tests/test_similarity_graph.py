@@ -6,8 +6,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from fathomline.operators.separation import UNREACHED, degrees_of_separation, hit
+from fathomline.operators.separation import UNREACHED, degrees_of_separation, hit, out_of, unseen
 from fathomline.operators.similarity import items_similar_to, pair_similarity, similar_items
+from fathomline.session import materialize_by
 
 
 def brute_pairs(rows, min_score, min_support):
@@ -116,3 +117,20 @@ def test_hit_counts_directions(spark):
     assert stopped[3] == 2 and stopped[9] == UNREACHED
     limited = {r.node: r.distance for r in degrees_of_separation(df, 0, max_hops=1).collect()}
     assert limited[3] == UNREACHED
+
+
+def test_a_hop_moves_neither_edges_nor_levels(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = spark.createDataFrame([(i % 50, (i * 7) % 60) for i in range(500)], "src long, dst long")
+        held = materialize_by(edges, "src", "edges")
+        levels = [materialize_by(spark.createDataFrame(ids, "node long"), "node", "frontier") for ids in ([(0,)], [(7,), (5,)])]
+        out = out_of(held, levels[-1])
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+        new = unseen(out, levels)
+        assert new._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+        assert {r.node for r in new.collect()} == {(i * 7) % 60 for i in range(500) if i % 50 in (5, 7)} - {0, 5, 7}
+        assert not [t for t in spark.catalog.listTables() if t.name.startswith(("edges_", "frontier_"))]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
