@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 from fathomline.llm.registry import query, table
 from fathomline.llm.texts import slices
@@ -51,16 +52,16 @@ def _byte_symbols() -> list[str]:
     return [symbols[b] for b in range(256)]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=4)
 def _class_of(kind: str) -> str:
-    """Ranges of the characters of a general category, for use in a character class.
+    """Ranges of the characters whose general category begins with ``kind``, for use in a character class.
 
-    They come from the Unicode tables of Python, whose version is the vocabulary library's; newer tables
-    would take letters for words that the library takes for symbols.
+    They come from Python's Unicode tables. The vocabulary library's are newer: what Python does not know is left to
+    the library (see ``Vocabulary.newer``).
     """
     ranges: list[list[int]] = []
     for c in range(sys.maxunicode + 1):
-        if unicodedata.category(chr(c))[0] == kind:
+        if unicodedata.category(chr(c)).startswith(kind):
             if ranges and ranges[-1][1] == c - 1:
                 ranges[-1][1] = c
             else:
@@ -102,6 +103,7 @@ class Vocabulary:
         letters, numbers = _class_of("L"), _class_of("N")
         self.pieces = re.compile(pieces.replace("\\p{L}", letters).replace("\\p{N}", numbers).replace("\\s", _BLANK))
         self.plain = re.compile(r"[a-z]+\Z").match
+        self.path, self.unknown = path, re.compile(f"[{_class_of('Cn')}]").search
         self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
 
     @lru_cache(maxsize=1)  # noqa: B019  (one vocabulary per worker)
@@ -225,6 +227,11 @@ class Vocabulary:
             out[word] = ids
         return out
 
+    def newer(self, part: str) -> list[str]:
+        """Words of a run that holds characters newer than Python's tables, parted by the library itself."""
+        library = _library(self.path)
+        return [word for word, _ in library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(part))]
+
     def words_of(self, chunk: str) -> list[str | int]:
         """Words of a run without white space as byte symbols, and ids of special tokens found in it as they are."""
         if self.plain(chunk):
@@ -235,6 +242,8 @@ class Vocabulary:
                 out.append(self.special[part])
             elif part.isascii() and part.isprintable():
                 out += self.pieces.findall(part.lower())
+            elif self.unknown(part):
+                out += self.newer(part)
             else:
                 lowered = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
                 for piece in self.pieces.findall(lowered):
@@ -242,6 +251,11 @@ class Vocabulary:
         return out
 
 
+@lru_cache(maxsize=1)
+def _library(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
+
+
 @lru_cache(maxsize=1)
 def _vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)

@@ -27,6 +27,7 @@ from fathomline.session import materialize, spread
 
 BINS = 512
 BITS = 4
+RANGE_CHARS = 64  # of a text that take part in cutting ranges
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -140,7 +141,9 @@ def compare_with_next(docs: DataFrame, n: int = WORDS_PER_SHINGLE, doc_id: str =
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first()]
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    rows = rows.repartitionByRange(parts, order[0]).sortWithinPartitions(*order)  # by ids alone: keys are sampled
+    # The ranges' keys are sampled, so of a text only its beginning takes part; it parts rows of one id.
+    beginning = F.substring("text", 1, RANGE_CHARS).asc_nulls_first()
+    rows = rows.repartitionByRange(parts, order[0], beginning).sortWithinPartitions(*order)
 
     def work(batches):
         part = TaskContext.get().partitionId()
@@ -172,12 +175,12 @@ def compare_with_next(docs: DataFrame, n: int = WORDS_PER_SHINGLE, doc_id: str =
 
     walked = materialize(rows.mapInArrow(work, _SCHEMA), "fingerprints")
     edges = walked.filter("kind <> 'done'").select("doc_id", "part", "kind", "text")
-    in_turn = Window.orderBy("part", "kind")  # two rows per range
-    whole = in_turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    pairs = edges.select(
-        "doc_id", "kind", "text",
-        F.coalesce(F.lead("text").over(in_turn), F.first("text").over(whole)).alias("following"),
-    ).filter("kind = 'last'").select("doc_id", "text", "following")
+    # Which range comes next is a matter of their numbers; a range's texts then meet by a join.
+    in_turn = Window.orderBy("part")
+    turns = edges.filter("kind = 'head'").select("part")
+    turns = turns.select("part", F.coalesce(F.lead("part").over(in_turn), F.min("part").over(Window.partitionBy())).alias("next"))
+    heads = edges.filter("kind = 'head'").select(F.col("part").alias("next"), F.col("text").alias("following"))
+    pairs = edges.filter("kind = 'last'").join(turns, "part").join(heads.hint("merge"), "next").select("doc_id", "text", "following")
 
     def finish(batches):
         for batch in batches:

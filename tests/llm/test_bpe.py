@@ -1,5 +1,6 @@
 import hashlib
 import random
+import sys
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -31,6 +32,15 @@ def test_odd_texts():
            "<|endoftext|><|endoftext|>", "x" * 20_000, "éé  　 😀👍🏽"])
 
 
+def test_all_code_points():
+    every = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    check(["".join(f" a{c}b{c}" for c in every[i:i + 64]) for i in range(0, len(every), 64)])
+
+
+def test_new_characters_compose_as_in_the_library():
+    check(["\U00016121\U0001611e", "x\u1c89y\u1c8a", "a\U00011383\U000113c9", "\U000105d2\u0307 é", "\ua7cb\ua7cc\ua7da"])
+
+
 def test_random_texts():
     pick = random.Random(0)
     check(["".join(pick.choice("abcdehilnorst'0 <|>.é́ßÑ😀") for _ in range(pick.randint(1, 60))) for _ in range(3_000)])

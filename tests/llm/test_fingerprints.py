@@ -1,4 +1,5 @@
 import hashlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -49,3 +50,16 @@ def test_odd_rows(spark):
     assert fingerprints.compare_with_next(odd.filter("doc_id = 9")).first().near_next == 1
     printed = fingerprints.with_fingerprints(odd.withColumn("fingerprint", F.lit(1)))
     assert printed.count() == len(helpers.odd_rows()) and printed.schema["fingerprint"].dataType.simpleString() == "binary"
+
+
+def test_one_id_or_none_is_spread_over_ranges(spark):
+    texts = [f"text {i % 40:03d} of {i} " * (1 + i % 7) for i in range(300)]
+    for key in (7, None):
+        rows = spark.createDataFrame([(key, t) for t in texts], "doc_id long, text string").repartition(5)
+        got = Counter((r.n_chars, r.edited_sha256) for r in fingerprints.compare_with_next(rows).collect())
+        turn = sorted(texts)
+        want = Counter()
+        for a, b in zip(turn, turn[1:] + turn[:1]):
+            cut = len(a) // 4
+            want[len(a), hashlib.sha256((a[:len(a) - cut] + b[:cut]).encode()).hexdigest()] += 1
+        assert got == want
