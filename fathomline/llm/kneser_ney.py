@@ -42,14 +42,15 @@ from pyspark.sql import types as T
 
 from fathomline.llm.registry import query, table
 from fathomline.llm.shingles import mixed
-from fathomline.llm.texts import SLICE_CHARS, slices, small
+from fathomline.llm.texts import SLICE_CHARS, small
 from fathomline.session import fresh_path, materialize, spread
 
 ORDER = 5
 _WIDTH = 12
 _START = 1  # stands before the first character
 BLOCK_CHARS = 12_000_000
-SLICE = 500_000  # characters whose n-grams are spelled out at once
+SLICE = 1_000_000  # characters whose n-grams are spelled out at once
+HELD_GRAMS = 1_500_000  # n-grams that a counting task holds before it sums them up
 SHARD_ENTRIES = 500_000
 MESSAGES_PER_PART = 512
 BROADCAST_IDS = 4_000_000  # 32 MB
@@ -97,26 +98,36 @@ def count_grams(texts: DataFrame, order: int = ORDER, folds: int = 0) -> DataFra
     parts = max(1, folds)
 
     def work(batches):
-        keys, counts = np.zeros(0, dtype=np.int64), np.zeros((0, parts), dtype=np.int64)
+        keys, counts, held = [], [], 0
 
-        def batch_of():
+        def summed():
+            codes, found = pd.factorize(np.concatenate(keys))
+            whole = np.concatenate(counts)
+            return found, np.stack([np.bincount(codes, weights=whole[:, f], minlength=len(found)) for f in range(parts)], axis=1).astype(np.int32)
+
+        def batch_of(found, sums):
             return pa.RecordBatch.from_arrays(
-                [pa.array(keys), *[pa.array(counts[:, f]) for f in range(parts)]], names=["gram", *[f"f{f}" for f in range(parts)]])
+                [pa.array(found), *[pa.array(sums[:, f].astype(np.int64)) for f in range(parts)]],
+                names=["gram", *[f"f{f}" for f in range(parts)]])
 
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
-            fold = batch.column(1).to_numpy() if folds else np.zeros(len(texts), dtype=np.int64)
-            for a, b in slices(texts, SLICE):
-                ends, sizes = grams(texts[a:b], order)
+            fold = batch.column(1).to_numpy() if folds else np.zeros(batch.num_rows, dtype=np.int64)
+            for a, b in _cut(pc.utf8_length(batch.column(0)).fill_null(0).to_numpy(), SLICE):
+                ends, sizes = grams(batch.column(0)[a:b].to_pylist(), order)
                 codes, found = pd.factorize(ends)
                 here = np.bincount(codes * parts + np.repeat(fold[a:b], sizes), minlength=len(found) * parts)
-                both = pd.DataFrame(np.concatenate([counts, here.reshape(-1, parts)])).groupby(np.concatenate([keys, found])).sum()
-                keys, counts = both.index.to_numpy(), both.to_numpy()
-                if len(keys) > 1_000_000:
-                    yield batch_of()
-                    keys, counts = keys[:0], counts[:0]
-        if len(keys):
-            yield batch_of()
+                keys.append(found)
+                counts.append(here.reshape(-1, parts).astype(np.int32))
+                held += len(found)
+                if held > HELD_GRAMS:
+                    found, sums = summed()
+                    if len(found) > HELD_GRAMS // 2:
+                        yield batch_of(found, sums)
+                        keys, counts, held = [], [], 0
+                    else:
+                        keys, counts, held = [found], [sums], len(found)
+        if held:
+            yield batch_of(*summed())
 
     own = [f"f{f}" for f in range(parts)]
     rows = spread(texts).mapInArrow(work, ", ".join(["gram long", *[f"{c} long" for c in own]]))
@@ -216,15 +227,19 @@ def _read_block(payload: bytes) -> pa.Table:
         return stream.read_all()
 
 
-def _closure(levels: list[np.ndarray], order: int) -> np.ndarray:
-    """Sorted distinct n-grams of all orders that scoring n-grams of the highest order can ask for."""
-    level = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *levels]))
-    every = [level]
+def _closure(levels: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct n-grams of all orders that scoring n-grams of the highest order can ask for, and of that order.
+
+    No symbol is 0, so n-grams of more symbols are larger numbers, and the orders one after another are sorted.
+    """
+    top = np.sort(pd.unique(np.concatenate([np.zeros(0, dtype=np.int64), *levels])))
+    level, every = top, [top]
     for k in range(order - 1, 0, -1):
-        shorter = level & ((1 << _WIDTH * k) - 1)
-        level = np.unique(np.concatenate([shorter, level >> _WIDTH]))  # as an end and as a context
+        context = level >> _WIDTH  # sorted, as the level is
+        context = context[np.diff(context, prepend=-1) != 0]
+        level = np.sort(pd.unique(np.concatenate([level & ((1 << _WIDTH * k) - 1), context])))  # as an end and as a context
         every.append(level)
-    return np.unique(np.concatenate(every))
+    return np.concatenate(every[::-1]), top
 
 
 def _log_probabilities(level: np.ndarray, keys: np.ndarray, logp: np.ndarray, weight: np.ndarray, base: float,
@@ -318,11 +333,12 @@ def score(docs: DataFrame, model: DataFrame, order: int = ORDER, text: str = "te
     def ask(batches):
         for batch in batches:
             for block, f, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                texts = [t or "" for t in _read_block(payload.as_buffer()).column(place).to_pylist()]
-                keys = _closure([pd.unique(grams(texts[a:b], order)[0]) for a, b in slices(texts, SLICE)], order)
-                del texts
+                pa.default_memory_pool().release_unused()  # what the block before left
+                texts = _read_block(payload.as_buffer()).column(place)
+                bounds = _cut(pc.utf8_length(texts).fill_null(0).to_numpy(), SLICE)
+                keys, _ = _closure([pd.unique(grams(texts[a:b].to_pylist(), order)[0]) for a, b in bounds], order)
                 shard = _shard_of(keys, shards)
-                turn = np.argsort(shard, kind="stable")
+                turn = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
                 keys, ends = keys[turn], np.cumsum(np.bincount(shard, minlength=shards))
                 for s in range(shards):
                     part = keys[(ends[s - 1] if s else 0):ends[s]]
@@ -398,10 +414,14 @@ def score(docs: DataFrame, model: DataFrame, order: int = ORDER, text: str = "te
     def judge(batches):
         for batch in batches:
             for f, payload, replies in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                pa.default_memory_pool().release_unused()
                 stored = _read_block(payload.as_buffer())
-                # Text by text in slices, and their n-grams spelled out twice, so that no more than a slice is held.
-                bounds = list(_cut(pc.utf8_length(stored.column(place)).fill_null(0).to_numpy(), SLICE))
-                keys = _closure([pd.unique(grams(stored.column(place)[a:b].to_pylist(), order)[0]) for a, b in bounds], order)
+                texts, coded = stored.column(place), []
+                for a, b in _cut(pc.utf8_length(texts).fill_null(0).to_numpy(), SLICE):
+                    found, counts = grams(texts[a:b].to_pylist(), order)
+                    codes, level = pd.factorize(found)
+                    coded.append((a, b, counts, codes.astype(np.int32), level))
+                keys, top = _closure([c[4] for c in coded], order)
                 shard = _shard_of(keys, shards)
                 logp, weight = np.full(len(keys), np.nan, dtype=np.float32), np.full(len(keys), np.nan, dtype=np.float32)
                 for reply in (replies if replies.is_valid else []):
@@ -409,11 +429,10 @@ def score(docs: DataFrame, model: DataFrame, order: int = ORDER, text: str = "te
                     out = np.frombuffer(pa.decompress(reply["reply"].as_buffer(), 4 * n, codec="zstd"), dtype=np.float16)
                     own = np.flatnonzero(shard == reply["shard"].as_py())
                     logp[own], weight[own] = out[:n], out[n:]
-                for a, b in bounds:
-                    ends_, counts = grams(stored.column(place)[a:b].to_pylist(), order)
-                    codes, level = pd.factorize(ends_)
-                    value = _log_probabilities(level, keys, logp, weight, base[f], order)
-                    total = np.bincount(np.repeat(np.arange(b - a), counts), weights=value[codes], minlength=b - a)
+                value = _log_probabilities(top, keys, logp, weight, base[f], order)
+                for a, b, counts, codes, level in coded:
+                    own = value[np.searchsorted(top, level)]
+                    total = np.bincount(np.repeat(np.arange(b - a), counts), weights=own[codes], minlength=b - a)
                     with np.errstate(invalid="ignore", divide="ignore"):
                         mean = -total / counts
                     for part in stored.slice(a, b - a).select(given).combine_chunks().to_batches():
