@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from fathomline.operators.counts import count_by, top_k
@@ -13,10 +15,14 @@ from fathomline.operators.filters import null_counts
 from fathomline.operators.ordering import with_row_index
 from fathomline.plans.catalog.registry import query, table
 from fathomline.plans.flow import Flow
-from fathomline.session import fresh_path, spread
+from fathomline.plans.resumable import ResumableFlow, Step
+from fathomline.session import fresh_path, materialize, spread
+from fathomline.sinks.batches import append_batch, load_batches, stage_batch
+from fathomline.sinks.single import Folder
 from fathomline.sinks.tables import (
     load_table, store_table, write_csv, write_documents, write_parquet, write_ranked_csv, write_sorted_text,
 )
+from fathomline.sources.archives import read_zip_members
 from fathomline.sources.filings import explode_zip, read_documents, read_filing_index
 from fathomline.sources.market import explode_forecast, explode_quotes
 from fathomline.sources.relations import read_adjacency, read_item_names, read_ratings
@@ -180,6 +186,33 @@ def archive_members(spark, folder):
     return explode_zip(archives).select("name", F.length("text").cast("long").alias("size"))
 
 
+@query("""
+select doc_id || '.txt' as name, length(text) as size from documents
+union all select doc_id || '.lang', length(lang) from documents
+""")
+def archive_member_ranges(spark, folder):
+    """All documents in one archive per partition, each archive landed as a file and read by ranges of members."""
+    base = fresh_path(spark, "archives")
+    place = Folder(spark, base)
+    address = place.path(base).makeQualified(place.system.getUri(), place.system.getWorkingDirectory()).toUri().toString()
+
+    def pack(batches):
+        system, path = fs.FileSystem.from_uri(address)
+        system.create_dir(path)
+        with system.open_output_stream(f"{path}/{uuid.uuid4().hex}.zip") as file:
+            with zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive:
+                for batch in batches:
+                    for doc_id, text, lang in zip(batch["doc_id"], batch["text"], batch["lang"], strict=True):
+                        archive.writestr(f"{doc_id}.txt", text)
+                        archive.writestr(f"{doc_id}.lang", lang)
+        yield pd.DataFrame({"path": [path]})
+
+    documents = spread(table(spark, folder, "documents").select("doc_id", "text", "lang"))
+    materialize(documents.mapInPandas(pack, "path string"), "packed")
+    members = read_zip_members(spark, f"{base}/*.zip", range_bytes=1 << 20)
+    return members.select("name", F.length("text").cast("long").alias("size"))
+
+
 @query("""
 select l_suppkey as src, count(*) as degree, count(distinct d) as neighbours from (
   select l_suppkey, l_partkey as d from lineitem union all select l_suppkey, l_orderkey from lineitem)
@@ -253,6 +286,59 @@ def appended_table(spark, folder):
     )
 
 
+@query("""
+select o_orderstatus as status, count(*) as n, round(sum(o_totalprice), 1) as total from orders group by o_orderstatus
+""")
+def repeated_appends(spark, folder):
+    """Batches by order status: each is staged by a run that dies, then appended, then appended once more."""
+    path = fresh_path(spark, "batches")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    for status in ("F", "O", "P"):
+        batch = orders.filter(F.col("o_orderstatus") == status)
+        stage_batch(batch, path)
+        append_batch(batch, path, status)
+        append_batch(batch, path, status)
+    return load_batches(spark, path).groupBy(F.col("o_orderstatus").alias("status")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 1).alias("total")
+    )
+
+
+@query("""
+select c_mktsegment as segment, count(*) as orders, round(sum(o_totalprice), 1) as total
+from orders join customer on c_custkey = o_custkey where o_orderstatus <> 'P' group by c_mktsegment
+""")
+def resumed_flow(spark, folder):
+    """A flow of three steps whose last one fails at first; the second run goes on from the stored steps."""
+    state = {"ready": False}
+
+    def totals(df):
+        if not state["ready"]:
+            raise RuntimeError("the last step is not ready")
+        return df.groupBy(F.col("c_mktsegment").alias("segment")).agg(
+            F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 1).alias("total")
+        )
+
+    customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    flow = ResumableFlow(
+        lambda session: table(session, folder, "orders"),
+        [f"{folder}/orders.parquet", f"{folder}/customer.parquet"],
+        [
+            Step("shipped", lambda df: df.filter("o_orderstatus <> 'P'").select("o_custkey", "o_totalprice")),
+            Step("segments", lambda df: df.join(customers, "o_custkey")),
+            Step("totals", totals),
+        ],
+        fresh_path(spark, "flow"),
+    )
+    try:
+        flow.run(spark)
+    except RuntimeError:
+        state["ready"] = True
+    result = flow.run(spark)
+    if [(o.name, o.reused) for o in flow.outcomes] != [("segments", True), ("totals", False)]:
+        raise AssertionError(f"steps were not read back: {flow.outcomes}")
+    return result
+
+
 @query("select n_name || chr(9) || n_nationkey || chr(9) || n_regionkey as value from nation")
 def sorted_text_sink(spark, folder):
     path = fresh_path(spark, "sorted")
