@@ -29,8 +29,7 @@ _BATCH = 8_000_000  # characters handed to Spark at once
 _HEADERS = 100  # what a member costs besides its content
 _CHUNK = 1 << 20
 
-# Bytes of an empty archive, length and mark of a member's header, and the bit that says it is encrypted.
-_LEAST = 22
+# Length and mark of a member's header, and the bit that says it is encrypted.
 _HEADER_LENGTH = 30
 _HEADER_MARK = b"PK\x03\x04"
 _ENCRYPTED = 1
@@ -64,13 +63,10 @@ def _open(address: str) -> BinaryIO:
 def _directory(address: str) -> list[Member]:
     """Members in the order in which they lie; a file that is no archive has none."""
     try:
-        with _open(address) as file:
-            if file.size() < _LEAST:
-                return []
-            archive = zipfile.ZipFile(file)
+        with _open(address) as file, zipfile.ZipFile(file) as archive:
             found = [Member(i.filename, i.header_offset, i.compress_size, i.compress_type, i.flag_bits, i.CRC)
                      for i in archive.infolist() if not i.is_dir()]
-    except (zipfile.BadZipFile, FileNotFoundError):
+    except (zipfile.BadZipFile, FileNotFoundError, pa.ArrowInvalid):  # the last: sought before the start of a tiny file
         return []
     return sorted(found, key=lambda member: member.start)
 
