@@ -14,6 +14,7 @@ from fathomline.learning.models import (
     describe_model, feature_importances, fit_held, learner, raw_scores, recommend, score, train_als, train_forest,
     train_logistic, train_svm, train_tree, train_tree_regressor,
 )
+from fathomline.learning.retrieval import top_products
 from fathomline.learning.sweeps import prefix_confusions, sweep_trees
 from fathomline.learning.tuning import (
     DEPTH_GRID, FOREST_GRID, TREE_GRID, accuracy_evaluator, grid_of, sweep, tune_cv, tune_forest, tune_logistic_recall,
@@ -193,6 +194,27 @@ def recommendations(spark, folder):
     return recommend(model, rows.select("user").distinct(), names, 10)
 
 
+@query("""
+with u as (select c_custkey as user, c_nationkey - 12 as a, floor(c_acctbal / 500)::bigint as b, length(c_mktsegment) - 8 as c
+           from customer),
+i as (select p_partkey as item, p_size - 10 as a, floor(p_retailprice / 100)::bigint as b, length(p_name) - 9 as c from part),
+s as (select user, item, (u.a * i.a + u.b * i.b + u.c * i.c)::double as score from u cross join i),
+r as (select *, row_number() over (partition by user order by score desc, item)::integer as rank from s)
+select user, item, score, rank from r where rank <= 10
+""")
+def largest_products(spark, folder):
+    """Ten parts of largest inner product for every customer, on factors of whole numbers, so that ties are exact."""
+
+    def factors(*columns):
+        return F.array(*[c.cast("double") for c in columns]).alias("factors")
+
+    users = table(spark, folder, "customer").select(F.col("c_custkey").alias("user"), factors(
+        F.col("c_nationkey") - 12, F.floor(F.col("c_acctbal") / 500), F.length("c_mktsegment") - 8))
+    items = table(spark, folder, "part").select(F.col("p_partkey").alias("item"), factors(
+        F.col("p_size") - 10, F.floor(F.col("p_retailprice") / 100), F.length("p_name") - 9))
+    return top_products(users, items, 10).drop("scored")
+
+
 @query()
 def tuned_split(spark, folder):
     train, test = _parts(spark, folder)
