@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from fathomline.functions.filings import TRANSACTION_CODES, parse_holdings
 from fathomline.operators.counts import pivot_codes
 from fathomline.plans.catalog.registry import query, table
 from fathomline.plans.reports import holdings_report, ownership_report
-from fathomline.session import spread
+from fathomline.session import fresh_path, spread
+from fathomline.sources.filings import read_holding_ids
 from fathomline.streaming.filings import ownership_rows
 
 
@@ -41,6 +43,28 @@ def holdings_lists(spark, folder):
     return parsed.groupBy("ids").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("""
+select 'P' || l_partkey as id from lineitem union select 'S' || l_suppkey from lineitem
+""")
+def large_filing_holdings(spark, folder):
+    """One filing per partition of the order lines, each after a block to be skipped, read by splits and by tags."""
+    path = fresh_path(spark, "filings")
+    head = ["<SEC-DOCUMENT>", "<XML>", '<?xml version="1.0"?>', "<cover><cusip>NONE</cusip></cover>", "</XML>",
+            "<XML>", '<?xml version="1.0"?>', '<ns1:informationTable xmlns:ns1="urn:x">']
+    tail = ["</ns1:informationTable>", "</XML>", "</SEC-DOCUMENT>"]
+
+    def framed(batches):
+        yield pd.DataFrame({"value": head})
+        yield from batches
+        yield pd.DataFrame({"value": tail})
+
+    entry = "<ns1:infoTable><ns1:cusip>p%s</ns1:cusip></ns1:infoTable><ns1:infoTable><ns1:cusip> s%s </ns1:cusip></ns1:infoTable>"
+    lines = spread(table(spark, folder, "lineitem").select("l_partkey", "l_suppkey"))
+    value = F.format_string(entry, F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
+    lines.select(value.alias("value")).mapInPandas(framed, "value string").write.text(path)
+    return read_holding_ids(spark, path).select("id").distinct()
+
+
 def ownership_content():
     """A filing per order line with one code in each of its two transaction tables."""
     coded = "<transactionCoding><transactionCode>%s</transactionCode></transactionCoding>"

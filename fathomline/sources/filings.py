@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fathomline.session import materialize
 from fathomline.sources.tables import expand_paths
 
 # The fields of an index line and the text that marks its header line.
@@ -89,3 +90,27 @@ def explode_zip(
             yield pd.DataFrame(held, columns=["name", "text"])
 
     return archives.select(content).mapInPandas(unpack, "name string, text string")
+
+
+def read_holding_ids(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``(path, id)``: the distinct upper-cased security ids of the last XML block of every filing below a path.
+
+    For filings of any size: a file is read by splits, one row per tag, of which only block marks and ids stay. The
+    ids are those that ``parse_holdings`` joins, but the block is not parsed, so a document that is not sound gives its
+    ids too, and an id that a tag other than a closing one ends counts. A filing without a closed XML block gives no rows.
+    """
+    tag = F.col("value")
+    kind = F.when(tag.startswith("?xml"), "open").when(tag.startswith("/XML"), "close").when(
+        F.regexp_like(tag, F.lit(r"^(?:[\w.-]+:)?cusip(?:\s[^>]*)?>")), "id")
+    place = F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"))
+    tags = spark.read.option("lineSep", "<").text(path).select(
+        F.col("_metadata.file_path").alias("path"), place.alias("place"), kind.alias("kind"),
+        F.when(kind == "id", F.upper(F.trim(F.substring_index(tag, ">", -1)))).alias("id"),
+    )
+    marks = materialize(tags.filter("kind is not null"), "holding-marks")
+    last = marks.filter("kind <> 'id'").groupBy("path").agg(
+        F.max(F.when(F.col("kind") == "open", F.col("place"))).alias("opened"),
+        F.max(F.when(F.col("kind") == "close", F.col("place"))).alias("closed"),
+    )
+    inside = marks.filter("kind = 'id' and id <> ''").join(last, "path").filter("place > opened and place < closed")
+    return inside.select("path", "id").distinct()
