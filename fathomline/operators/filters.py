@@ -41,6 +41,17 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     return df.sample(False, fraction, seed)
 
 
+def sample_by_keys(df: DataFrame, keys: Sequence[str], fraction: float, seed: int) -> DataFrame:
+    """Bernoulli sample drawn by a digest of the keys and the seed, one row or all rows of equal keys.
+
+    The sample depends neither on partitions nor on a repeated task, tables sampled by the same keys agree, and any
+    engine with MD5 can draw it again. A row with a null key is drawn as if the key were empty.
+    """
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("")) for k in keys])
+    drawn = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
+    return df.filter(drawn < int(round(fraction * (1 << 48))))
+
+
 def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
     """Disjoint random parts with the given weights, drawn by a hash of the row and the seed.
 

@@ -12,7 +12,7 @@ from fathomline.operators.counts import (
     sum_by, top_filers, top_k,
 )
 from fathomline.operators.filters import (
-    count_containing, filter_above, filter_lines, null_counts, random_split, sample_fraction,
+    count_containing, filter_above, filter_lines, null_counts, random_split, sample_by_keys, sample_fraction,
 )
 from fathomline.operators.quantiles import median_by, median_of, upper_median
 from fathomline.plans.catalog.registry import query, table
@@ -203,6 +203,14 @@ def sampled_events(spark, folder):
     return sample_fraction(table(spark, folder, "events").select("event_id", "event_type"), 0.1, 42)
 
 
+@query("""
+select event_id, event_type from events
+where ('0x' || substr(md5('42:' || event_id), 1, 12))::ubigint < round(0.1 * 281474976710656)::ubigint
+""")
+def events_sampled_by_id(spark, folder):
+    return sample_by_keys(table(spark, folder, "events").select("event_id", "event_type"), ["event_id"], 0.1, 42)
+
+
 @query("select count(*) as n from lineitem")
 def split_covers_all(spark, folder):
     """Rows of both random parts together."""

@@ -222,3 +222,14 @@ def test_series_by_date_keeps_dates_that_all_series_have(spark, rows):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("Scan") == 1
     assert rows(out) == [("d1", 3.0, None), ("d3", 5.0, 4.0)]
+
+
+def test_sample_by_keys_does_not_depend_on_partitions(spark, rows):
+    df = spark.range(20_000).select("id", (F.col("id") % 500).alias("key"))
+    a = filters.sample_by_keys(df, ["key"], 0.2, 7)
+    assert rows(a) == rows(filters.sample_by_keys(df.repartition(13), ["key"], 0.2, 7))
+    assert all(n == 40 for (n,) in a.groupBy("key").count().select("count").collect())  # equal keys stay together
+    assert 60 < a.select("key").distinct().count() < 140
+    assert filters.sample_by_keys(df, ["id"], 0.0, 7).isEmpty() and filters.sample_by_keys(df, ["id"], 1.0, 7).count() == 20_000
+    nulls = spark.createDataFrame([(None, 1), (None, 2)], "key long, n long")
+    assert filters.sample_by_keys(nulls, ["key"], 0.5, 7).count() in (0, 2)
