@@ -72,7 +72,7 @@ def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = packed(docs, measures, text=text)
     body = F.coalesce(F.col("text"), F.lit(""))
     stops = sorted({w for words in STOP_WORDS.values() for w in words.split()})
-    stop_pattern = r"(?i)(?<![^\x20\x09-\x0D])(?:" + "|".join(stops) + r")(?![^\x20\x09-\x0D])"
+    stop_pattern = r"(?<![^\x20\x09-\x0D])(?:" + "|".join(stops) + r")(?![^\x20\x09-\x0D])"
     rows = rows.withColumn("_words", F.filter(F.split(body, SPACE), lambda w: w != ""))
     rows = rows.withColumn("_lines", F.filter(F.split(body, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
     rows = rows.withColumn("n_words", F.size("_words").cast("long"))
@@ -101,7 +101,7 @@ def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_symbols": F.length(F.regexp_replace(body, r"[^#*$%&|<>]+", "")).cast("long"),
         "n_dup_lines": (n_lines - F.size(F.array_distinct(lines))).cast("long"),
         "n_repeat_words": covered.cast("long"),
-        "stop_word_ratio": _ratio(F.regexp_count(body, F.lit(stop_pattern)), n_words),
+        "stop_word_ratio": _ratio(F.regexp_count(F.lower(body), F.lit(stop_pattern)), n_words),
         "ellipsis_line_ratio": _ratio(F.size(F.filter(lines, lambda x: x.rlike(r"(\.\.\.|…)\s*$"))), n_lines),
     })
     rows = rows.withColumns({

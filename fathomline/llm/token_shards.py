@@ -10,6 +10,7 @@
 4. Sequences go to the task of their slot range, which writes whole shards of ``per_shard`` slots. Slot ``s`` starts
    at byte ``(s % per_shard) * length * 2`` of shard ``s // per_shard``, so training reads on from any slot. A shard is
    written under a name of its own attempt and then renamed, so a repeated task replaces it by the same bytes.
+   A folder without a scheme lies in Spark's default file system, never on an executor's own disk.
 
 Ids are unsigned 16-bit little-endian. Defined results: a null or empty text is its end token alone. Repeated rows and
 ids are written one by one, null ids are listed as null. An empty table writes no shard and gives no rows.
@@ -157,8 +158,26 @@ def sequences(docs: DataFrame, vocabulary: str, codes: np.ndarray, length: int =
     return rows.mapInArrow(work, "task int, number long, n_tokens int, doc_ids array<long>, tokens binary")
 
 
+def resolved(spark: SparkSession, folder: str) -> str:
+    """The URI of a folder in the file system that Spark takes it to lie in, which for a plain path is the default one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return path.makeQualified(system.getUri(), system.getWorkingDirectory()).toUri().toString()
+
+
+def _publish(system: fs.FileSystem, name: str, target: str) -> None:
+    """Rename an attempt's file to its shard. Where a rename doesn't replace, an earlier attempt's shard is deleted first."""
+    try:
+        system.move(name, target)
+    except OSError:
+        if system.get_file_info(target).type != fs.FileType.File:
+            raise
+        system.delete_file(target)
+        system.move(name, target)
+
+
 def _open(folder: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a folder named by URI or by a plain path."""
+    """File system and path of a folder named by URI or, outside of Spark jobs, by a local path."""
     return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
 
 
@@ -174,6 +193,7 @@ def write_shards(cut: DataFrame, folder: str, codes: np.ndarray, length: int = L
     shards are complete when it has been computed.
     """
     spark = cut.sparkSession
+    folder = resolved(spark, folder)
     per_task = cut.groupBy("task").agg((F.max("number") + 1).alias("n"))
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     bases = materialize(per_task.select("task", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases")
@@ -203,7 +223,7 @@ def write_shards(cut: DataFrame, folder: str, codes: np.ndarray, length: int = L
         def close():
             if stream is not None:
                 stream.close()
-                system.move(name, shard_path(root, at))
+                _publish(system, name, shard_path(root, at))
 
         for batch in batches:
             slots, payload = batch.column(0).to_pylist(), batch.column(3)

@@ -46,3 +46,9 @@ def test_repeats_and_thresholds(spark):
         assert tuple(r[c] for c in COLUMNS[:5]) == n[:5]
         assert r.kept == (n[0] >= 3 and n[2] / n[0] <= 1)
         assert r.broken_rules == [m for m, bad in (("n_words", n[0] < 3), ("symbol_ratio", n[2] / n[0] > 1)) if bad]
+
+
+def test_stop_words_in_any_case(spark):
+    docs = spark.createDataFrame([(0, "FÜR alle drei Bäume"), (1, "für alle drei Bäume"), (2, "furs")], "doc_id long, text string")
+    found = {r.doc_id: r.stop_word_ratio for r in judge(docs).collect()}
+    assert found[0] == found[1] > 0 and found[2] == 0

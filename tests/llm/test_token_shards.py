@@ -41,3 +41,27 @@ def test_odd_rows(spark, tmp_path):
     assert set(ids) == {r[0] for r in helpers.odd_rows()}
     none = shards.materialise_training_order(helpers.empty(spark), shards.byte_vocabulary(), str(tmp_path / "none"))
     assert none.count() == 0 and list(shards.read_slots(str(tmp_path / "none"), 0, 5)) == []
+
+
+def test_folders_are_resolved_as_spark_does(spark, tmp_path):
+    folder = shards.resolved(spark, str(tmp_path / "a b"))
+    assert folder.startswith("file:/") and shards._open(folder)[1] == str(tmp_path / "a b")
+
+
+def test_repeated_attempt_where_renames_do_not_replace(tmp_path):
+    class Strict:
+        local = shards.fs.LocalFileSystem()
+        get_file_info, delete_file = local.get_file_info, local.delete_file
+
+        def move(self, name, target):
+            if self.get_file_info(target).type != shards.fs.FileType.NotFound:
+                raise OSError("exists")
+            self.local.move(name, target)
+
+    target = tmp_path / "shard"
+    for body in (b"first", b"again"):
+        (tmp_path / "attempt").write_bytes(body)
+        shards._publish(Strict(), str(tmp_path / "attempt"), str(target))
+        assert target.read_bytes() == body and not (tmp_path / "attempt").exists()
+    with pytest.raises(OSError):
+        shards._publish(Strict(), str(tmp_path / "missing"), str(tmp_path / "none"))
