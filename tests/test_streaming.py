@@ -1,6 +1,7 @@
 import random
 from datetime import datetime, timedelta, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from fathomline.functions.text import parse_access_log, request_url
@@ -144,6 +145,29 @@ def test_streamed_sliding_sums_equal_batch(spark, tmp_path):
     assert left.count() == 0  # all slides but the last one, which is not closed, have left the state
 
 
+@pytest.fixture
+def default_store(spark):
+    """Spark's own state store, as in a session that the library did not build."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_streamed_sliding_sums_in_a_session_with_the_default_store(spark, tmp_path, default_store):
+    batches = [[(at(0), "a"), (at(1), "b"), (at(2), "a")], [(at(500), "a")]]
+    got = run(spark, sliding_counts(feed(spark, str(tmp_path / "in"), batches), "ts", "key", "10 seconds", "10 seconds", "30 seconds"), tmp_path)
+    assert sorted((r.key, r.n) for r in got.collect()) == [("a", 2), ("b", 1)]
+
+
+def test_living_counts_in_a_session_with_the_default_store(spark, tmp_path, default_store):
+    batches = [[(at(0), "a"), (at(1), "a")], [(at(500), "b")]]
+    seeds = spark.createDataFrame([("a", 5)], "key string, n long")
+    counts = living_counts(feed(spark, str(tmp_path / "in"), batches), "ts", "key", 60_000_000, 10_000_000, "0 seconds", seeds)
+    assert [(r.key, r.n) for r in run(spark, counts, tmp_path).collect()] == [("a", 7)]
+
+
 def test_living_counts_start_from_seeds_expire_and_go_on_after_a_restart(spark, tmp_path):
     source, slide, life = str(tmp_path / "in"), 10_000_000, 60_000_000
     seeds = spark.createDataFrame([("a", 5), ("never", 7)], "key string, n long")
