@@ -22,18 +22,25 @@ MAX_TOP = 100_000
 MAX_BROADCAST_ROWS = 100_000
 
 _CHUNK = "__chunk"
+_ROW = "__row"
 
 
 def cut_series(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, max_rows: int) -> tuple[DataFrame, int]:
-    """Add a chunk number that grows with ``order`` within each key, stored; also the number of chunks.
+    """Add a row number and a chunk number that grow with ``order`` within each key, stored; also the most chunks there are.
 
     The cut is a range sort on the keys and all order columns, so columns of every orderable type are cut as a window
     sorts them: nulls first, ties of one column by the next. It is written once, so that later steps read the same
-    chunks, and what ``df`` is computed from runs once.
+    chunks, and what ``df`` is computed from runs once. A range holds as many chunks of at most ``max_rows`` rows as it
+    needs, so a low limit makes more chunks, not more tasks than the session has partitions.
     """
     pieces = max(2, 2 * math.ceil(rows / max_rows))
-    placed = df.repartitionByRange(pieces, *[F.col(c).asc_nulls_first() for c in [*keys, *order]])
-    return materialize(placed.withColumn(_CHUNK, F.spark_partition_id()), "series"), pieces
+    wanted = max(2, 2 * math.ceil(rows / MAX_ROWS_PER_TASK))
+    tasks = min(pieces, max(wanted, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    by = [F.col(c).asc_nulls_first() for c in [*keys, *order]]
+    placed = df.repartitionByRange(tasks, *by).sortWithinPartitions(*by).withColumn(_ROW, F.monotonically_increasing_id())
+    inside = F.col(_ROW).bitwiseAND(F.lit((1 << 33) - 1))  # of its range
+    chunk = F.col(_ROW) - inside + F.floor(inside / max_rows)
+    return materialize(placed, "series").withColumn(_CHUNK, chunk), tasks + math.ceil(rows / max_rows)
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
@@ -92,15 +99,14 @@ def with_neighbours(
     flagged = _small(heavy.select(*keys, F.lit(True).alias("__heavy")), found["keys"])
     marked = join_keys(df, flagged, keys, "left").fillna({"__heavy": False})
     cut, pieces = cut_series(marked.filter("__heavy"), keys, order, found["rows"], max_rows_per_task)
-    light = marked.filter(~F.col("__heavy")).withColumn(_CHUNK, F.lit(-1))
+    light = marked.filter(~F.col("__heavy")).withColumns({_ROW: F.lit(0).cast("long"), _CHUNK: F.lit(-1).cast("long")})
     chunked = cut.unionByName(light)
 
-    rank = F.struct(*order)
     parts = (
         cut.groupBy(*keys, _CHUNK)
         .agg(
-            F.min_by(row, rank).alias("__first"),
-            F.max_by(row, rank).alias("__last"),
+            F.min_by(row, _ROW).alias("__first"),
+            F.max_by(row, _ROW).alias("__last"),
             F.count(F.lit(1)).alias("__n"),
             F.sum(measure).alias("__sum"),
             F.count(measure).alias("__filled"),
@@ -118,7 +124,7 @@ def with_neighbours(
     )
 
     piece = Window.partitionBy(*keys, _CHUNK)
-    inside = piece.orderBy(*order)
+    inside = piece.orderBy(_ROW, *order)
     local = chunked.withColumns({
         "__prev": F.lag(row).over(inside),
         "__next": F.lead(row).over(inside),

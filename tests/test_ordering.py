@@ -81,6 +81,23 @@ def test_common_order_values_are_split_too(spark, limit):
     assert max(sizes) <= 300 and len(sizes) <= pieces
 
 
+def test_a_low_limit_makes_chunks_not_tasks(spark, rows):
+    df = spark.range(6_000).selectExpr("'hot' as symbol", "id * 7919 % 6000 as id")
+    cut, pieces = cut_series(df, ["symbol"], ["id"], 6_000, 5)
+    assert len(cut.inputFiles()) <= 8  # the session's partitions
+    sizes = [r["count"] for r in cut.groupBy("__chunk").count().collect()]
+    assert max(sizes) <= 5 and 1_200 <= len(sizes) <= pieces
+    got = with_neighbours(df, ["symbol"], ["id"], ["id"], "prev", "next", "pos", max_rows_per_task=5)
+    assert rows(got.filter("pos <> id or ifnull(prev.id, -1) <> id - 1 or ifnull(next.id, 6000) <> id + 1")) == []
+
+
+def test_equal_rows_keep_one_order_over_a_cut(spark):
+    df = spark.range(400).selectExpr("'hot' as symbol", "0 as day", "id")
+    got = with_neighbours(df, ["symbol"], ["day"], ["id"], "prev", "next", max_rows_per_task=7).collect()
+    following = {r.id: r.next.id for r in got if r.next}
+    assert {r.prev.id: r.id for r in got if r.prev} == following and len(following) == 399
+
+
 @pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "double", "string", "ntz_far", "odd_double"])
 def test_splitting_works_for_every_order_type(skewed, kind):
     typed = {
