@@ -13,6 +13,8 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fathomline.learning.retrieval import recommend_all
+
 
 def _settings(label: str, features: str, given: dict, **defaults) -> dict:
     return {"labelCol": label, "featuresCol": features, **defaults, **given}
@@ -109,9 +111,8 @@ def train_als(ratings: DataFrame, rank: int = 10, iterations: int = 6, reg: floa
 
 def recommend(model: ALSModel, users: DataFrame, names: DataFrame | None = None, k: int = 10) -> DataFrame:
     """``(user, item, score[, name])``: the best ``k`` items of each given user."""
-    best = model.recommendForUserSubset(users.select("user"), k)
-    rows = best.select("user", F.explode("recommendations").alias("r"))
-    rows = rows.select("user", "r.item", F.col("r.rating").alias("score"))
+    best = recommend_all(model, users, k)
+    rows = best.select(F.col("user").cast("int"), F.col("item").cast("int"), F.col("score").cast("float"))
     return rows if names is None else rows.join(names.select("item", "name"), "item", "left")
 
 

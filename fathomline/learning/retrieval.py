@@ -1,7 +1,10 @@
 """Exact largest inner products of every user with all items, without scoring every pair.
 
-Items are taken in order of falling norm. A product is at most the user's norm times the item's, so a user is done as
-soon as that bound for the next block lies below the worst of the best ``k`` so far. Most users see the first blocks only.
+Items are taken in order of falling norm, in tiers that are cut into blocks of neighbours. A product is at most the user's
+norm times the item's, and at most that of the best corner of the block's box, so a user passes over every block whose bound
+lies below the worst of the best ``k`` so far. Of items with equal factors only the ``k`` smallest ids can be among the
+best, so the others are left out first. The bounds spare most products where factors are few or norms differ; in
+the worst case every pair is scored, still without a row or a shuffle for any of them.
 
 Items reach the tasks in slices of at most ``slice_bytes``, one slice a round; users that are done leave after a round.
 A catalogue of a million items with ten factors is one slice. No user is shuffled and no pair is ever a row.
@@ -14,8 +17,9 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fathomline.operators.ordering import with_row_index
@@ -23,7 +27,8 @@ from fathomline.session import materialize, spread
 
 SLICE_BYTES = 96 << 20
 _BLOCK = 512  # items scored at once
-_USERS = 2048  # users scored at once
+_USERS = 8192  # users taken at once
+_GROUP = 256  # users scored at once
 _SLACK = 1e-9  # of the bound, for rounding of norms and products
 
 _STATE = "user long, factors array<double>, ids array<long>, scores array<double>, scored long, done boolean"
@@ -37,27 +42,90 @@ def _products(users: np.ndarray, items: np.ndarray) -> np.ndarray:
     return out
 
 
+def _neighbours(factors: np.ndarray, size: int) -> list[np.ndarray]:
+    """Places of all rows in groups of at most ``size`` neighbours: halved along the widest factor until they fit."""
+    waiting, parts = [np.arange(len(factors))], []
+    while waiting:
+        part = waiting.pop()
+        if len(part) <= size:
+            parts.append(part)
+            continue
+        values = factors[part]
+        widest = values[:, (values.max(0) - values.min(0)).argmax()]
+        half = -(-len(part) // (2 * size)) * size
+        order = np.argpartition(widest, half - 1)
+        waiting += [part[order[half:]], part[order[:half]]]
+    return parts
+
+
+def _in_blocks(ids: np.ndarray, norms: np.ndarray, factors: np.ndarray) -> dict:
+    """A slice of items in order of falling norm, as blocks of neighbours with their boxes and largest norms.
+
+    Tiers of the norm double in size, so the few largest items come by themselves; a tier is cut into blocks.
+    """
+    blocks, low = [], 0
+    while low < len(ids):
+        high = min(len(ids), max(_BLOCK, 2 * low))
+        blocks += [low + part for part in _neighbours(factors[low:high], _BLOCK)]
+        low = high
+    width = factors.shape[1]
+    return {
+        "ids": ids, "factors": factors, "blocks": blocks, "norms": np.array([norms[b].max() for b in blocks]),
+        "low": np.array([factors[b].min(0) for b in blocks]).reshape(-1, width),
+        "high": np.array([factors[b].max(0) for b in blocks]).reshape(-1, width),
+    }
+
+
 def _scan(users: np.ndarray, ids: np.ndarray, scores: np.ndarray, items: dict, k: int):
-    """The best ``k`` of each user after one slice; absent places hold an id of -1 and a score of minus infinity."""
-    norms = np.sqrt((users * users).sum(1))
+    """The best ``k`` of each user after one slice; absent places hold an id of -1 and a score of minus infinity.
+
+    No item of a block has a larger product than the corner of its box that suits the user best, nor than the product
+    of the norms. Groups of users alike take blocks in the order of that bound, until it lies below all their worst places.
+    """
     scored = np.zeros(len(users), dtype=np.int64)
-    active = np.arange(len(users))
-    for start in range(0, len(items["ids"]), _BLOCK):
-        bound = norms[active] * items["norms"][start] * (1 + _SLACK)
-        active = active[bound >= scores[active, -1]]
-        if not len(active):
-            break
-        block = slice(start, start + _BLOCK)
-        found = _products(users[active], items["factors"][block])
-        scored[active] += found.shape[1]
-        all_scores = np.hstack([scores[active], found])
-        all_ids = np.hstack([ids[active], np.broadcast_to(items["ids"][block], found.shape)])
-        order = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
-        scores[active] = np.take_along_axis(all_scores, order, 1)
-        ids[active] = np.take_along_axis(all_ids, order, 1)
+    norms = np.sqrt((users * users).sum(1))
+    for group in _neighbours(users, _GROUP) if len(users) and items["blocks"] else []:
+        known, best_ids, best = users[group], ids[group], scores[group]
+        slack = _SLACK * norms[group, None] * items["norms"]
+        corner = np.maximum(known, 0) @ items["high"].T + np.minimum(known, 0) @ items["low"].T
+        size = np.abs(known) @ np.maximum(np.abs(items["high"]), np.abs(items["low"])).T
+        bounds = np.minimum(corner + _SLACK * size, norms[group, None] * items["norms"] + slack)
+        most = bounds.max(axis=0)
+        for at in np.argsort(-most, kind="stable"):
+            if most[at] < best[:, -1].min():
+                break
+            active = np.flatnonzero(bounds[:, at] >= best[:, -1])
+            if not len(active):
+                continue
+            block = items["blocks"][at]
+            values = items["factors"][block]
+            scored[group[active]] += len(block)
+            # The plain product finds the users that gain; an equal score may have a smaller id.
+            near = (known[active] @ values.T).max(axis=1) + slack[active, at] >= best[active, -1]
+            active = active[near]
+            found = _products(known[active], values)
+            gains = np.nonzero(found >= best[active, -1:])
+            row = np.concatenate([np.repeat(np.arange(len(active)), k), gains[0]])
+            value = np.concatenate([best[active].ravel(), found[gains]])
+            item = np.concatenate([best_ids[active].ravel(), items["ids"][block][gains[1]]])
+            order = np.lexsort((item, -value, row))  # every row has k places at least
+            first = np.searchsorted(row[order], np.arange(len(active)))
+            kept = order[(first[:, None] + np.arange(k)).ravel()]
+            best[active] = value[kept].reshape(-1, k)
+            best_ids[active] = item[kept].reshape(-1, k)
+        ids[group], scores[group] = best_ids, best
     return ids, scores, scored
 
 
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Factors as the rows of a matrix, without a Python object for any of them."""
+    lists = column.combine_chunks()
+    widths = pc.unique(pc.list_value_length(lists)).to_pylist()
+    if len(widths) > 1:
+        raise ValueError(f"factors of items differ in number: {sorted(widths)}")
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), widths[0] if widths else 0)
+
+
 def _round(batches: Iterator[pa.RecordBatch], shared, k: int, following: float | None) -> Iterator[pa.RecordBatch]:
     items = shared.value
     width = items["factors"].shape[1]
@@ -102,6 +170,8 @@ def top_products(users: DataFrame, items: DataFrame, k: int = 10, slice_bytes: i
     norm = F.sqrt(F.aggregate(factors, F.lit(0.0), lambda total, x: total + x * x))
     known = items.filter("item is not null and factors is not null")
     known = known.select(F.col("item").cast("long").alias("item"), factors.alias("factors"), norm.alias("norm"))
+    alike = Window.partitionBy("factors").orderBy("item")
+    known = known.withColumn("copy", F.row_number().over(alike)).filter(F.col("copy") <= k).drop("copy")
     stored = materialize(with_row_index(known, [F.desc("norm"), "item"], "place"), "items-by-norm")
     first = stored.filter("place = 0").first()
     asked = users.filter("user is not null and factors is not null")
@@ -115,10 +185,8 @@ def top_products(users: DataFrame, items: DataFrame, k: int = 10, slice_bytes: i
         for low in range(0, stored.count(), per_slice):
             cut = stored.filter((F.col("place") >= low) & (F.col("place") < low + per_slice)).orderBy("place").toArrow()
             following = stored.filter(F.col("place") == low + per_slice).select("norm").first()
-            shared = spark.sparkContext.broadcast({
-                "ids": cut["item"].to_numpy(), "norms": cut["norm"].to_numpy(),
-                "factors": np.array(cut["factors"].to_pylist(), dtype=float).reshape(cut.num_rows, -1),
-            })
+            factors = _matrix(cut["factors"])
+            shared = spark.sparkContext.broadcast(_in_blocks(cut["item"].to_numpy(), cut["norm"].to_numpy(), factors))
             after = None if following is None else following[0]
             scored = state.mapInArrow(lambda b, s=shared, a=after: _round(b, s, k, a), _STATE)
             held = materialize(scored, "best-items")

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from fathomline.learning.models import train_als
+from fathomline.learning.models import recommend, train_als
 from fathomline.learning.retrieval import recommend_all, top_products
 
 PAIR = "{} long, factors array<double>"
@@ -45,6 +45,30 @@ def test_ties_and_signs(spark, rows):
         assert rows(top_products(*frames(spark, users, items), 5, size), "user", "item", "score", "rank") == plain(users, items, 5)
 
 
+def test_few_products_where_factors_are_few(spark, rows):
+    draw = np.random.default_rng(8)
+    users = [(i, draw.integers(-12, 13, 3).astype(float).tolist()) for i in range(90)]
+    items = [(i, v.tolist()) for i, v in enumerate(np.repeat(draw.integers(-30, 31, (1_000, 3)).astype(float), 6, axis=0))]
+    best = top_products(*frames(spark, users, items), 3)
+    assert rows(best, "user", "item", "score", "rank") == plain(users, items, 3)
+    assert best.agg({"scored": "avg"}).first()[0] < 1_700  # of 6,000
+
+
+def test_recommendations_are_the_full_product(spark):
+    draw = np.random.default_rng(2)
+    ratings = [(int(u), int(i), float(draw.integers(1, 6))) for u in range(30) for i in draw.choice(80, 12, replace=False)]
+    frame = spark.createDataFrame(ratings, "user int, item int, rating float")
+    model, asked = train_als(frame, rank=3), spark.createDataFrame([(1,), (1,), (4,), (999,)], "user int")
+    got = recommend(model, asked, None, 5)
+    assert got.dtypes == [("user", "int"), ("item", "int"), ("score", "float")]
+    assert "RecommendationsAggregator" not in got._jdf.queryExecution().toString() and "CartesianProduct" not in got._jdf.queryExecution().toString()
+    built_in = model.recommendForUserSubset(asked, 5).selectExpr("user", "inline(recommendations)").collect()
+    want = {(r.user, r.item): r.rating for r in built_in}
+    found = {(r.user, r.item): r.score for r in got.collect()}
+    assert found.keys() == want.keys() and len(want) == 10
+    assert all(found[key] == pytest.approx(want[key], rel=1e-5, abs=1e-5) for key in want)
+
+
 def test_edges(spark, rows):
     users, items = [(1, [1.0]), (None, [1.0]), (2, None)], [(7, [2.0]), (None, [9.0]), (8, None), (9, [-1.0])]
     asked, stock = frames(spark, users, items)
