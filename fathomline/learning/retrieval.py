@@ -160,7 +160,7 @@ def top_products(users: DataFrame, items: DataFrame, k: int = 10, slice_bytes: i
 
     ``users`` holds ``(user, factors)``, ``items`` ``(item, factors)``; ids are integers, factors finite and of one
     number. Equal scores are ordered by ascending item. ``scored`` is the number of items scored for the user. Rows without an
-    id or without factors are left out; repeated users are answered each, and repeated items count each. With fewer
+    id, without factors or with a missing factor are left out; repeated users are answered each, and repeated items count each. With fewer
     than ``k`` items all are returned; without users or items the result is empty.
     """
     if k < 1:
@@ -168,13 +168,14 @@ def top_products(users: DataFrame, items: DataFrame, k: int = 10, slice_bytes: i
     spark = users.sparkSession
     factors = F.col("factors").cast("array<double>")
     norm = F.sqrt(F.aggregate(factors, F.lit(0.0), lambda total, x: total + x * x))
-    known = items.filter("item is not null and factors is not null")
+    whole = F.forall(factors, lambda x: x.isNotNull() & ~F.isnan(x))  # a product with a missing factor has no place
+    known = items.filter("item is not null and factors is not null").filter(whole)
     known = known.select(F.col("item").cast("long").alias("item"), factors.alias("factors"), norm.alias("norm"))
     alike = Window.partitionBy("factors").orderBy("item")
     known = known.withColumn("copy", F.row_number().over(alike)).filter(F.col("copy") <= k).drop("copy")
     stored = materialize(with_row_index(known, [F.desc("norm"), "item"], "place"), "items-by-norm")
     first = stored.filter("place = 0").first()
-    asked = users.filter("user is not null and factors is not null")
+    asked = users.filter("user is not null and factors is not null").filter(whole)
     state = spread(asked.select(
         F.col("user").cast("long").alias("user"), factors.alias("factors"), F.array().cast("array<long>").alias("ids"),
         F.array().cast("array<double>").alias("scores"), F.lit(0).cast("long").alias("scored"), F.lit(False).alias("done"),

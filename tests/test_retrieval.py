@@ -54,6 +54,14 @@ def test_few_products_where_factors_are_few(spark, rows):
     assert best.agg({"scored": "avg"}).first()[0] < 1_700  # of 6,000
 
 
+def test_missing_factors_are_left_out(spark, rows):
+    items = [(i, [float(i % 9), float(i % 7)]) for i in range(1_500)]
+    users = [(1, [1.0, 2.0]), (2, [-1.0, 0.5]), (3, [0.0, 1.0])]
+    holes = [(5_000 + i, [None, float(i)]) for i in range(40)] + [(6_000, [float("nan"), 1.0])]
+    best = top_products(*frames(spark, [*users, (4, [None, 1.0])], [*items, *holes]), 4)
+    assert rows(best, "user", "item", "score", "rank") == plain(users, items, 4)
+
+
 def test_recommendations_are_the_full_product(spark):
     draw = np.random.default_rng(2)
     ratings = [(int(u), int(i), float(draw.integers(1, 6))) for u in range(30) for i in draw.choice(80, 12, replace=False)]
