@@ -6,11 +6,16 @@ count each on its own.
 Ratings of an item by one user are first reduced to their sum, sum of squares and number. A user with ``a`` ratings of
 one item and ``b`` of another gives that pair ``a * b`` support.
 
+Where few pairs can pass, supports are counted first and sums are taken for passing pairs alone: every item of a user is
+sent on with one list of short codes of the user's later items, so a co-rated pair costs four bytes instead of a row of
+sums. Codes may meet, which only adds pairs that the exact sums drop again. Where most pairs pass, sums of all co-rated
+pairs are reduced map-side instead.
+
 Users with very many items would dominate the pairing step. As long as the users left out of pairing give no pair more
-than the support threshold ``s`` together, no pair that passes is missed: every one of them shows up through a
-remaining user. The largest users of whom that is certain (the squares of their largest numbers of ratings of an item
-add up to ``s`` at most) are therefore left out, and their ratings are added to the surviving pairs through a small
-vector per item. Other large users are cut into blocks of items, and each pair of blocks is paired by itself.
+than a part of the support threshold together, no pair that passes is missed: every one of them shows up through the
+remaining users. The largest users of whom that is certain (the squares of their largest numbers of ratings of an item
+add up to that part at most) are therefore left out, and their ratings are added to the surviving pairs alone. Other large
+users are cut into blocks of items, and each pair of blocks is paired by itself.
 """
 
 from __future__ import annotations
@@ -18,8 +23,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fathomline.session import materialize
+
 MAX_ITEMS_PER_TASK = 2_000
 MIN_SUPPORT = 50
+PAIRS_PER_TASK = 2_000_000  # pairs counted by one task; some hundred bytes each
+RATINGS_PER_TASK = 100_000  # an item with more ratings is counted by several tasks
 
 _SUMS = ["xy", "xx", "yy", "support"]
 
@@ -39,6 +48,94 @@ def _frequent(ratings: DataFrame, min_support: int) -> DataFrame:
     return rows.join(enough, "item", "left_semi")
 
 
+def _left_out(degrees: DataFrame, max_items: int, spared: int) -> DataFrame:
+    """``user``: the largest users, as many as give no pair more than ``spared`` together."""
+    first = Window.orderBy(F.desc("items"), "user").rowsBetween(Window.unboundedPreceding, 0)
+    large = degrees.filter((F.col("items") > max_items) & (F.col("most") <= spared))
+    hot = large.orderBy(F.desc("items"), "user").limit(spared)
+    return hot.withColumn("most", F.sum("most").over(first)).filter(F.col("most") <= spared).select("user")
+
+
+def _with_partners(rows: DataFrame, degrees: DataFrame, max_items: int) -> DataFrame:
+    """``first``, ``n``, ``codes``, ``ns``, ``salt``: for every item of a user the codes of the user's later items.
+
+    Items are ordered by ``(code, item)``, so a large user's slices of that order can be paired two by two. ``ns`` are the
+    numbers of ratings of the partners, null if all are 1.
+    """
+    code = F.hash("item")
+    sized = rows.join(degrees.select("user", F.ceil(F.col("items") / max_items).alias("slices")), "user")
+    own = F.shiftright((code.cast("long") + F.lit(1 << 31)) * F.col("slices"), 32)
+    entry = F.struct(code.alias("code"), "item", "n", "salt")
+    lists = sized.groupBy("user", "slices", own.alias("own")).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("other")
+
+    entries = F.col("entries")
+
+    def field(name, plain=None):
+        values = F.transform(entries, lambda e: e[name])
+        return values if plain is None else F.when(F.exists(entries, lambda e: ~plain(e[name])), values)
+
+    codes, ns = field("code").alias("codes"), field("n", lambda n: n == 1).alias("ns")
+    own_items = [field("item").alias("items"), field("n", lambda n: n == 1).alias("own_ns"),
+                 field("salt", lambda salt: salt.isNull()).alias("salts")]
+    at = F.col("at")
+    named = [F.col("item").alias("first"), F.coalesce(F.get("own_ns", at), F.lit(1)).alias("n"), F.get("salts", at).alias("salt")]
+    each = F.posexplode("items").alias("at", "item")
+    inner = lists.filter(F.size(entries) > 1).select(*own_items, codes, ns).select(each, "own_ns", "salts", "codes", "ns")
+    later = [F.slice(c, at + 2, F.size("codes")).alias(c) for c in ("codes", "ns")]
+    inner = inner.filter(at + 1 < F.size("codes")).select(*named, *later)
+    cut = lists.filter("slices > 1").select("user", "own", other, "entries")
+    lower = cut.filter("own < other").select("user", "own", "other", *own_items)
+    upper = cut.filter("own > other").select("user", F.col("other").alias("own"), F.col("own").alias("other"), codes, ns)
+    across = lower.join(upper, ["user", "own", "other"]).select(each, "own_ns", "salts", "codes", "ns")
+    return inner.unionByName(across.select(*named, "codes", "ns"))
+
+
+def _passing_pairs(rows, degrees, items, pairs: int, max_items: int, more_than: int) -> DataFrame:
+    """``(item1, item2, probe, other)``: pairs whose support in ``rows`` may be above ``more_than``, by codes.
+
+    ``items`` has the number of ratings ``rated`` per item; the probe is the item with fewer of them.
+    """
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pairs // PAIRS_PER_TASK))
+    salts = F.ceil(F.col("rated") / RATINGS_PER_TASK)
+    salted = rows.join(items.filter(F.col("rated") > RATINGS_PER_TASK).select("item", salts.alias("salts")), "item", "left")
+    salted = salted.withColumn("salt", F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("user"), "salts").cast("int")))
+    # Counting by item, salt and code needs no second exchange; only salted items and passing pairs meet again.
+    spread = _with_partners(salted, degrees, max_items).repartition(tasks, "first", "salt")
+    single = spread.select("first", "salt", "n", "ns", F.posexplode("codes").alias("at", "code"))
+    weight = F.col("n") * F.coalesce(F.get("ns", F.col("at")), F.lit(1))
+    counted = single.groupBy("first", "salt", "code").agg(F.sum(weight).alias("support"))
+    counted = counted.filter(F.col("salt").isNotNull() | (F.col("support") > more_than))
+    passing = counted.groupBy("first", "code").agg(F.sum("support").alias("support")).filter(F.col("support") > more_than)
+    coded = materialize(passing.select("first", "code"), "passing-codes")
+    seconds = items.select(F.hash("item").alias("code"), F.col("item").alias("second"), F.col("rated").alias("rated2"))
+    firsts = items.select(F.col("item").alias("first"), F.col("rated").alias("rated1"))
+    found = coded.join(seconds, "code").join(firsts, "first")
+    own = F.hash("first")
+    found = found.filter((F.col("code") > own) | ((F.col("code") == own) & (F.col("second") > F.col("first"))))
+    fewer = F.col("rated1") <= F.col("rated2")
+    return found.select(
+        F.least("first", "second").alias("item1"), F.greatest("first", "second").alias("item2"),
+        F.when(fewer, F.col("first")).otherwise(F.col("second")).alias("probe"),
+        F.when(fewer, F.col("second")).otherwise(F.col("first")).alias("other"))
+
+
+def _sums_of(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Sums of the given pairs over all users, from the ratings of their items only."""
+    wanted = pairs.select(F.explode(F.array("item1", "item2")).alias("item")).distinct()
+    kept = rows.join(wanted, "item", "left_semi")
+    a, b = kept.alias("a"), kept.alias("b")
+    met = pairs.alias("p").join(a, F.col("p.probe") == F.col("a.item"))
+    met = met.join(b, (F.col("p.other") == F.col("b.item")) & (F.col("a.user") == F.col("b.user")))
+    straight = F.col("p.probe") == F.col("p.item1")
+    x = lambda c: F.when(straight, F.col(f"a.{c}")).otherwise(F.col(f"b.{c}"))
+    y = lambda c: F.when(straight, F.col(f"b.{c}")).otherwise(F.col(f"a.{c}"))
+    return met.groupBy("p.item1", "p.item2").agg(
+        F.sum(x("s") * y("s")).alias("xy"), F.sum(x("q") * y("n")).alias("xx"), F.sum(y("q") * x("n")).alias("yy"),
+        F.sum(x("n") * y("n")).alias("support"),
+    )
+
+
 def _pair_sums(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     a, b = left.alias("a"), right.alias("b")
     same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in on]
@@ -89,27 +186,38 @@ def co_rated_sums(
 ) -> DataFrame:
     """``(item1, item2, xy, xx, yy, support)`` with ``item1 < item2`` and support above ``min_support``.
 
-    Co-rated pairs are reduced to sums map-side; they are never stored one by one. With ``min_support=0`` nothing can be
-    left out, so every co-rated pair is formed.
+    Sums are taken of pairs that pass the threshold, or, where most pairs pass, of all co-rated pairs, reduced map-side.
+    With ``min_support=0`` nothing can be left out, so every co-rated pair is formed.
     """
     rows = _frequent(ratings, min_support)
+    if min_support > 0:
+        rows = materialize(rows.filter("user is not null and item is not null"), "frequent-ratings")
     degrees = rows.groupBy("user").agg(F.count(F.lit(1)).alias("items"), F.max(F.col("n") * F.col("n")).alias("most"))
+    if min_support > 0:
+        spared = min_support // 2
+        hot = materialize(_left_out(degrees, max_items_per_task, spared), "left-out") if spared else None
+        light = rows if hot is None else rows.join(hot, "user", "left_anti")
+        held = degrees if hot is None else degrees.join(hot, "user", "left_anti")
+        items = materialize(rows.groupBy("item").agg(F.count(F.lit(1)).alias("rated")), "items")
+        given = 0 if hot is None or hot.isEmpty() else spared
+        formed = held.agg(F.sum(F.col("items") * (F.col("items") - 1) / 2)).first()[0] or 0
+        known = items.count()
+        # Markov: of all pairs, at most this average over the threshold can pass.
+        if 2 * formed < (min_support - spared) * known * (known - 1) / 2:
+            pairs = _passing_pairs(light, held, items, int(formed), max_items_per_task, min_support - given)
+            sums = _sums_of(materialize(pairs, "passing-pairs"), rows)
+            return sums.filter(F.col("support") > min_support).select("item1", "item2", *_SUMS)
     large = degrees.filter(F.col("items") > max_items_per_task)
-    degrees = degrees.drop("most")
     if large.isEmpty():
         sums = _pair_sums(rows, rows, ["user"])
+    elif min_support <= 0:
+        sums = _spread_pair_sums(rows, degrees.drop("most"), max_items_per_task)
     else:
-        spared = max(0, min_support)
-        if spared == 0:
-            sums = _spread_pair_sums(rows, degrees, max_items_per_task)
-        else:
-            # What they give a pair together stays within the threshold.
-            first = Window.orderBy(F.desc("items"), "user").rowsBetween(Window.unboundedPreceding, 0)
-            hot = large.filter(F.col("most") <= spared).orderBy(F.desc("items"), "user").limit(spared)
-            hot = hot.withColumn("most", F.sum("most").over(first)).filter(F.col("most") <= spared).select("user")
-            light = rows.join(hot, "user", "left_anti")
-            sums = _spread_pair_sums(light, degrees, max_items_per_task)
-            sums = _with_hot_users(sums, rows, hot)
+        # What they give a pair together stays within the threshold.
+        hot = _left_out(degrees, max_items_per_task, min_support)
+        light = rows.join(hot, "user", "left_anti")
+        sums = _spread_pair_sums(light, degrees.drop("most"), max_items_per_task)
+        sums = _with_hot_users(sums, rows, hot)
     return sums.filter(F.col("support") > min_support).select("item1", "item2", *_SUMS)
 
 

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from fathomline.operators import similarity
 from fathomline.operators.separation import UNREACHED, degrees_of_separation, hit, out_of, unseen
 from fathomline.operators.similarity import items_similar_to, pair_similarity, similar_items
 from fathomline.session import materialize_by
@@ -65,6 +66,30 @@ def test_repeated_ratings_of_one_user_are_support(spark, max_items):
     assert sorted(got) == [(0, 1, pytest.approx(score), 64), (50, 51, pytest.approx(1), 64)]
 
 
+@pytest.mark.parametrize("max_items", [2_000, 4])
+@pytest.mark.parametrize("per_task", [100_000, 3])
+def test_sums_are_taken_of_passing_pairs_only(spark, monkeypatch, max_items, per_task):
+    rng = random.Random(11)
+    rows = [(u, f"i{i}", float(rng.randrange(1, 6))) for u in range(150) for i in rng.sample(range(150), 6)]
+    rows += [(u, f"i{i}", float(rng.randrange(1, 6))) for u in range(400, 408) for i in (1, 2, 3, 4, 5)]
+    rows += [(500, f"i{i}", 2.0) for i in range(30)] + [(600, f"i{i}", 3.0) for i in (7, 8) for _ in range(3)]
+    given = rows + [(None, f"i{i}", 1.0) for i in range(9)] + [(1, None, 1.0), (2, "i2", None)]
+    monkeypatch.setattr(similarity, "RATINGS_PER_TASK", per_task)
+    monkeypatch.setattr(similarity, "_pair_sums", None)  # no row of sums for every co-rated pair
+    df = spark.createDataFrame(given, "user int, item string, rating double")
+    got = similarity.co_rated_sums(df, 4, max_items).collect()
+    expected = {}
+    for u in {u for u, _, _ in rows}:
+        own = [(i, x) for v, i, x in rows if v == u]
+        for (i, x), (j, y) in ((a, b) for a in own for b in own if a[0] < b[0]):
+            sums = expected.setdefault((i, j), [0.0, 0.0, 0.0, 0])
+            for k, v in enumerate((x * y, x * x, y * y, 1)):
+                sums[k] += v
+    assert {(r.item1, r.item2): [r.xy, r.xx, r.yy, r.support] for r in got} == {
+        pair: sums for pair, sums in expected.items() if sums[3] > 4}
+    assert len({(r.item1, r.item2) for r in got}) == len(got) >= 11
+
+
 def test_zero_vector_scores_zero(spark):
     df = spark.createDataFrame([(1, 1, 0.0), (1, 2, 3.0)], "user int, item int, rating double")
     assert [tuple(r) for r in pair_similarity(df, min_support=0).collect()] == [(1, 2, 0.0, 1)]
