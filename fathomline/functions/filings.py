@@ -62,11 +62,12 @@ def pad_security_id(column: Column, width: int = 8) -> Column:
     return F.when(F.length(column) < width, F.lpad(column, width, "0")).otherwise(column)
 
 
-def _slice_from_last(column: Column, opening: str, closing: str) -> Column:
-    """Text from the last ``opening`` up to, not including, the last ``closing``; empty if absent."""
-    head = F.concat(F.lit(opening), F.substring_index(column, opening, -1))
-    upto = F.left(head, F.length(head) - F.length(F.substring_index(head, closing, -1)) - len(closing))
-    return F.when(F.contains(column, F.lit(opening)) & F.contains(head, F.lit(closing)), upto).otherwise(F.lit(""))
+def _last_block(column: Column) -> Column:
+    """Text after the last XML declaration up to the last ``</XML`` behind it; empty if either is absent."""
+    head = F.concat(F.lit("<?xml"), F.substring_index(column, "<?xml", -1))
+    # One search: an optional declaration, blanks, then all up to the last mark.
+    body = F.regexp_extract(head, r"(?s)^(?:<\?xml[^>]*\?>)? *(.*)</XML", 1)
+    return F.when(F.instr(column, "<?xml") > 0, body).otherwise(F.lit(""))
 
 
 def _parsed_once(xml: Column, schema: str, use) -> Column:
@@ -76,7 +77,7 @@ def _parsed_once(xml: Column, schema: str, use) -> Column:
     often its fields are read.
     """
     options = {"ignoreNamespace": "true", "columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = F.array(F.from_xml(xml, schema + ", _corrupt_record string", options))
+    parsed = F.array(F.from_xml(xml, ", ".join(filter(None, [schema, "_corrupt_record string"])), options))
     good = F.filter(parsed, lambda d: d.isNotNull() & d["_corrupt_record"].isNull())
     return F.transform(good, use)
 
@@ -87,14 +88,15 @@ def parse_holdings(content: Column) -> Column:
     No XML gives an empty string; XML that cannot be parsed gives null. Ids are found at any depth and under any
     namespace prefix; parsing only tells whether the document is sound.
     """
-    xml = F.ltrim(F.regexp_replace(_slice_from_last(content, "<?xml", "</XML"), r"^<\?xml[^>]*\?>", ""))
-
-    def listed(_) -> Column:
+    def listed(xml: Column) -> Column:
         found = F.regexp_extract_all(xml, F.lit(r"<(?:[\w.-]+:)?cusip(?:\s[^>]*)?>([^<]*)</"), F.lit(1))
         ids = F.filter(F.transform(found, lambda v: F.trim(v)), lambda v: v != "")
-        return F.array_join(F.array_distinct(F.transform(ids, F.upper)), ",")
+        joined = F.array_join(F.array_distinct(F.transform(ids, F.upper)), ",")
+        # No field is asked for, so the parser only passes over the document.
+        return F.get(_parsed_once(xml, "", lambda _: joined), F.lit(0))
 
-    found = F.get(_parsed_once(xml, "infoTable array<struct<cusip: string>>", listed), F.lit(0))
+    # The block is an array's element, so it is cut out once for the parser and the ids.
+    found = F.get(F.transform(F.array(_last_block(content)), listed), F.lit(0))
     return F.when(F.instr(content, "<?xml") == 0, F.lit("")).otherwise(found)
 
 

@@ -233,3 +233,18 @@ def test_sample_by_keys_does_not_depend_on_partitions(spark, rows):
     assert filters.sample_by_keys(df, ["id"], 0.0, 7).isEmpty() and filters.sample_by_keys(df, ["id"], 1.0, 7).count() == 20_000
     nulls = spark.createDataFrame([(None, 1), (None, 2)], "key long, n long")
     assert filters.sample_by_keys(nulls, ["key"], 0.5, 7).count() in (0, 2)
+
+
+def test_holdings_block_is_cut_out_once(spark):
+    block = "<ns1:a xmlns:ns1='u'><ns1:cusip>b1</ns1:cusip><ns1:cusip>a2</ns1:cusip></ns1:a>\n"
+    documents = {
+        f"<?xml ?><cusip>no</cusip></XML><?xml version='1.0'?>  {block}</XML>": "B1,A2",
+        f"<?xml ?>{block}</XML>{block}</XML": "B1,A2",
+        f"<?xml ?>{block}</XML><?xml ?>{block}": None,
+        f"<?xml ?><b>{block}</XML>": None,
+        block: "",
+    }
+    df = spark.createDataFrame([(d,) for d in documents], "content string")
+    parsed = df.select("content", filings.parse_holdings(F.col("content")).alias("ids"))
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("substring_index(") == 1
+    assert {r.content: r.ids for r in parsed.collect()} == documents
