@@ -5,6 +5,8 @@ the top of a deeper one. One fit at the largest depth therefore stands for all d
 forest of fewer trees; Spark draws other rows for another number of trees, so a separate fit gives another forest
 of the same kind. Impurities, bins and gains change the tree itself and are fitted each.
 
+Equal rows are one weighted row to a tree, so its rows are condensed first; a forest draws rows and keeps them all.
+
 Test rows are scored once per fit: each row's leaves name the paths through the trees, and the votes along them give the
 predictions of every depth and number of trees. Tasks only count labels against predictions, so what comes back is
 one confusion table per combination. Only the best model is kept.
@@ -26,6 +28,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fathomline.learning.models import WEIGHT, condensed, weighs_rows
 from fathomline.learning.tuning import Tuned
 from fathomline.session import fresh_path
 
@@ -82,7 +85,8 @@ def prefix_confusions(
     scored = model.setLeafCol("_leaf").transform(test)
     leaf = F.col("_leaf")
     leaves = vector_to_array(leaf) if len(votes) > 1 else F.array(leaf)
-    rows = scored.select(F.col(f"`{label}`").cast("double").alias("label"), leaves.alias("leaves"))
+    counted_rows = F.col(WEIGHT).cast("long") if WEIGHT in test.columns else F.lit(1).cast("long")
+    rows = scored.select(F.col(f"`{label}`").cast("double").alias("label"), leaves.alias("leaves"), counted_rows.alias("n"))
 
     def count(frames):
         totals = {}
@@ -94,7 +98,7 @@ def prefix_confusions(
                 if k + 1 in trees:
                     best = votes_so_far.argmax(axis=2)
                     for d, depth in enumerate(depths):
-                        for pair, n in frame.groupby(["label", best[:, d].astype(float)]).size().items():
+                        for pair, n in frame.groupby(["label", best[:, d].astype(float)])["n"].sum().items():
                             totals[k + 1, depth, *pair] = totals.get((k + 1, depth, *pair), 0) + int(n)
         yield pd.DataFrame([(*key, n) for key, n in totals.items()], columns=["trees", "depth", "label", "prediction", "n"])
 
@@ -119,6 +123,10 @@ def sweep_trees(
     if not forest and tuple(trees) != (1,):
         raise ValueError("a tree has no number of trees")
     names = list(values)
+    narrow = not any(n in ("minInstancesPerNode", "weightCol", "featuresCol", "labelCol") for n in names)
+    if weighs_rows(estimator) and narrow:
+        train, test = (condensed(df, label, estimator.getFeaturesCol()) for df in (train, test))
+        estimator = estimator.copy({estimator.weightCol: WEIGHT})
     held = [df.persist() for df in (train, test) if not (df.storageLevel.useMemory or df.storageLevel.useDisk)]
     most = {"maxDepth": max(depths), **({"numTrees": max(trees)} if forest else {})}
     lock, best, candidates = Lock(), [None, None], []

@@ -13,8 +13,9 @@ from pyspark.ml.base import Estimator
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from fathomline.learning.models import forest, logistic
+from fathomline.learning.models import WEIGHT, condensed, forest, logistic, weighs_rows
 
 # The grids of the workloads.
 TREE_GRID = {
@@ -61,8 +62,14 @@ def tune_split(
     pipeline: Estimator, grid: list, train: DataFrame, evaluator: Evaluator | None = None,
     ratio: float = 0.9, seed: int = 42, parallelism: int = 2,
 ) -> Tuned:
-    """Grid search on one train/validation split."""
+    """Grid search on one train/validation split.
+
+    A pipeline of a single tree is fitted and scored on condensed rows, with the split that Spark's search draws.
+    """
     evaluator = evaluator or accuracy_evaluator()
+    stages = pipeline.getStages() if isinstance(pipeline, Pipeline) else []
+    if len(stages) == 1 and weighs_rows(stages[0]) and _counts_rows(evaluator, stages[0], grid):
+        return _tune_condensed(stages[0], grid, train, evaluator, ratio, seed, parallelism)
     search = TrainValidationSplit(
         estimator=pipeline, estimatorParamMaps=grid, evaluator=evaluator, trainRatio=ratio,
         seed=seed, parallelism=parallelism,
@@ -71,6 +78,36 @@ def tune_split(
     return _summary(model, grid, model.validationMetrics, evaluator.isLargerBetter())
 
 
+def _counts_rows(evaluator: Evaluator, tree: Estimator, grid: list) -> bool:
+    changed = {p.name for params in grid for p in params}
+    return (isinstance(evaluator, MulticlassClassificationEvaluator) and not evaluator.isSet(evaluator.weightCol)
+            and evaluator.getMetricName() != "logLoss" and evaluator.getLabelCol() == tree.getLabelCol()
+            and not changed & {"minInstancesPerNode", "weightCol", "labelCol", "featuresCol", "predictionCol"})
+
+
+def _tune_condensed(tree, grid, train, evaluator, ratio, seed, parallelism) -> Tuned:
+    """The search on rows of which equal ones are one weighted row."""
+    label, features, drawn = tree.getLabelCol(), tree.getFeaturesCol(), F.col("_drawn")
+    split = train.select("*", F.rand(seed).alias("_drawn"))
+    held = [condensed(df, label, features).persist() for df in (split.filter(drawn < ratio), split.filter(drawn >= ratio))]
+    weighted = Pipeline(stages=[tree.copy({tree.weightCol: WEIGHT})])
+    scored = evaluator.copy({evaluator.weightCol: WEIGHT})
+
+    def measured(params):
+        return scored.evaluate(weighted.fit(held[0], params).transform(held[1]))
+
+    try:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            metrics = list(pool.map(inheritable_thread_target(train.sparkSession)(measured), grid))
+        best = (max if evaluator.isLargerBetter() else min)(range(len(grid)), key=lambda i: metrics[i])
+        model = weighted.fit(condensed(train, label, features), grid[best])
+    finally:
+        for df in held:
+            df.unpersist()
+    candidates = [(_named(p), float(m)) for p, m in zip(grid, metrics, strict=True)]
+    return Tuned(model, candidates[best][0], candidates[best][1], candidates)
+
+
 def tune_cv(
     pipeline: Estimator, grid: list, train: DataFrame, evaluator: Evaluator | None = None,
     folds: int = 3, seed: int = 42, parallelism: int = 2,
