@@ -7,6 +7,7 @@ import uuid
 import zipfile
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import functions as F
 
@@ -156,7 +157,9 @@ def forecast_maps(spark, folder):
 def whole_document_scan(spark, folder):
     """Every page landed as a file of its own, then read back one row per file."""
     path = fresh_path(spark, "pages")
-    table(spark, folder, "pages").select("html").write.option("maxRecordsPerFile", 1).text(path)
+    # Tasks publish their own files; otherwise the driver renames them one by one at the end.
+    writer = spread(table(spark, folder, "pages").select("html")).write.option("maxRecordsPerFile", 1)
+    writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
     # The text writer ends each file with a line break that is not part of the page.
     body = F.regexp_replace("content", r"\n\z", "")
     rows = read_documents(spark, path).select(F.length(body).alias("size"))
@@ -170,19 +173,22 @@ union all select doc_id || '.lang', length(lang) from documents
 def archive_members(spark, folder):
     """Each document zipped with its language, then expanded member by member."""
 
+    def zipped(doc_id, text, lang):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive:
+            archive.writestr(f"{doc_id}.txt", text)
+            archive.writestr(f"{doc_id}.lang", lang)
+        return buffer.getvalue()
+
     def pack(batches):
         for batch in batches:
-            blobs = []
-            for doc_id, text, lang in zip(batch["doc_id"], batch["text"], batch["lang"], strict=True):
-                buffer = io.BytesIO()
-                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive:
-                    archive.writestr(f"{doc_id}.txt", text)
-                    archive.writestr(f"{doc_id}.lang", lang)
-                blobs.append(buffer.getvalue())
-            yield pd.DataFrame({"content": blobs})
+            for start in range(0, batch.num_rows, 200):  # some rows at a time, whatever the batch holds
+                rows = batch.slice(start, 200)
+                blobs = [zipped(*(value.as_py() for value in row)) for row in zip(*rows.columns, strict=True)]
+                yield pa.record_batch([pa.array(blobs, pa.binary())], ["content"])
 
     documents = spread(table(spark, folder, "documents").select("doc_id", "text", "lang"))
-    archives = documents.mapInPandas(pack, "content binary")
+    archives = documents.mapInArrow(pack, "content binary")
     return explode_zip(archives).select("name", F.length("text").cast("long").alias("size"))
 
 

@@ -7,7 +7,7 @@ import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,24 +72,29 @@ def explode_zip(
 ) -> DataFrame:
     """One row ``(name, text)`` per archive member; a broken archive or member gives no rows.
 
-    Members are handed back in batches of about ``batch_chars``, so a large archive is never held
-    unpacked as a whole.
+    Archives are opened one at a time and members handed back in batches of about ``batch_chars``, so neither a large
+    archive nor a batch of archives is ever held unpacked as a whole.
     """
 
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size = [], 0
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, texts, size = [], [], 0
+
+        def held() -> pa.RecordBatch:
+            return pa.record_batch([pa.array(names, pa.string()), pa.array(texts, pa.string())], ["name", "text"])
+
         for batch in batches:
-            for blob in batch[content]:
-                for name, text in _members(blob, encoding):
-                    held.append((name, text))
+            for blob in batch.column(0):
+                for name, text in _members(blob.as_py(), encoding):
+                    names.append(name)
+                    texts.append(text)
                     size += len(text)
                     if size >= batch_chars:
-                        yield pd.DataFrame(held, columns=["name", "text"])
-                        held, size = [], 0
-        if held:
-            yield pd.DataFrame(held, columns=["name", "text"])
+                        yield held()
+                        names, texts, size = [], [], 0
+        if names:
+            yield held()
 
-    return archives.select(content).mapInPandas(unpack, "name string, text string")
+    return archives.select(content).mapInArrow(unpack, "name string, text string")
 
 
 def read_holding_ids(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
