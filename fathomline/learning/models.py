@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+import numpy as np
+import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.base import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier, LinearSVC, LogisticRegression, RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import DenseVector
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomline.learning.retrieval import recommend_all
@@ -60,16 +67,28 @@ def learner(name: str, **params) -> Estimator:
 
 
 WEIGHT = "_rows"
+# The rows from which trees are fitted apart (Spark's own forest shares their passes), and those of a task then.
+DRAWN_FROM = 100_000
+ROWS_PER_TASK = 50_000
 
 
-def condensed(df: DataFrame, label: str = "label", features: str = "features") -> DataFrame:
-    """``label``, ``features`` and their number ``_rows``: equal rows as one weighted row, where that saves half of them."""
-    both = [F.col(f"`{label}`"), F.col(f"`{features}`")]
-    kinds = F.approx_count_distinct(F.xxhash64(*both))
+def halves(df: DataFrame, label: str = "label", features: str = "features", least: int = 0) -> bool:
+    """Whether there are ``least`` rows or more and one row for all equal ones saves half of them."""
+    kinds = F.approx_count_distinct(F.xxhash64(F.col(f"`{label}`"), F.col(f"`{features}`")))
     rows, different = df.agg(F.count(F.lit(1)), kinds).first()
-    if 2 * different > rows:
-        return df.select(*both, F.lit(1.0).alias(WEIGHT))
-    return df.groupBy(*both).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
+    return rows >= least and 2 * different <= rows
+
+
+def counted(df: DataFrame, label: str = "label", features: str = "features") -> DataFrame:
+    """``label``, ``features`` and their number ``_rows``: equal rows as one weighted row."""
+    return df.groupBy(F.col(f"`{label}`"), F.col(f"`{features}`")).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
+
+
+def condensed(df: DataFrame, label: str = "label", features: str = "features") -> DataFrame:
+    """``counted`` rows where that saves half of them, else all with weight 1."""
+    if halves(df, label, features):
+        return counted(df, label, features)
+    return df.select(F.col(f"`{label}`"), F.col(f"`{features}`"), F.lit(1.0).alias(WEIGHT))
 
 
 def weighs_rows(estimator: Estimator) -> bool:
@@ -78,8 +97,112 @@ def weighs_rows(estimator: Estimator) -> bool:
             and estimator.getMinInstancesPerNode() == 1)
 
 
-def fit_held(estimator: Estimator, df: DataFrame) -> Model:
-    """Fit with the training rows kept on the executors, since every fit reads them many times."""
+def draws_rows(estimator: Estimator) -> bool:
+    """Whether ``DrawnForest`` stands for the estimator: a forest of whole bootstraps that counts weights, not rows."""
+    return (isinstance(estimator, RandomForestClassifier) and estimator.getMinInstancesPerNode() == 1
+            and estimator.getBootstrap() and estimator.getSubsamplingRate() == 1.0 and estimator.getLeafCol() == ""
+            and not estimator.isSet(estimator.weightCol) and not estimator.isSet(estimator.thresholds))
+
+
+def _draws(label: str, features: str, trees: int, seed: int) -> Column:
+    """How often each tree draws any of ``_rows`` equal rows.
+
+    A bootstrap takes every row a Poisson number of times with mean 1, so ``n`` equal rows together one with mean ``n``.
+    The generator starts from a hash of the row: a draw depends neither on partitions nor on a repeated task.
+    """
+
+    @F.pandas_udf("array<double>")
+    def drawn(key: pd.Series, rows: pd.Series) -> pd.Series:
+        starts = zip(key.to_numpy().view(np.uint64).tolist(), rows, strict=True)
+        return pd.Series([np.random.default_rng([seed % (1 << 64), k]).poisson(n, trees).astype(float) for k, n in starts])
+
+    return drawn(F.xxhash64(F.col(f"`{label}`"), F.col(f"`{features}`")), F.col(WEIGHT))
+
+
+class DrawnForestModel(Model):
+    """Trees fitted apart whose votes are added as Spark's forest adds them."""
+
+    def __init__(self, forest: RandomForestClassifier, trees: list[Model]):
+        super().__init__()
+        self.forest, self.trees = forest, trees
+
+    @property
+    def featureImportances(self) -> DenseVector:
+        total = sum(tree.featureImportances.toArray() for tree in self.trees)
+        return DenseVector(total / (total.sum() or 1.0))
+
+    @property
+    def toDebugString(self) -> str:
+        return "\n".join(tree.toDebugString for tree in self.trees)
+
+    def extractParamMap(self, extra: dict | None = None) -> dict:
+        return self.forest.extractParamMap(extra)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        rows, names = dataset, [f"_votes{i}" for i in range(len(self.trees))]
+        for tree, name in zip(self.trees, names, strict=True):
+            rows = tree.setRawPredictionCol(name).setProbabilityCol("").setPredictionCol("").transform(rows)
+        votes = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), [vector_to_array(name) for name in names])
+        total = F.aggregate("_votes", F.lit(0.0), lambda a, v: a + v)
+        forest, found = self.forest, {
+            "rawPredictionCol": array_to_vector("_votes"),
+            "probabilityCol": array_to_vector(F.transform("_votes", lambda v: v / F.col("_total"))),
+            "predictionCol": (F.array_position("_votes", F.array_max("_votes")) - 1).cast("double"),
+        }
+        rows = rows.withColumn("_votes", votes).withColumn("_total", total)
+        named = {forest.getOrDefault(param): column for param, column in found.items()}
+        return rows.withColumns({name: c for name, c in named.items() if name}).drop("_votes", "_total", *names)
+
+
+class DrawnForest(Estimator):
+    """The forest of an estimator that ``draws_rows``, fitted on ``counted`` rows.
+
+    Each tree gets equal rows as one row, weighted by how often it draws any of them, and is fitted by itself; so the
+    fit's cost follows the different rows. Bins come from the drawn weights; rows that a tree does not draw stay with
+    weight 0, so all trees know the same classes and categories.
+    """
+
+    def __init__(self, forest: RandomForestClassifier, parallelism: int = 4):
+        super().__init__()
+        self.forest, self.parallelism = forest, parallelism
+
+    def copy(self, extra: dict | None = None) -> DrawnForest:
+        return DrawnForest(self.forest.copy(extra or {}), self.parallelism)
+
+    def _fit(self, dataset: DataFrame) -> DrawnForestModel:
+        forest, n, seed = self.forest, self.forest.getNumTrees(), self.forest.getSeed()
+        label, features = forest.getLabelCol(), forest.getFeaturesCol()
+        strategy = forest.getFeatureSubsetStrategy()
+        alone = {
+            forest.numTrees: 1, forest.bootstrap: False, forest.weightCol: "_tree_rows",
+            forest.featureSubsetStrategy: strategy if strategy != "auto" else "sqrt" if n > 1 else "all",
+        }
+        drawn = _draws(label, features, n, seed).alias("_drawn")
+        held = dataset.select(F.col(f"`{label}`"), F.col(f"`{features}`"), drawn).persist()
+        # Trees pass over the rows once per level, so few rows are better in few tasks.
+        parts = 1 + held.count() // ROWS_PER_TASK
+
+        def fitted(i: int) -> Model:
+            rows = held.select(F.col(f"`{label}`"), F.col(f"`{features}`"), F.col("_drawn")[i].alias("_tree_rows"))
+            return forest.copy({**alone, forest.seed: seed + i}).fit(rows.coalesce(parts))
+
+        try:
+            with ThreadPoolExecutor(max_workers=self.parallelism) as pool:
+                trees = list(pool.map(inheritable_thread_target(dataset.sparkSession)(fitted), range(n)))
+        finally:
+            held.unpersist()
+        return DrawnForestModel(forest, trees)
+
+
+def fit_held(estimator: Estimator, df: DataFrame, drawn_from: int = DRAWN_FROM) -> Model:
+    """Fit with the training rows kept on the executors, since every fit reads them many times.
+
+    A forest over ``drawn_from`` rows or more, half of them equal to others, is fitted on the different ones.
+    """
+    if draws_rows(estimator):
+        both = estimator.getLabelCol(), estimator.getFeaturesCol()
+        if halves(df, *both, least=drawn_from):
+            return DrawnForest(estimator).fit(counted(df, *both))
     if df.storageLevel.useMemory or df.storageLevel.useDisk:
         return estimator.fit(df)
     held = df.persist()

@@ -11,11 +11,14 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.base import Estimator
 from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
+from pyspark.ml.feature import VectorIndexer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.learning.models import WEIGHT, condensed, forest, logistic, weighs_rows
+from fathomline.learning.models import (
+    DRAWN_FROM, WEIGHT, DrawnForest, condensed, counted, draws_rows, forest, halves, logistic, weighs_rows,
+)
 
 # The grids of the workloads.
 TREE_GRID = {
@@ -60,16 +63,22 @@ def _summary(model, grid, metrics, larger: bool) -> Tuned:
 
 def tune_split(
     pipeline: Estimator, grid: list, train: DataFrame, evaluator: Evaluator | None = None,
-    ratio: float = 0.9, seed: int = 42, parallelism: int = 2,
+    ratio: float = 0.9, seed: int = 42, parallelism: int = 2, drawn_from: int = DRAWN_FROM,
 ) -> Tuned:
     """Grid search on one train/validation split.
 
-    A pipeline of a single tree is fitted and scored on condensed rows, with the split that Spark's search draws.
+    A pipeline of a single tree is fitted and scored on condensed rows, with the split that Spark's search draws. So is
+    one of a forest, also behind a stage that numbers categories, over ``drawn_from`` rows or more, half of them equal to others.
     """
     evaluator = evaluator or accuracy_evaluator()
     stages = pipeline.getStages() if isinstance(pipeline, Pipeline) else []
     if len(stages) == 1 and weighs_rows(stages[0]) and _counts_rows(evaluator, stages[0], grid):
-        return _tune_condensed(stages[0], grid, train, evaluator, ratio, seed, parallelism)
+        tree, made = stages[0], [stages[0].copy({stages[0].weightCol: WEIGHT})]
+        return _tune_condensed(made, tree, tree.getFeaturesCol(), condensed, grid, train, evaluator, ratio, seed, parallelism)
+    features = _drawn_features(stages)
+    if features and _counts_rows(evaluator, stages[-1], grid) and halves(train, stages[-1].getLabelCol(), features, drawn_from):
+        made = [*stages[:-1], DrawnForest(stages[-1])]
+        return _tune_condensed(made, stages[-1], features, counted, grid, train, evaluator, ratio, seed, parallelism)
     search = TrainValidationSplit(
         estimator=pipeline, estimatorParamMaps=grid, evaluator=evaluator, trainRatio=ratio,
         seed=seed, parallelism=parallelism,
@@ -82,15 +91,27 @@ def _counts_rows(evaluator: Evaluator, tree: Estimator, grid: list) -> bool:
     changed = {p.name for params in grid for p in params}
     return (isinstance(evaluator, MulticlassClassificationEvaluator) and not evaluator.isSet(evaluator.weightCol)
             and evaluator.getMetricName() != "logLoss" and evaluator.getLabelCol() == tree.getLabelCol()
-            and not changed & {"minInstancesPerNode", "weightCol", "labelCol", "featuresCol", "predictionCol"})
+            and not changed & {"minInstancesPerNode", "weightCol", "labelCol", "featuresCol", "predictionCol",
+                               "bootstrap", "subsamplingRate", "leafCol", "thresholds", "inputCol", "outputCol"})
 
 
-def _tune_condensed(tree, grid, train, evaluator, ratio, seed, parallelism) -> Tuned:
-    """The search on rows of which equal ones are one weighted row."""
-    label, features, drawn = tree.getLabelCol(), tree.getFeaturesCol(), F.col("_drawn")
+def _drawn_features(stages: Sequence) -> str | None:
+    """The features a search's forest can be fitted on by ``DrawnForest``, before a stage that looks at values, not at rows."""
+    if not stages or not draws_rows(stages[-1]):
+        return None
+    features = stages[-1].getFeaturesCol()
+    if len(stages) == 1:
+        return features
+    behind = len(stages) == 2 and isinstance(stages[0], VectorIndexer) and stages[0].getOutputCol() == features
+    return stages[0].getInputCol() if behind else None
+
+
+def _tune_condensed(stages, tree, features, rows_of, grid, train, evaluator, ratio, seed, parallelism) -> Tuned:
+    """The search by ``stages`` that take ``rows_of`` a table, in which equal rows are one weighted row."""
+    label, drawn = tree.getLabelCol(), F.col("_drawn")
     split = train.select("*", F.rand(seed).alias("_drawn"))
-    held = [condensed(df, label, features).persist() for df in (split.filter(drawn < ratio), split.filter(drawn >= ratio))]
-    weighted = Pipeline(stages=[tree.copy({tree.weightCol: WEIGHT})])
+    held = [rows_of(df, label, features).persist() for df in (split.filter(drawn < ratio), split.filter(drawn >= ratio))]
+    weighted = Pipeline(stages=stages)
     scored = evaluator.copy({evaluator.weightCol: WEIGHT})
 
     def measured(params):
@@ -100,7 +121,7 @@ def _tune_condensed(tree, grid, train, evaluator, ratio, seed, parallelism) -> T
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             metrics = list(pool.map(inheritable_thread_target(train.sparkSession)(measured), grid))
         best = (max if evaluator.isLargerBetter() else min)(range(len(grid)), key=lambda i: metrics[i])
-        model = weighted.fit(condensed(train, label, features), grid[best])
+        model = weighted.fit(rows_of(train, label, features), grid[best])
     finally:
         for df in held:
             df.unpersist()
