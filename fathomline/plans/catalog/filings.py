@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fathomline.functions.filings import TRANSACTION_CODES, parse_holdings
 from fathomline.operators.counts import pivot_codes
 from fathomline.plans.catalog.registry import query, table
-from fathomline.plans.reports import holdings_report, ownership_report
+from fathomline.plans.reports import holdings_report, ownership_counts, ownership_report
 from fathomline.session import fresh_path, spread
 from fathomline.sources.filings import read_holding_ids
 from fathomline.streaming.filings import ownership_rows
@@ -90,7 +90,7 @@ select case when l_tax = 0 then 'Unknown' else lpad(l_suppkey::varchar, 10, '0')
 from lineitem group by 1, 2
 """)
 def ownership_filings(spark, folder):
-    return ownership_rows(_ownership(spark, folder)).groupBy("issuer_cik", "codes").agg(F.count(F.lit(1)).alias("n"))
+    return ownership_counts(_ownership(spark, folder))
 
 
 @query("""
