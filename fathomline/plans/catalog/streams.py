@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from fathomline.plans.catalog.filings import ownership_content
 from fathomline.plans.catalog.registry import query, table
+from fathomline.plans.reports import ownership_counts
 from fathomline.session import fresh_path
 from fathomline.streaming.counts import (
     INITIAL_COUNTS, event_count, running_word_count, slide_counts, sliding_counts, sliding_from_slides, word_count,
 )
-from fathomline.streaming.filings import ownership_rows
 from fathomline.streaming.sinks import latest_values, read_batches, start_sink, write_batches
 from fathomline.streaming.sources import message_lines, stream_table
 from fathomline.streaming.stateful import living_counts
@@ -147,8 +147,7 @@ select case when l_tax = 0 then '-1' else l_returnflag || l_linestatus end as co
 from lineitem group by 1
 """)
 def streamed_ownership_filings(spark, folder):
-    """Filings parsed as they arrive and appended to a table."""
+    """Filings parsed as they arrive, equal ones of a batch once; each batch's counts are appended to a table."""
     documents = _stream(spark, folder, "lineitem").select(ownership_content().alias("content"))
-    path = fresh_path(spark, "ownership")
-    start_sink(ownership_rows(documents), "parquet", path).awaitTermination()
-    return spark.read.parquet(path).groupBy("codes").agg(F.count(F.lit(1)).alias("n"))
+    counts = _batches(spark, documents, transform=ownership_counts)
+    return counts.groupBy("codes").agg(F.sum("n").alias("n"))
