@@ -15,7 +15,7 @@ Users with very many items would dominate the pairing step. As long as the users
 than a part of the support threshold together, no pair that passes is missed: every one of them shows up through the
 remaining users. The largest users of whom that is certain (the squares of their largest numbers of ratings of an item
 add up to that part at most) are therefore left out, and their ratings are added to the surviving pairs alone. Other large
-users are cut into blocks of items, and each pair of blocks is paired by itself.
+users are cut into blocks of items, and each block is paired with runs of blocks by itself.
 """
 
 from __future__ import annotations
@@ -29,23 +29,35 @@ MAX_ITEMS_PER_TASK = 2_000
 MIN_SUPPORT = 50
 PAIRS_PER_TASK = 2_000_000  # pairs counted by one task; some hundred bytes each
 RATINGS_PER_TASK = 100_000  # an item with more ratings is counted by several tasks
+SLICES_PER_RUN = 16  # slices of a large user that a slice is paired with at once
+LEFT_OUT_SHARE = 0.1  # rows of rare items stay where they are fewer: moving all rows would cost more than their pairs
 
 _SUMS = ["xy", "xx", "yy", "support"]
 
 
-def _frequent(ratings: DataFrame, min_support: int) -> DataFrame:
-    """``user``, ``item``, ``s``, ``q``, ``n`` (sum, sum of squares, number) of items that can pass ``min_support``."""
+def _summed(ratings: DataFrame) -> DataFrame:
+    """``user``, ``item``, ``s``, ``q``, ``n`` (sum, sum of squares, number)."""
     rating = F.col("rating").cast("double")
-    rows = ratings.select("user", "item", rating.alias("rating")).filter("rating is not null").groupBy("user", "item").agg(
+    return ratings.select("user", "item", rating.alias("rating")).filter("rating is not null").groupBy("user", "item").agg(
         F.sum("rating").alias("s"), F.sum(F.col("rating") * F.col("rating")).alias("q"), F.count(F.lit(1)).alias("n"))
-    if min_support <= 0:
-        return rows
+
+
+def _frequent(ratings: DataFrame, min_support: int) -> tuple[DataFrame, DataFrame]:
+    """Summed rows, and the number of users ``rated`` of every item that can pass ``min_support``.
+
+    Rows of other items are left out where they are many enough to pay for moving all rows by item.
+    """
+    rows = materialize(_summed(ratings).filter("user is not null and item is not null"), "summed-ratings")
     # Each rating of an item meets at most as many of another one as the user has of any item.
-    repeated = rows.groupBy("user").agg(F.max("n").alias("most")).filter("most > 1")
-    most = F.col("n") * F.coalesce("most", F.lit(1))
-    enough = rows.join(repeated, "user", "left").groupBy("item").agg(F.sum(most).alias("most")).filter(
-        F.col("most") > min_support).select("item")
-    return rows.join(enough, "item", "left_semi")
+    repeated = materialize(rows.filter("n > 1").groupBy("user").agg(F.max("n").alias("most")), "repeated")
+    met = rows.withColumn("most", F.lit(1)) if repeated.isEmpty() else rows.join(repeated, "user", "left")
+    most = F.sum(F.col("n") * F.coalesce("most", F.lit(1)))
+    items = materialize(met.groupBy("item").agg(most.alias("most"), F.count(F.lit(1)).alias("rated")), "items")
+    enough = items.filter(F.col("most") > min_support).select("item", "rated")
+    given, kept = (x.agg(F.sum("rated")).first()[0] or 0 for x in (items, enough))
+    if given - kept > LEFT_OUT_SHARE * given:
+        rows = materialize(rows.join(enough, "item", "left_semi"), "frequent-ratings")
+    return rows, enough
 
 
 def _left_out(degrees: DataFrame, max_items: int, spared: int) -> DataFrame:
@@ -56,39 +68,65 @@ def _left_out(degrees: DataFrame, max_items: int, spared: int) -> DataFrame:
     return hot.withColumn("most", F.sum("most").over(first)).filter(F.col("most") <= spared).select("user")
 
 
-def _with_partners(rows: DataFrame, degrees: DataFrame, max_items: int) -> DataFrame:
+def _with_partners(rows: DataFrame, degrees: DataFrame, max_items: int, tasks: int) -> DataFrame:
     """``first``, ``n``, ``codes``, ``ns``, ``salt``: for every item of a user the codes of the user's later items.
 
-    Items are ordered by ``(code, item)``, so a large user's slices of that order can be paired two by two. ``ns`` are the
-    numbers of ratings of the partners, null if all are 1.
+    Items are ordered by ``(code, item)``. A large user's slices of that order are paired with runs of ``SLICES_PER_RUN``
+    slices, their own and all later ones, so an item is sent on with one list a run, however small the slices are. ``ns``
+    are the numbers of ratings of the partners, null if all are 1.
     """
     code = F.hash("item")
-    sized = rows.join(degrees.select("user", F.ceil(F.col("items") / max_items).alias("slices")), "user")
+    sized = rows.select("user", "item", "n", "salt").repartition(tasks, "user")
+    sized = sized.join(degrees.select("user", F.ceil(F.col("items") / max_items).alias("slices")), "user")
     own = F.shiftright((code.cast("long") + F.lit(1 << 31)) * F.col("slices"), 32)
-    entry = F.struct(code.alias("code"), "item", "n", "salt")
-    lists = sized.groupBy("user", "slices", own.alias("own")).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("other")
+    run = F.floor(own / SLICES_PER_RUN)
+    entry = F.struct(code.alias("code"), "item", own.alias("own"), "n", "salt")
+    lists = sized.groupBy("user", "slices", run.alias("run")).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
 
-    entries = F.col("entries")
-
-    def field(name, plain=None):
+    def field(entries, name, plain=None):
         values = F.transform(entries, lambda e: e[name])
         return values if plain is None else F.when(F.exists(entries, lambda e: ~plain(e[name])), values)
 
-    codes, ns = field("code").alias("codes"), field("n", lambda n: n == 1).alias("ns")
-    own_items = [field("item").alias("items"), field("n", lambda n: n == 1).alias("own_ns"),
-                 field("salt", lambda salt: salt.isNull()).alias("salts")]
+    def numbers(entries):
+        return field(entries, "n", lambda n: n == 1)
+
+    def items_of(entries):
+        return [field(entries, "item").alias("items"), numbers(entries).alias("own_ns"),
+                field(entries, "salt", lambda salt: salt.isNull()).alias("salts")]
+
+    def partners_of(entries):
+        return [field(entries, "code").alias("codes"), numbers(entries).alias("ns")]
+
+    entries, slice_, run = F.col("entries"), F.col("to.own"), F.col("run")
+    small = lists.filter((F.col("slices") == 1) & (F.size(entries) > 1))
+    small = small.select(*items_of(entries), *partners_of(entries), F.lit(True).alias("inner"))
+
+    # Every slice sends its items to its own run and all later ones; a run's codes meet its own and all earlier slices.
+    goal = lambda own, run, holds: F.struct(own.alias("own"), run.alias("run"), F.lit(holds).alias("holds"))
+    first, last = run * SLICES_PER_RUN, F.floor((F.col("slices") - 1) / SLICES_PER_RUN)
+    slices = F.sequence(first, F.least(first + SLICES_PER_RUN, F.col("slices")) - 1)
+    own_goals = F.flatten(F.transform(slices, lambda a: F.transform(F.sequence(run, last), lambda r: goal(a, r, True))))
+    earlier = F.filter(F.sequence(F.lit(0).cast("long"), first), lambda a: a < first)
+    goals = F.concat(own_goals, F.transform(earlier, lambda a: goal(a, run, False)))
+    sent = lists.filter("slices > 1").select("user", "run", "entries", F.explode(goals).alias("to"))
+    inner = F.col("to.run") == run
+    held = F.when(F.col("to.holds"), F.filter(entries, lambda e: e["own"] == slice_))
+    given = F.when(~F.col("to.holds"), entries).when(inner, F.filter(entries, lambda e: e["own"] >= slice_))
+    sent = sent.select("user", slice_.alias("own"), F.col("to.run").alias("run"), held.alias("held"), given.alias("given"))
+    sent = sent.select("user", "own", "run", *items_of(F.col("held")), *partners_of(F.col("given")))
+    names = ["items", "own_ns", "salts", "codes", "ns"]
+    units = sent.repartition(tasks, "user", "own", "run").groupBy("user", "own", "run").agg(
+        *[F.first(c, True).alias(c) for c in names])
+    units = units.filter("items is not null and codes is not null")
+    units = units.select(*names, (F.floor(F.col("own") / SLICES_PER_RUN) == F.col("run")).alias("inner"))
+
     at = F.col("at")
-    named = [F.col("item").alias("first"), F.coalesce(F.get("own_ns", at), F.lit(1)).alias("n"), F.get("salts", at).alias("salt")]
-    each = F.posexplode("items").alias("at", "item")
-    inner = lists.filter(F.size(entries) > 1).select(*own_items, codes, ns).select(each, "own_ns", "salts", "codes", "ns")
-    later = [F.slice(c, at + 2, F.size("codes")).alias(c) for c in ("codes", "ns")]
-    inner = inner.filter(at + 1 < F.size("codes")).select(*named, *later)
-    cut = lists.filter("slices > 1").select("user", "own", other, "entries")
-    lower = cut.filter("own < other").select("user", "own", "other", *own_items)
-    upper = cut.filter("own > other").select("user", F.col("other").alias("own"), F.col("own").alias("other"), codes, ns)
-    across = lower.join(upper, ["user", "own", "other"]).select(each, "own_ns", "salts", "codes", "ns")
-    return inner.unionByName(across.select(*named, "codes", "ns"))
+    each = small.unionByName(units).select(F.posexplode("items").alias("at", "item"), "own_ns", "salts", "codes", "ns", "inner")
+    begin = F.when(F.col("inner"), at + 2).otherwise(1)
+    each = each.filter(begin <= F.size("codes"))
+    return each.select(
+        F.col("item").alias("first"), F.coalesce(F.get("own_ns", at), F.lit(1)).alias("n"), F.get("salts", at).alias("salt"),
+        *[F.slice(c, begin, F.size("codes")).alias(c) for c in ("codes", "ns")])
 
 
 def _passing_pairs(rows, degrees, items, pairs: int, max_items: int, more_than: int) -> DataFrame:
@@ -98,10 +136,11 @@ def _passing_pairs(rows, degrees, items, pairs: int, max_items: int, more_than:
     """
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pairs // PAIRS_PER_TASK))
     salts = F.ceil(F.col("rated") / RATINGS_PER_TASK)
-    salted = rows.join(items.filter(F.col("rated") > RATINGS_PER_TASK).select("item", salts.alias("salts")), "item", "left")
+    many = materialize(items.filter(F.col("rated") > RATINGS_PER_TASK).select("item", salts.alias("salts")), "salts")
+    salted = rows.withColumn("salts", F.lit(None).cast("long")) if many.isEmpty() else rows.join(many, "item", "left")
     salted = salted.withColumn("salt", F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("user"), "salts").cast("int")))
     # Counting by item, salt and code needs no second exchange; only salted items and passing pairs meet again.
-    spread = _with_partners(salted, degrees, max_items).repartition(tasks, "first", "salt")
+    spread = _with_partners(salted, degrees, max_items, tasks).repartition(tasks, "first", "salt")
     single = spread.select("first", "salt", "n", "ns", F.posexplode("codes").alias("at", "code"))
     weight = F.col("n") * F.coalesce(F.get("ns", F.col("at")), F.lit(1))
     counted = single.groupBy("first", "salt", "code").agg(F.sum(weight).alias("support"))
@@ -189,16 +228,14 @@ def co_rated_sums(
     Sums are taken of pairs that pass the threshold, or, where most pairs pass, of all co-rated pairs, reduced map-side.
     With ``min_support=0`` nothing can be left out, so every co-rated pair is formed.
     """
-    rows = _frequent(ratings, min_support)
-    if min_support > 0:
-        rows = materialize(rows.filter("user is not null and item is not null"), "frequent-ratings")
+    rows, items = _frequent(ratings, min_support) if min_support > 0 else (_summed(ratings), None)
     degrees = rows.groupBy("user").agg(F.count(F.lit(1)).alias("items"), F.max(F.col("n") * F.col("n")).alias("most"))
     if min_support > 0:
+        degrees = materialize(degrees, "degrees")
         spared = min_support // 2
         hot = materialize(_left_out(degrees, max_items_per_task, spared), "left-out") if spared else None
         light = rows if hot is None else rows.join(hot, "user", "left_anti")
         held = degrees if hot is None else degrees.join(hot, "user", "left_anti")
-        items = materialize(rows.groupBy("item").agg(F.count(F.lit(1)).alias("rated")), "items")
         given = 0 if hot is None or hot.isEmpty() else spared
         formed = held.agg(F.sum(F.col("items") * (F.col("items") - 1) / 2)).first()[0] or 0
         known = items.count()

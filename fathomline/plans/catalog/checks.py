@@ -32,7 +32,7 @@ having sum(a.x * b.x) / (sqrt(sum(a.x * a.x)) * sqrt(sum(b.x * b.x))) > 0.97 and
 """)
 def co_similarity_in_blocks(spark, folder):
     """Every user above five items is cut into blocks or left out; ratings of 25 are missing."""
-    rated = materialize(ratings(spark, folder).withColumn("rating", F.nullif("rating", F.lit(25.0))), "ratings")
+    rated = ratings(spark, folder).withColumn("rating", F.nullif("rating", F.lit(25.0)))
     return pair_similarity(rated, 0.97, 3, max_items_per_task=5).withColumn("score", F.round("score", 6))
 
 

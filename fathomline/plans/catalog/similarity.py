@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fathomline.operators.similarity import items_similar_to, pair_similarity
 from fathomline.plans.catalog.registry import query, table
-from fathomline.session import materialize, spread
+from fathomline.session import spread
 
 _RATINGS = """
 with r as (select o_custkey as u, l_partkey as i, avg(l_quantity) as x
@@ -30,8 +30,8 @@ group by 1, 2
 having sum(a.x * b.x) / (sqrt(sum(a.x * a.x)) * sqrt(sum(b.x * b.x))) > 0.97 and count(*) > 3
 """)
 def co_similarity(spark, folder):
-    # The ratings are read several times, so their join and mean are computed once.
-    pairs = pair_similarity(materialize(ratings(spark, folder), "ratings"), 0.97, 3)
+    # The ratings are read once, so their rows are summed where the means are taken.
+    pairs = pair_similarity(ratings(spark, folder), 0.97, 3)
     return pairs.withColumn("score", F.round("score", 6))
 
 

@@ -90,6 +90,38 @@ def test_sums_are_taken_of_passing_pairs_only(spark, monkeypatch, max_items, per
     assert len({(r.item1, r.item2) for r in got}) == len(got) >= 11
 
 
+@pytest.mark.parametrize("slices_per_run", [1, 3, 16])
+@pytest.mark.parametrize("share", [0, 1])
+def test_blocks_of_a_user_meet_once_and_in_few_lists(spark, monkeypatch, slices_per_run, share):
+    rng = random.Random(3)
+    ratings = {(u, i): [float(rng.randrange(1, 6))] for u in range(25) for i in rng.sample(range(200), 40)}
+    for u, i in [(u, 5 + u % 3) for u in range(25)] + [(1, 80), (2, 81)]:  # repeated ratings, so no user is left out
+        ratings.setdefault((u, i), []).extend([2.0, 4.0, 5.0])
+    ratings |= {(100 + i, 1000 + i): [1.0] for i in range(200)}  # items that no threshold lets pass
+    expected = {}
+    for (u, i), x in ratings.items():
+        for j in range(i + 1, 200):
+            if (y := ratings.get((u, j))) is not None:
+                sums = expected.setdefault((i, j), [0.0, 0.0, 0.0, 0])
+                for k, v in enumerate((sum(x) * sum(y), sum(a * a for a in x) * len(y), sum(b * b for b in y) * len(x), len(x) * len(y))):
+                    sums[k] += v
+    sent, real = [], similarity._with_partners
+    monkeypatch.setattr(similarity, "_with_partners", lambda *given: sent.append(real(*given)) or sent[-1])
+    monkeypatch.setattr(similarity, "SLICES_PER_RUN", slices_per_run, raising=False)
+    monkeypatch.setattr(similarity, "LEFT_OUT_SHARE", share, raising=False)
+    monkeypatch.setattr(similarity, "RATINGS_PER_TASK", 10)
+    frame = spark.createDataFrame([(u, i, x) for (u, i), xs in ratings.items() for x in xs], "user int, item int, rating double")
+    got = similarity.co_rated_sums(frame, 5, max_items_per_task=5).collect()
+    assert {(r.item1, r.item2): [r.xy, r.xx, r.yy, r.support] for r in got} == {
+        pair: sums for pair, sums in expected.items() if sums[3] > 5}
+    assert len(got) >= 50 and len({(r.item1, r.item2) for r in got}) == len(got)
+    lists = sent[0].collect()
+    formed, every = sum(r.n * (sum(r.ns) if r.ns else len(r.codes)) for r in lists), sum(s[3] for s in expected.values())
+    assert formed == every if share else 0.99 * every < formed < every
+    if slices_per_run == 16:  # 40 items, 8 or 9 slices: one list an item, not one a block
+        assert len(lists) <= 25 * 45
+
+
 def test_zero_vector_scores_zero(spark):
     df = spark.createDataFrame([(1, 1, 0.0), (1, 2, 3.0)], "user int, item int, rating double")
     assert [tuple(r) for r in pair_similarity(df, min_support=0).collect()] == [(1, 2, 0.0, 1)]
