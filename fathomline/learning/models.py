@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomline.learning.retrieval import recommend_all
+from fathomline.session import shared_folder
 
 
 def _settings(label: str, features: str, given: dict, **defaults) -> dict:
@@ -70,6 +71,8 @@ WEIGHT = "_rows"
 # The rows from which trees are fitted apart (Spark's own forest shares their passes), and those of a task then.
 DRAWN_FROM = 100_000
 ROWS_PER_TASK = 50_000
+ALS_BLOCKS = 10  # Spark's own number of blocks of users and of items
+RATINGS_PER_BLOCK = 2_000_000
 
 
 def halves(df: DataFrame, label: str = "label", features: str = "features", least: int = 0) -> bool:
@@ -243,11 +246,20 @@ def raw_scores(model, df: DataFrame, out: str = "score") -> DataFrame:
 
 
 def train_als(ratings: DataFrame, rank: int = 10, iterations: int = 6, reg: float = 0.01, seed: int = 42) -> ALSModel:
-    """Matrix factorisation of ``(user, item, rating)``."""
+    """Matrix factorisation of ``(user, item, rating)``.
+
+    A task holds the ratings of one block of users or items and the factors they meet, so the number of blocks follows the
+    number of ratings; the first factors are drawn per block. Beyond Spark's ten blocks the item factors are stored after
+    each iteration, so that the shuffles before it can be removed. Ratings are read twice.
+    """
+    blocks = max(ALS_BLOCKS, -(-ratings.count() // RATINGS_PER_BLOCK))
     als = ALS(
-        rank=rank, maxIter=iterations, regParam=reg, seed=seed,
+        rank=rank, maxIter=iterations, regParam=reg, seed=seed, numUserBlocks=blocks, numItemBlocks=blocks,
         userCol="user", itemCol="item", ratingCol="rating", coldStartStrategy="drop",
     )
+    if blocks > ALS_BLOCKS:
+        shared_folder(ratings.sparkSession)  # sets the folder of checkpoints
+        als.setCheckpointInterval(1)
     return als.fit(ratings)
 
 

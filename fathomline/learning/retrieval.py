@@ -191,6 +191,7 @@ def top_products(users: DataFrame, items: DataFrame, k: int = 10, slice_bytes: i
             after = None if following is None else following[0]
             scored = state.mapInArrow(lambda b, s=shared, a=after: _round(b, s, k, a), _STATE)
             held = materialize(scored, "best-items")
+            shared.destroy()  # its users are stored, so no later round has the slice beside its own
             finished.append(held.filter("done"))
             state = held.filter("not done")
             if following is None or state.isEmpty():

@@ -122,8 +122,8 @@ from lineitem join orders on o_orderkey = l_orderkey
 """)
 def recommendation_counts(spark, folder):
     """Ten different, named items for every user."""
-    rows = ratings(spark, folder).select(
-        F.col("user").cast("int"), F.col("item").cast("int"), F.col("rating").cast("float"))
+    rows = materialize(ratings(spark, folder).select(
+        F.col("user").cast("int"), F.col("item").cast("int"), F.col("rating").cast("float")), "ratings")
     names = table(spark, folder, "part").select(F.col("p_partkey").cast("int").alias("item"), F.col("p_name").alias("name"))
     made = recommend(train_als(rows), rows.select("user").distinct(), names, 10)
     per_user = made.groupBy("user").agg(

@@ -23,7 +23,7 @@ from fathomline.learning.tuning import (
 from fathomline.operators.filters import random_split
 from fathomline.plans.catalog.registry import query, table
 from fathomline.plans.catalog.similarity import ratings
-from fathomline.session import spread
+from fathomline.session import materialize, spread
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -186,9 +186,9 @@ def support_vectors(spark, folder):
 
 @query()
 def recommendations(spark, folder):
-    rows = ratings(spark, folder).select(
+    rows = materialize(ratings(spark, folder).select(
         F.col("user").cast("int"), F.col("item").cast("int"), F.col("rating").cast("float")
-    )
+    ), "ratings")
     names = table(spark, folder, "part").select(F.col("p_partkey").cast("int").alias("item"), F.col("p_name").alias("name"))
     model = train_als(rows)
     return recommend(model, rows.select("user").distinct(), names, 10)

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from fathomline.learning import models
 from fathomline.learning.models import recommend, train_als
 from fathomline.learning.retrieval import recommend_all, top_products
 
@@ -103,3 +104,18 @@ def test_factor_model(spark):
         assert np.allclose([s for _, s in found[user]], [s for _, s in best], atol=1e-4)
     some = spark.createDataFrame([(3,), (3,), (99,)], "user int")
     assert {r.user for r in recommend_all(model, some, 4).collect()} == {3}
+
+
+def test_blocks_of_factors_follow_the_number_of_ratings(spark, monkeypatch):
+    draw = np.random.default_rng(4)
+    u, v = draw.uniform(1, 2, (40, 2)), draw.uniform(1, 2, (30, 2))
+    rated = [(a, b, float(u[a] @ v[b])) for a in range(40) for b in range(30) if (a + b) % 4]
+    frame = spark.createDataFrame(rated, "user int, item int, rating float")
+    assert train_als(frame, 2, 1).userFactors.rdd.getNumPartitions() == 10
+    monkeypatch.setattr(models, "RATINGS_PER_BLOCK", 70, raising=False)
+    model = train_als(frame, 2, 20, reg=0.0001)
+    # With ten blocks whatever their size, a task holds a tenth of all ratings.
+    assert model.userFactors.rdd.getNumPartitions() == model.itemFactors.rdd.getNumPartitions() == 13  # 900 / 70
+    assert model.userFactors.count() == 40 and model.itemFactors.count() == 30
+    wrong = model.transform(frame).selectExpr("max(abs(prediction - rating))").first()[0]
+    assert wrong < 0.05
